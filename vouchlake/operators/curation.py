@@ -8,19 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vouchlake import schemas
-from vouchlake.functions.dates import has_date_shape, is_impossible_date, parse_date
+from vouchlake.functions.dates import has_date_shape, is_impossible_date, parse_shaped_date
 from vouchlake.functions.values import row_json
-from vouchlake.operators.keys import cascade, without
+from vouchlake.operators.keys import cascade, same_key, without
 from vouchlake.operators.linking import log_row
 
 def _passes() -> Column:
     return F.col("row_status") == schemas.PASS
 
 
-def _dated(raw: DataFrame, date_column: str, on_bad_date: str, text: Column | None = None) -> DataFrame:
-    """Rows whose date parses, with the date in place of its text."""
-    parsed = parse_date(F.col(date_column) if text is None else text, on_bad_date)
-    return raw.withColumn(date_column, parsed).filter(F.col(date_column).isNotNull())
+def _dated(raw: DataFrame, date_column: str, on_bad_date: str) -> DataFrame:
+    """Rows whose date parses, with the date in place of its text.
+
+    The filter tests shapes only and raises nothing, so Spark may move it to
+    the scan; dates are parsed above it, for rows that are kept.
+    """
+    text = F.col(date_column)
+    shaped = raw.filter(has_date_shape(text)).withColumn(date_column, parse_shaped_date(text, on_bad_date))
+    return shaped.filter(text.isNotNull()) if on_bad_date == "quarantine" else shaped
 
 
 def curate_customers(raw: DataFrame, on_bad_date: str = "fail") -> DataFrame:
@@ -29,10 +34,7 @@ def curate_customers(raw: DataFrame, on_bad_date: str = "fail") -> DataFrame:
 
 def curate_orders(raw: DataFrame, on_bad_date: str = "fail") -> DataFrame:
     """The gate of the golden layer: PASS orders with a usable date."""
-    # Naming the status inside the parsed text keeps the dates of orders that
-    # do not pass from being parsed, wherever the filter ends up in the plan.
-    text = F.when(_passes(), F.col("order_date"))
-    return schemas.conform(_dated(raw.filter(_passes()), "order_date", on_bad_date, text), "orders_curated")
+    return schemas.conform(_dated(raw.filter(_passes()), "order_date", on_bad_date), "orders_curated")
 
 
 def curate_order_items(raw: DataFrame, orders_curated: DataFrame) -> DataFrame:
@@ -117,6 +119,9 @@ def errors_missing_invoice(raw: DataFrame, log: DataFrame, as_of: datetime) -> D
 
 def only_new_errors(errors: DataFrame, log: DataFrame) -> DataFrame:
     """Errors not open in the log yet, for runs that must not log one twice."""
-    same = ["record_id", "source_table", "error_message"]
-    still_open = log.filter(~F.col("resolved_flag")).select(same).distinct()
-    return errors.join(still_open, same, "left_anti").select(errors.columns)
+    names = ["record_id", "source_table", "error_message"]
+    listed = log.filter(~F.col("resolved_flag")).select([F.col(c).alias(f"__{c}") for c in names]).distinct()
+    same = same_key(F.col("record_id"), F.col("__record_id"))
+    for c in names[1:]:
+        same = same & (F.col(c) == F.col(f"__{c}"))
+    return errors.join(listed, same, "left_anti")

@@ -6,15 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vouchlake import schemas
-from vouchlake.operators.keys import key_set
+from vouchlake.operators.keys import marked
 
 
 def governance_status(orders: DataFrame, attachments: DataFrame) -> DataFrame:
     """Orders with ``row_status`` set anew: PASS with an attachment, else FAIL."""
-    proven = key_set(attachments, "order_id", "__proven")
-    status = F.when(F.col("__proven").isNotNull(), schemas.PASS).otherwise(schemas.FAIL)
-    return (
-        orders.join(proven, orders["order_id"] == proven["__proven"], "left")
-        .withColumn("row_status", status)
-        .select(orders.columns)
-    )
+    checked = marked(orders, attachments, "order_id", "order_id", "__proven")
+    status = F.when(F.col("__proven"), schemas.PASS).otherwise(schemas.FAIL)
+    return checked.withColumn("row_status", status).select(orders.columns)

@@ -1,26 +1,55 @@
-"""Joins against a set of keys, shared by governance, curation and recovery."""
+"""Joins against a set of keys, shared by all operators.
+
+Two things keep one hot key from landing in one task. Sets are made distinct,
+so that copies of a key fold in the map tasks before the shuffle. And joins
+compare keys with ``same_key``, which lets Spark split a hot key on the other
+side: adaptive execution splits a partition only where both inputs of the join
+are plain shuffles of that join, and a set made distinct by the key alone would
+be joined without a shuffle of its own.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
-def key_set(df: DataFrame, key: str, name: str | None = None) -> DataFrame:
-    """The distinct non-NULL keys.
+def same_key(left: Column, right: Column) -> Column:
+    """Key equality with the keys' hashes beside it; NULL equals nothing.
 
-    Copies of a key collapse before the shuffle, so a key that fills much of
-    ``df`` does not reach one task, and a join to the set adds no rows.
+    The hash adds no condition. It makes the join shuffle by (hash, key), which
+    an earlier grouping by the key does not satisfy, and sorts by number first.
     """
-    keys = df.select(df[key].alias(name or key))
-    return keys.filter(keys[0].isNotNull()).distinct()
+    return (F.xxhash64(left) == F.xxhash64(right)) & (left == right)
+
+
+def key_set(df: DataFrame, key: str, name: str) -> DataFrame:
+    """The distinct non-NULL keys under another name."""
+    return df.filter(F.col(key).isNotNull()).select(F.col(key).alias(name)).distinct()
 
 
 def cascade(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose key the parent holds; NULL keys drop out."""
-    return child.join(key_set(parent, key), key, "left_semi").select(child.columns)
+    return within(child, parent, key, key)
+
+
+def within(child: DataFrame, keys: DataFrame, child_key: str, key: str) -> DataFrame:
+    """Child rows whose key is in the set; NULL keys drop out."""
+    listed = key_set(keys, key, "__listed")
+    return child.join(listed, same_key(F.col(child_key), F.col("__listed")), "left_semi")
 
 
 def without(child: DataFrame, keys: DataFrame, child_key: str, key: str) -> DataFrame:
     """Child rows whose key is not in the set; NULL keys stay."""
     listed = key_set(keys, key, "__listed")
-    return child.join(listed, child[child_key] == listed["__listed"], "left_anti").select(child.columns)
+    return child.join(listed, same_key(F.col(child_key), F.col("__listed")), "left_anti")
+
+
+def marked(df: DataFrame, keys: DataFrame, df_key: str, key: str, mark: str) -> DataFrame:
+    """Every row, with a flag column telling whether its key is in the set."""
+    listed = key_set(keys, key, "__listed")
+    return (
+        df.join(listed, same_key(F.col(df_key), F.col("__listed")), "left")
+        .withColumn(mark, F.col("__listed").isNotNull())
+        .drop("__listed")
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vouchlake import schemas
 from vouchlake.functions.names import base_name, extract_order_id, in_zone, is_pdf, store_uri
 from vouchlake.functions.values import instant, row_json
-from vouchlake.operators.keys import key_set
+from vouchlake.operators.keys import marked
 
 
 def classify_documents(listing: DataFrame, orders: DataFrame) -> DataFrame:
@@ -23,14 +23,13 @@ def classify_documents(listing: DataFrame, orders: DataFrame) -> DataFrame:
     named = listing.select(
         "path", base_name(F.col("path")).alias("file_name"), is_pdf(F.col("path")).alias("__pdf")
     ).withColumn("order_id", F.when(F.col("__pdf"), extract_order_id(F.col("file_name"))))
-    known = key_set(orders, "order_id", "__known")
     # A file without an order id joins under its own path, not under NULL:
     # many misnamed files would otherwise all meet in one task.
     probe = F.coalesce(F.col("order_id"), F.col("path"))
     outcome = (
         F.when(~F.col("__pdf"), "ignored")
         .when(F.col("order_id").isNull(), "invalid")
-        .when(F.col("__known").isNull(), "orphan")
+        .when(~F.col("__known"), "orphan")
         .otherwise("valid")
     )
     dest = (
@@ -38,8 +37,7 @@ def classify_documents(listing: DataFrame, orders: DataFrame) -> DataFrame:
         .when(F.col("outcome") != "ignored", in_zone(schemas.ERROR_PDF, F.col("file_name")))
     )
     return (
-        named.withColumn("__probe", probe)
-        .join(known, F.col("__probe") == F.col("__known"), "left")
+        marked(named.withColumn("__probe", probe), orders, "__probe", "order_id", "__known")
         .withColumn("outcome", outcome)
         .select("path", "file_name", "order_id", "outcome", dest.alias("dest_path"))
     )

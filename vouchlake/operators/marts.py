@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from vouchlake import schemas
 from vouchlake.functions.values import money_sum, safe_divide
+from vouchlake.operators.keys import same_key
 
 
 def customer_clv(customers: DataFrame, orders: DataFrame, money_scale: int | None = None) -> DataFrame:
@@ -81,9 +82,9 @@ def product_returns(returns: DataFrame, items: DataFrame) -> DataFrame:
     building the return-item pairs, and one pass over the items serves both
     totals.
     """
-    per_order = returns.groupBy("order_id").agg(F.count("return_id").alias("returns"))
+    per_order = returns.groupBy(F.col("order_id").alias("__order")).agg(F.count("return_id").alias("returns"))
     totals = (
-        items.join(per_order, "order_id", "left")
+        items.join(per_order, same_key(F.col("order_id"), F.col("__order")), "left")
         .groupBy("product_id")
         .agg(
             F.sum("quantity").alias("total_sold"),

@@ -11,17 +11,16 @@ from vouchlake import schemas
 from vouchlake.functions.names import base_name, extract_order_id, in_zone
 from vouchlake.functions.values import instant
 from vouchlake.operators.curation import open_missing_invoices
-from vouchlake.operators.keys import key_set
+from vouchlake.operators.keys import marked, within
 
 
 def recover_late_documents(listing: DataFrame, log: DataFrame) -> DataFrame:
     """Documents of orders with an open missing-invoice row, as in
     ``classify_documents``. All other files are left alone."""
-    open_orders = key_set(open_missing_invoices(log), "record_id", "order_id")
     named = listing.select("path", base_name(F.col("path")).alias("file_name")).withColumn(
         "order_id", extract_order_id(F.col("file_name"))
     )
-    found = named.filter(F.col("order_id").isNotNull()).join(open_orders, "order_id", "left_semi")
+    found = within(named, open_missing_invoices(log), "order_id", "record_id")
     return found.select(
         "path",
         "file_name",
@@ -33,15 +32,12 @@ def recover_late_documents(listing: DataFrame, log: DataFrame) -> DataFrame:
 
 def resolve_error_logs(log: DataFrame, recovered: DataFrame, as_of: datetime) -> DataFrame:
     """Close the open missing-invoice rows of the recovered orders."""
-    ids = key_set(recovered, "order_id", "__recovered")
     closes = (
-        F.col("__recovered").isNotNull()
-        & (F.col("error_message") == schemas.MISSING_INVOICE)
-        & ~F.col("resolved_flag")
+        F.col("__recovered") & (F.col("error_message") == schemas.MISSING_INVOICE) & ~F.col("resolved_flag")
     )
     # Decided once, as setting the flag would change what the test sees.
     return (
-        log.join(ids, log["record_id"] == ids["__recovered"], "left")
+        marked(log, recovered, "record_id", "order_id", "__recovered")
         .withColumn("__closes", F.coalesce(closes, F.lit(False)))
         .withColumn("resolved_flag", F.col("resolved_flag") | F.col("__closes"))
         .withColumn("resolved_at", F.when(F.col("__closes"), instant(as_of)).otherwise(F.col("resolved_at")))
@@ -51,10 +47,6 @@ def resolve_error_logs(log: DataFrame, recovered: DataFrame, as_of: datetime) ->
 
 def reset_recovered_orders(orders: DataFrame, recovered: DataFrame) -> DataFrame:
     """Set the recovered orders to PASS; the others keep their status."""
-    ids = key_set(recovered, "order_id", "__recovered")
-    status = F.when(F.col("__recovered").isNotNull(), schemas.PASS).otherwise(F.col("row_status"))
-    return (
-        orders.join(ids, orders["order_id"] == ids["__recovered"], "left")
-        .withColumn("row_status", status)
-        .select(orders.columns)
-    )
+    checked = marked(orders, recovered, "order_id", "order_id", "__recovered")
+    status = F.when(F.col("__recovered"), schemas.PASS).otherwise(F.col("row_status"))
+    return checked.withColumn("row_status", status).select(orders.columns)

@@ -3,7 +3,9 @@
 Built from a left join and an anti join instead of one full outer join: Spark
 can broadcast a batch below its size threshold, so a daily batch does not
 shuffle a large table, and for a large batch it can split a hot key, which a
-full outer join does not allow.
+full outer join does not allow. The stored table is read twice, the second
+time its key column only. Only batch rows with a stored key take part in the
+left join, so many copies of one new key do not meet there.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from vouchlake import schemas
 from vouchlake.functions.values import instant
+from vouchlake.operators.keys import same_key, within, without
 
 
 def new(column: str) -> Column:
@@ -29,11 +32,15 @@ def old(column: str) -> Column:
 
 def _matched_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Keys present on both sides; fails when the batch repeats one of them."""
-    per_key = source.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__copies"))
+    per_key = (
+        source.filter(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("__batch_key"))
+        .agg(F.count(F.lit(1)).alias("__copies"))
+    )
     repeated = F.raise_error(F.concat(F.lit("more than one batch row for stored key "), F.col(key))).cast("boolean")
     return (
         target.select(key)
-        .join(per_key, key)
+        .join(per_key, same_key(F.col(key), F.col("__batch_key")))
         .filter(F.when(F.col("__copies") > 1, repeated).otherwise(True))
         .select(key)
         .distinct()
@@ -56,15 +63,17 @@ def upsert(
     nothing, so such batch rows are always inserted; so is every copy of a
     key the table does not hold yet.
     """
-    stored, batch = target.alias("stored_row"), source.alias("batch_row")
+    matched = _matched_keys(target, source, key)
+    stored, changes = target.alias("stored_row"), within(source, matched, key, key).alias("batch_row")
     change = new(key).isNotNull()
     if update_when is not None:
         change = change & F.coalesce(update_when, F.lit(False))
-    kept = stored.join(batch, old(key) == new(key), "left").select(
+    kept = stored.join(changes, same_key(old(key), new(key)), "left").select(
         [F.when(change, update[c]).otherwise(old(c)).alias(c) if c in update else old(c) for c in target.columns]
     )
-    fresh = batch.join(_matched_keys(target, source, key), key, "left_anti").alias("batch_row")
-    added = fresh.select([insert.get(c, F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns])
+    added = without(source, matched, key, key).alias("batch_row").select(
+        [insert.get(c, F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+    )
     return kept.unionByName(added)
 
 

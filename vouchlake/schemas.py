@@ -36,7 +36,7 @@ KEYS = {table: schema.fieldNames()[0] for table, schema in STAGE.items()}
 
 
 def _raw(table: str) -> StructType:
-    schema = StructType(STAGE[table].fields)
+    schema = StructType(list(STAGE[table].fields))
     if table == "orders":
         schema = schema.add("row_status", "string")
     return schema.add("ingestion_time", "timestamp").add("source_file", "string")

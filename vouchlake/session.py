@@ -8,13 +8,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # ANSI makes a bad cast fail the job instead of turning into NULL; UTC keeps
-# timestamp text independent of the machine. The rest is Spark's default,
-# stated because the join operators count on it for hot keys.
+# timestamp text independent of the machine. The join operators count on the
+# adaptive settings for hot keys; forcing lets Spark split one in a join whose
+# output another join on the same key takes over, at the price of one shuffle.
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
