@@ -10,17 +10,22 @@ be joined without a shuffle of its own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def same_key(left: Column, right: Column) -> Column:
+def same_key(left: Column, right: Column, by: Callable[[Column], Column] | None = None) -> Column:
     """Key equality with the keys' hashes beside it; NULL equals nothing.
 
     The hash adds no condition. It makes the join shuffle by (hash, key), which
     an earlier grouping by the key does not satisfy, and sorts by number first.
+    A join right after another one on the same key takes another hash function
+    (``by``) to get a shuffle of its own again.
     """
-    return (F.xxhash64(left) == F.xxhash64(right)) & (left == right)
+    by = by or F.xxhash64
+    return (by(left) == by(right)) & (left == right)
 
 
 def key_set(df: DataFrame, key: str, name: str) -> DataFrame:
