@@ -21,7 +21,7 @@ from vouchlake import schemas
 from vouchlake.operators import curation, governance, linking, marts, remediation
 from vouchlake.operators.upsert import merge_into_raw
 from vouchlake.sinks.moves import apply_moves, plan_csv_archive, plan_document_moves
-from vouchlake.sinks.store import TableStore
+from vouchlake.sinks.store import TableStore, row_counts
 from vouchlake.sources.csv_drops import present_tables, scan_csv_fixed
 from vouchlake.sources.landing import list_landing, relative_to
 
@@ -49,10 +49,11 @@ class Workspace:
         return self.store_uri or self.files_root
 
 
-def _together(*steps: Callable[[], object]) -> None:
+def _together(spark: SparkSession, *steps: Callable[[], object]) -> None:
     """Submit independent jobs at once; Spark shares the executors out."""
+    own = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
+        for done in [pool.submit(own(step)) for step in steps]:
             done.result()
 
 
@@ -72,7 +73,7 @@ def ingest_and_link(ws: Workspace, run_time: datetime, run_id: str) -> list[str]
         tables.replace(raw, merge_into_raw(table, tables.read(raw), stage, run_time), token=token)
 
     if present:
-        _together(*[lambda t=table: load(t) for table in present])
+        _together(ws.spark, *[lambda t=table: load(t) for table in present])
         archive = _plan_once(ws, "csv_archive_plan", run_id, lambda: plan_csv_archive(files, run_time))
         apply_moves(archive, ws.files_root)
     link_documents(ws, run_time, run_id)
@@ -96,6 +97,7 @@ def link_documents(ws: Workspace, run_time: datetime, run_id: str) -> None:
     )
     batch = f"{run_id}-link"
     _together(
+        ws.spark,
         lambda: tables.append_once("attachments_raw", linking.link_attachments(found, ws.uri, run_time), batch),
         lambda: tables.append_once("orphan_pdfs", linking.orphan_documents(found, ws.uri, run_time), batch),
         lambda: tables.append_once("data_error_logs", linking.document_errors(found, run_time), batch),
@@ -112,11 +114,13 @@ def curate(ws: Workspace, run_time: datetime, run_id: str) -> None:
     """Rebuild the golden tables, then log what they leave out."""
     t, bad = ws.tables, ws.on_bad_date
     _together(
+        ws.spark,
         lambda: t.replace("customers_curated", curation.curate_customers(t.read("customers_raw"), bad)),
         lambda: t.replace("orders_curated", curation.curate_orders(t.read("orders_raw"), bad)),
     )
     orders = t.read("orders_curated")
     _together(
+        ws.spark,
         lambda: t.replace("order_items_curated", curation.curate_order_items(t.read("order_items_raw"), orders)),
         lambda: t.replace("payments_curated", curation.curate_payments(t.read("payments_raw"), orders, bad)),
         lambda: t.replace("returns_curated", curation.curate_returns(t.read("returns_raw"), orders, bad)),
@@ -153,6 +157,7 @@ def build_marts(ws: Workspace) -> None:
 
     items = t.read("order_items_curated")
     _together(
+        ws.spark,
         customers,
         lambda: t.replace("monthly_sales", marts.monthly_sales(t.read("orders_curated"), scale)),
         lambda: t.replace("product_performance", marts.product_performance(items, scale)),
@@ -195,6 +200,4 @@ def remediation_run(ws: Workspace, run_time: datetime, run_id: str) -> None:
 
 def summary(ws: Workspace) -> DataFrame:
     """Rows of every stored table."""
-    from vouchlake.sinks.store import row_counts
-
     return row_counts({name: ws.tables.read(name) for name in schemas.TABLES}).orderBy(F.col("table_name"))
