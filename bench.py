@@ -45,11 +45,13 @@ def timed(build) -> float:
 
 
 def stored_inputs(spark, bed: Testbed, store: TableStore) -> None:
+    # Several files per table, as any table of size has; one file, one task.
+    files = int(CPUS)
     for table in schemas.STAGE:
-        store.replace(f"{table}_raw", getattr(bed, f"{table}_raw")())
-        store.replace(f"{table}_stage", getattr(bed, f"{table}_stage")())
-    store.replace("listing", bed.landing_documents())
-    store.replace("late_listing", bed.late_documents())
+        store.replace(f"{table}_raw", getattr(bed, f"{table}_raw")().repartition(files))
+        store.replace(f"{table}_stage", getattr(bed, f"{table}_stage")().repartition(files))
+    store.replace("listing", bed.landing_documents().repartition(files))
+    store.replace("late_listing", bed.late_documents().repartition(files))
     found = linking.classify_documents(store.read("listing"), store.read("orders_raw"))
     store.replace("attachments_raw", linking.link_attachments(found, STORE, AS_OF))
     governed = governance.governance_status(store.read("orders_raw"), store.read("attachments_raw"))

@@ -22,7 +22,7 @@ def classify_documents(listing: DataFrame, orders: DataFrame) -> DataFrame:
     """
     named = listing.select(
         "path", base_name(F.col("path")).alias("file_name"), is_pdf(F.col("path")).alias("__pdf")
-    ).withColumn("order_id", F.when(F.col("__pdf"), extract_order_id(F.col("file_name"))))
+    ).withColumn("order_id", extract_order_id(F.col("file_name")))
     # A file without an order id joins under its own path, not under NULL:
     # many misnamed files would otherwise all meet in one task.
     probe = F.coalesce(F.col("order_id"), F.col("path"))

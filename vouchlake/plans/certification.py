@@ -83,7 +83,8 @@ def ingest_and_link(ws: Workspace, run_time: datetime, run_id: str) -> list[str]
 def _plan_once(ws: Workspace, table: str, run_id: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A written plan of this run: made once, read again if the run repeats."""
     if not ws.tables.has_token(table, run_id):
-        ws.tables.replace(table, build(), token=run_id)
+        # Listing tasks yield few rows each; rebalancing writes them together.
+        ws.tables.replace(table, build().hint("rebalance"), token=run_id)
     return ws.tables.read(table)
 
 

@@ -66,15 +66,17 @@ def _move_batches(root: str):
     return run
 
 
-def apply_moves(plan: DataFrame, root: str) -> dict[tuple[str, str], int]:
-    """Carry out a plan of paths relative to ``root``, in the tasks.
+def apply_moves(plan: DataFrame, root: str, files_per_task: int = 500) -> dict[tuple[str, str], int]:
+    """Carry out a written plan of paths relative to ``root``, in the tasks.
 
     Two sources for one destination stop the run before the first move. The
     result counts the files per (zone, outcome), a handful of rows.
     """
     if not collisions(plan).isEmpty():
         raise ValueError("two files would move to one destination; rename one of them first")
-    moved = plan.select(*PLAN_COLUMNS).mapInPandas(
+    # Rows are few bytes each but a move is slow, so tasks are cut by count.
+    tasks = -(-plan.count() // files_per_task)
+    moved = plan.select(*PLAN_COLUMNS).repartition(max(tasks, 1), "source_path").mapInPandas(
         _move_batches(root), "source_path string, dest_path string, zone string, outcome string"
     )
     tally = moved.groupBy("zone", "outcome").count().collect()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vouchlake.functions.names import is_pdf
 
+_SCANS_PER_TASK = 64
 LISTING_COLUMNS = ["path", "modificationTime", "length"]
 
 
@@ -20,7 +21,12 @@ def list_landing(spark: SparkSession, root: str, glob: str | None = None) -> Dat
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(*LISTING_COLUMNS)
+    files = reader.load(root).select(*LISTING_COLUMNS)
+    # The scan plans its tasks for files that are read, some thirty to a task.
+    # Nothing is read here, so many of them may share one.
+    planned = files.rdd.getNumPartitions()
+    wanted = max(spark.sparkContext.defaultParallelism, planned // _SCANS_PER_TASK)
+    return files.coalesce(wanted) if planned > wanted else files
 
 
 def relative_to(listing: DataFrame, root: str) -> DataFrame:
