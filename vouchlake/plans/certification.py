@@ -32,6 +32,11 @@ class Workspace:
 
     ``files_root`` is the object store as Spark reaches it. ``store_uri`` is
     the address written into stored paths, the same unless stated.
+    ``inventory`` gives the listing of a zone as a DataFrame, paths relative to
+    the root. Without it Spark lists the zone itself, which holds one status
+    per file on the driver; a zone of very many files should bring the store's
+    own inventory table. A finished run leaves ``keep_versions`` versions of
+    each table.
     """
 
     spark: SparkSession
@@ -40,8 +45,12 @@ class Workspace:
     store_uri: str = ""
     on_bad_date: str = "fail"
     money_scale: int | None = None
+    inventory: Callable[[str], DataFrame] | None = None
+    keep_versions: int = 3
 
     def listing(self, zone: str) -> DataFrame:
+        if self.inventory is not None:
+            return self.inventory(zone)
         return relative_to(list_landing(self.spark, f"{self.files_root}/{zone}"), self.files_root)
 
     @property
@@ -186,17 +195,22 @@ def sweep_late_documents(ws: Workspace, run_time: datetime, run_id: str) -> None
 def certified_run(ws: Workspace, run_time: datetime, run_id: str) -> None:
     """Ingest, certify, curate and build the marts."""
     ingest_and_link(ws, run_time, run_id)
-    certify(ws)
-    curate(ws, run_time, run_id)
-    build_marts(ws)
+    _refresh(ws, run_time, run_id)
 
 
 def remediation_run(ws: Workspace, run_time: datetime, run_id: str) -> None:
     """Recover late documents and bring everything behind them up to date."""
     sweep_late_documents(ws, run_time, run_id)
+    _refresh(ws, run_time, run_id)
+
+
+def _refresh(ws: Workspace, run_time: datetime, run_id: str) -> None:
     certify(ws)
     curate(ws, run_time, run_id)
     build_marts(ws)
+    # Only now, as a run that has to be repeated looks for its own versions.
+    for table in (*schemas.KNOWN, "csv_archive_plan", "landing_documents", "late_documents"):
+        ws.tables.prune(table, ws.keep_versions)
 
 
 def summary(ws: Workspace) -> DataFrame:

@@ -99,6 +99,9 @@ MARTS = {
 
 TABLES = RAW | CURATED | MARTS
 
+# Every table whose columns are fixed, the stage tables included.
+KNOWN = TABLES | {f"{table}_stage": schema for table, schema in STAGE.items()}
+
 # Texts that stored rows carry and that lookups compare with.
 PASS = "PASS"
 FAIL = "FAIL"
