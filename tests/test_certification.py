@@ -151,3 +151,21 @@ def test_driver_tables_end_to_end(spark, tmp_path):
     for name, schema in schemas.TABLES.items():
         stored = {f.name: f.dataType for f in t.read(name).schema}
         assert stored == {f.name: f.dataType for f in schema}, name
+
+
+def test_inventory_replaces_the_live_listing(spark, tmp_path):
+    ws = workspace(spark, tmp_path)
+    land(ws, "orders", "O1,C1,2024-01-05,new,1.00,2024-01-06 00:00:00")
+    documents(ws, "invoice_O1_20240105.pdf", "invoice_O1_20240106.pdf")
+    live = ws.listing
+
+    def inventory(zone):
+        ws.inventory = None
+        listed = live(zone).filter(~F.col("path").contains("20240106"))
+        ws.inventory = inventory
+        return listed
+
+    ws.inventory = inventory
+    flow.ingest_and_link(ws, NOW, "run1")
+    assert ws.tables.read("attachments_raw").count() == 1
+    assert stored_files(ws, schemas.LANDING_PDF) == ["invoice_O1_20240106.pdf"]
