@@ -3,6 +3,7 @@
 import os
 from datetime import datetime, timedelta, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import TESTDATA, rows
@@ -169,3 +170,15 @@ def test_inventory_replaces_the_live_listing(spark, tmp_path):
     flow.ingest_and_link(ws, NOW, "run1")
     assert ws.tables.read("attachments_raw").count() == 1
     assert stored_files(ws, schemas.LANDING_PDF) == ["invoice_O1_20240106.pdf"]
+
+
+def test_colliding_documents_store_nothing(spark, tmp_path):
+    ws = workspace(spark, tmp_path)
+    land(ws, "orders", "O1,C1,2024-01-05,new,1.00,2024-01-06 00:00:00")
+    documents(ws, "a/invoice_O1_20240105.pdf", "b/invoice_O1_20240105.pdf")
+    with pytest.raises(ValueError, match="2 files would move to archive/pdfs/invoice_O1_20240105.pdf"):
+        flow.ingest_and_link(ws, NOW, "run1")
+    assert ws.tables.read("attachments_raw").count() == 0
+    os.rename(f"{ws.files_root}/{schemas.LANDING_PDF}/b/invoice_O1_20240105.pdf", f"{ws.files_root}/{schemas.LANDING_PDF}/b/invoice_O1_20240106.pdf")
+    flow.ingest_and_link(ws, NOW, "run2")
+    assert ws.tables.read("attachments_raw").count() == 2

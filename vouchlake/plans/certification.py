@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from vouchlake import schemas
 from vouchlake.operators import curation, governance, linking, marts, remediation
 from vouchlake.operators.upsert import merge_into_raw
-from vouchlake.sinks.moves import apply_moves, plan_csv_archive, plan_document_moves
+from vouchlake.sinks.moves import apply_moves, plan_csv_archive, plan_document_moves, require_distinct_destinations
 from vouchlake.sinks.store import TableStore, row_counts
 from vouchlake.sources.csv_drops import present_tables, scan_csv_fixed
 from vouchlake.sources.landing import list_landing, relative_to
@@ -105,6 +105,8 @@ def link_documents(ws: Workspace, run_time: datetime, run_id: str) -> None:
         run_id,
         lambda: linking.classify_documents(ws.listing(schemas.LANDING_PDF), tables.read("orders_raw")),
     )
+    plan = plan_document_moves(found)
+    require_distinct_destinations(plan)
     batch = f"{run_id}-link"
     _together(
         ws.spark,
@@ -112,7 +114,7 @@ def link_documents(ws: Workspace, run_time: datetime, run_id: str) -> None:
         lambda: tables.append_once("orphan_pdfs", linking.orphan_documents(found, ws.uri, run_time), batch),
         lambda: tables.append_once("data_error_logs", linking.document_errors(found, run_time), batch),
     )
-    apply_moves(plan_document_moves(found), ws.files_root)
+    apply_moves(plan, ws.files_root)
 
 
 def certify(ws: Workspace) -> None:
@@ -186,10 +188,12 @@ def sweep_late_documents(ws: Workspace, run_time: datetime, run_id: str) -> None
     )
     if found.isEmpty():
         return
+    plan = plan_document_moves(found)
+    require_distinct_destinations(plan)
     t.append_once("attachments_raw", linking.attachment_rows(found, ws.uri, run_time), f"{run_id}-sweep")
     t.rewrite("data_error_logs", lambda log: remediation.resolve_error_logs(log, found, run_time))
     t.replace("orders_raw", remediation.reset_recovered_orders(t.read("orders_raw"), found))
-    apply_moves(plan_document_moves(found), ws.files_root)
+    apply_moves(plan, ws.files_root)
 
 
 def certified_run(ws: Workspace, run_time: datetime, run_id: str) -> None:

@@ -14,11 +14,11 @@ from vouchlake import schemas, session
 from vouchlake.functions import dates, names, values
 from vouchlake.operators import curation, governance, keys, linking, marts, remediation
 from vouchlake.operators.upsert import merge_into_raw
-from vouchlake.plans.testbed import AS_OF, LATE_AS_OF, STORE, Testbed, write_files
-from vouchlake.sinks.moves import plan_csv_archive, plan_document_moves
+from vouchlake.plans.testbed import AS_OF, LATE_AS_OF, LOADED_AT, STORE, Testbed, write_files
+from vouchlake.sinks import moves
 from vouchlake.sinks.store import TableStore, row_counts
 from vouchlake.sources import csv_drops, landing
-from vouchlake.streaming.drops import ingest_incremental
+from vouchlake.streaming import drops
 
 Check = Callable[[SparkSession, str], DataFrame]
 CHECKS: dict[str, Check] = {}
@@ -113,7 +113,7 @@ def present_tables(t: Stage) -> DataFrame:
 @check
 def list_landing(t: Stage) -> DataFrame:
     root = t.scratch("documents")
-    write_files(t.landing_documents(), root)
+    write_files(t.daily_documents(), root)
     return landing.relative_to(landing.list_landing(t.spark, root), root).select("path", "length")
 
 
@@ -175,16 +175,13 @@ def clean_reload(t: Stage) -> DataFrame:
 
 
 @check
-def plan_csv_archive_(t: Stage) -> DataFrame:
-    return plan_csv_archive(t.landing_csvs(), datetime(1998, 7, 1))
-
-
-CHECKS["plan_csv_archive"] = CHECKS.pop("plan_csv_archive_")
+def plan_csv_archive(t: Stage) -> DataFrame:
+    return moves.plan_csv_archive(t.landing_csvs(), datetime(1998, 7, 1))
 
 
 @check
 def plan_pdf_moves(t: Stage) -> DataFrame:
-    return plan_document_moves(t.classified())
+    return moves.plan_document_moves(t.classified())
 
 
 # ---- row changes -----------------------------------------------------------
@@ -535,16 +532,13 @@ def product_returns(t: Stage) -> DataFrame:
 
 
 @check
-def ingest_incremental_(t: Stage) -> DataFrame:
+def ingest_incremental(t: Stage) -> DataFrame:
     """Two drops picked up one after the other by the same stream."""
-    drops, store, checkpoint = t.scratch("drops"), t.store("incremental"), t.scratch("checkpoint")
+    root, store, checkpoint = t.scratch("drops"), t.store("incremental"), t.scratch("checkpoint")
+    # A drop is written as part files, which are one batch together.
+    whole = 1_000_000
     columns = schemas.STAGE["orders"].fieldNames()
-    from vouchlake.plans.testbed import LOADED_AT
-
-    t.orders_raw().select(columns).write.csv(f"{drops}/first", header=True)
-    ingest_incremental(t.spark, store, "orders", drops, checkpoint, LOADED_AT, files_per_batch=1000)
-    t.orders_stage().write.csv(f"{drops}/second", header=True)
-    return ingest_incremental(t.spark, store, "orders", drops, checkpoint, AS_OF, files_per_batch=1000)
-
-
-CHECKS["ingest_incremental"] = CHECKS.pop("ingest_incremental_")
+    t.orders_raw().select(columns).write.csv(f"{root}/first", header=True)
+    drops.ingest_incremental(t.spark, store, "orders", root, checkpoint, LOADED_AT, whole)
+    t.orders_stage().write.csv(f"{root}/second", header=True)
+    return drops.ingest_incremental(t.spark, store, "orders", root, checkpoint, AS_OF, whole)

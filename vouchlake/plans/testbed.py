@@ -11,6 +11,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vouchlake.sinks.moves import file_system
+
 LOADED_AT = datetime(2026, 1, 19)
 AS_OF = datetime(2026, 1, 20, 12, 30)
 LATE_AS_OF = datetime(2026, 2, 1, 8, 15)
@@ -292,6 +294,18 @@ class Testbed:
         late = F.when((k % 20 == 10) | (k % 100 == 5), self._invoice(k, iso))
         return self._listing(F.array_compact(F.array(late)))
 
+    def daily_documents(self) -> DataFrame:
+        """One document per order day, named after the day's first order.
+
+        Their number is bounded by the calendar, so they can be made as files
+        at any scale.
+        """
+        days = self._orders().groupBy("iso").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("orders"))
+        return days.select(
+            F.concat(F.lit("landing/unstructured/"), self._invoice(F.col("k"), F.col("iso"))).alias("path"),
+            (F.col("orders") % 1000).alias("length"),
+        )
+
     def landing_csvs(self) -> DataFrame:
         """CSV drops and their marker files, one pair per order."""
         drop = F.concat(F.lit("landing/structured/orders.v"), F.col("k"))
@@ -306,13 +320,11 @@ def write_files(listing: DataFrame, root: str) -> int:
     """Create the listed files below a root folder, in the tasks."""
 
     def create(batches):
-        from pyarrow import fs as afs
-
-        store, base = afs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        store, base = file_system(root)
         made = set()
         for batch in batches:
             for path, length in zip(batch["path"], batch["length"]):
-                target = f"{base.rstrip('/')}/{path}"
+                target = f"{base}/{path}"
                 folder = target.rsplit("/", 1)[0]
                 if folder not in made:
                     store.create_dir(folder, recursive=True)

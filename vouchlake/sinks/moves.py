@@ -39,12 +39,29 @@ def collisions(plan: DataFrame) -> DataFrame:
     return plan.groupBy("dest_path").agg(F.count(F.lit(1)).alias("sources")).filter(F.col("sources") > 1)
 
 
+def require_distinct_destinations(plan: DataFrame) -> None:
+    found = collisions(plan).first()
+    if found is not None:
+        raise ValueError(
+            f"{found['sources']} files would move to {found['dest_path']}; rename all but one and start a new run"
+        )
+
+
+def file_system(root: str):
+    """The Arrow file system of a root folder and the path inside it."""
+    from pyarrow import fs as afs
+
+    if "://" not in root:
+        root = f"file://{root.removeprefix('file:')}"
+    store, base = afs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
+    return store, base.rstrip("/")
+
+
 def _move_batches(root: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as afs
 
-        store, base = afs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
-        base = base.rstrip("/")
+        store, base = file_system(root)
         made: set[str] = set()
         for batch in batches:
             outcomes = []
@@ -72,8 +89,7 @@ def apply_moves(plan: DataFrame, root: str, files_per_task: int = 500) -> dict[t
     Two sources for one destination stop the run before the first move. The
     result counts the files per (zone, outcome), a handful of rows.
     """
-    if not collisions(plan).isEmpty():
-        raise ValueError("two files would move to one destination; rename one of them first")
+    require_distinct_destinations(plan)
     # Rows are few bytes each but a move is slow, so tasks are cut by count.
     tasks = -(-plan.count() // files_per_task)
     moved = plan.select(*PLAN_COLUMNS).repartition(max(tasks, 1), "source_path").mapInPandas(
