@@ -70,8 +70,8 @@ def test_repeated_key_on_a_match_fails(spark):
     target = raw_orders(spark, [stored("O1", "2024-01-05 00:00:00")])
     # Older rows would change nothing, the repetition is an error all the same.
     source = stage_orders(spark, [batch("O1", "2024-01-01 00:00:00"), batch("O1", "2024-01-02 00:00:00")])
-    with pytest.raises(Exception, match="more than one batch row for stored key O1"):
-        merge_into_raw("orders", target, source, AS_OF).count()
+    with pytest.raises(ValueError, match="more than one batch row for stored key O1"):
+        merge_into_raw("orders", target, source, AS_OF)
 
 
 def test_bad_timestamp_fails_only_on_a_match(spark):

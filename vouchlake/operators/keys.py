@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def same_key(left: Column, right: Column, by: Callable[[Column], Column] | None = None) -> Column:
+Hash = Callable[[Column], Column]
+
+
+def same_key(left: Column, right: Column, by: Hash = F.xxhash64) -> Column:
     """Key equality with the keys' hashes beside it; NULL equals nothing.
 
     The hash adds no condition. It makes the join shuffle by (hash, key), which
@@ -24,7 +27,6 @@ def same_key(left: Column, right: Column, by: Callable[[Column], Column] | None
     A join right after another one on the same key takes another hash function
     (``by``) to get a shuffle of its own again.
     """
-    by = by or F.xxhash64
     return (by(left) == by(right)) & (left == right)
 
 
@@ -38,16 +40,16 @@ def cascade(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return within(child, parent, key, key)
 
 
-def within(child: DataFrame, keys: DataFrame, child_key: str, key: str) -> DataFrame:
+def within(child: DataFrame, keys: DataFrame, child_key: str, key: str, by: Hash = F.xxhash64) -> DataFrame:
     """Child rows whose key is in the set; NULL keys drop out."""
     listed = key_set(keys, key, "__listed")
-    return child.join(listed, same_key(F.col(child_key), F.col("__listed")), "left_semi")
+    return child.join(listed, same_key(F.col(child_key), F.col("__listed"), by), "left_semi")
 
 
-def without(child: DataFrame, keys: DataFrame, child_key: str, key: str) -> DataFrame:
+def without(child: DataFrame, keys: DataFrame, child_key: str, key: str, by: Hash = F.xxhash64) -> DataFrame:
     """Child rows whose key is not in the set; NULL keys stay."""
     listed = key_set(keys, key, "__listed")
-    return child.join(listed, same_key(F.col(child_key), F.col("__listed")), "left_anti")
+    return child.join(listed, same_key(F.col(child_key), F.col("__listed"), by), "left_anti")
 
 
 def marked(df: DataFrame, keys: DataFrame, df_key: str, key: str, mark: str) -> DataFrame:

@@ -4,8 +4,7 @@ Built from a left join and an anti join instead of one full outer join: Spark
 can broadcast a batch below its size threshold, so a daily batch does not
 shuffle a large table, and for a large batch it can split a hot key, which a
 full outer join does not allow. The stored table is read twice, the second
-time its key column only. Only batch rows with a stored key take part in the
-left join, so many copies of one new key do not meet there.
+time its key column only; both joins share one shuffle of the batch.
 """
 
 from __future__ import annotations
@@ -30,23 +29,9 @@ def old(column: str) -> Column:
     return F.col(f"stored_row.`{column}`")
 
 
-def _matched_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Keys present on both sides; fails when the batch repeats one of them."""
-    per_key = (
-        source.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("__batch_key"))
-        .agg(F.count(F.lit(1)).alias("__copies"))
-    )
-    per_match = (
-        target.select(key)
-        .join(per_key, same_key(F.col(key), F.col("__batch_key")))
-        .groupBy(key)
-        .agg(F.max("__copies").alias("__copies"))
-    )
-    # The test stands on the grouped match: Spark would move one on the batch
-    # count alone below the join and reject keys that match nothing.
-    repeated = F.raise_error(F.concat(F.lit("more than one batch row for stored key "), F.col(key))).cast("boolean")
-    return per_match.filter(F.when(F.col("__copies") > 1, repeated).otherwise(True)).select(key)
+def _repeated_keys(source: DataFrame, key: str) -> DataFrame:
+    copies = source.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+    return copies.filter(F.col("copies") > 1).select(key)
 
 
 def upsert(
@@ -63,20 +48,38 @@ def upsert(
     and keeps everything else. An unmatched batch row is inserted with the
     ``insert`` expressions (a column left out is NULL). A NULL key matches
     nothing, so such batch rows are always inserted; so is every copy of a
-    key the table does not hold yet.
+    key the table does not hold yet. Copies of a key it holds are an error.
+
+    A look at the batch's key column, run at once, tells whether any key is
+    repeated. Only then are the stored keys searched for those, and the copies
+    of new keys kept out of the joins, where they would meet in one task.
     """
-    matched = _matched_keys(target, source, key)
-    stored, changes = target.alias("stored_row"), within(source, matched, key, key).alias("batch_row")
+    keyed = source.filter(F.col(key).isNotNull())
+    unmatched = [source.filter(F.col(key).isNull())]
+    repeated = _repeated_keys(keyed, key)
+    if not repeated.isEmpty():
+        held = within(target.select(key), repeated, key, key).first()
+        if held is not None:
+            raise ValueError(f"more than one batch row for stored key {held[0]}")
+        unmatched.append(within(keyed, repeated, key, key, F.hash))
+        keyed = without(keyed, repeated, key, key, F.hash)
+    unmatched.append(without(keyed, within(target.select(key), keyed, key, key), key, key))
+
     change = new(key).isNotNull()
     if update_when is not None:
         change = change & F.coalesce(update_when, F.lit(False))
-    kept = stored.join(changes, same_key(old(key), new(key), F.hash), "left").select(
-        [F.when(change, update[c]).otherwise(old(c)).alias(c) if c in update else old(c) for c in target.columns]
-    )
-    added = without(source, matched, key, key).alias("batch_row").select(
-        [insert.get(c, F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+    merged = (
+        target.alias("stored_row")
+        .join(keyed.alias("batch_row"), same_key(old(key), new(key)), "left")
+        .select([F.when(change, update[c]).otherwise(old(c)).alias(c) if c in update else old(c) for c in target.columns])
     )
-    return kept.unionByName(added)
+    for rows in unmatched:
+        merged = merged.unionByName(
+            rows.alias("batch_row").select(
+                [insert.get(c, F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+            )
+        )
+    return merged
 
 
 # Columns an update leaves as they were first inserted, beside the key.
