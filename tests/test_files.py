@@ -35,6 +35,8 @@ def test_fixed_csv_wrong_width_fails(spark, tmp_path, line):
     write(path, HEAD + line)
     with pytest.raises(Exception):
         csv_drops.scan_csv_fixed(spark, "pdf_manifest", path).collect()
+    with pytest.raises(Exception):
+        csv_drops.scan_csv_fixed(spark, "pdf_manifest", path).count()
 
 
 def test_fixed_csv_header_only(spark, tmp_path):

@@ -370,13 +370,14 @@ def fn_row_to_json(t: Stage) -> DataFrame:
 
 @check
 def fn_date_diff(t: Stage) -> DataFrame:
-    days = F.date_diff(F.max("order_date"), F.min("order_date")).alias("days")
+    days = F.date_diff(F.max("order_date"), F.min("order_date")).cast("bigint").alias("days")
     return t.orders().groupBy("customer_id").agg(days)
 
 
 @check
 def fn_extract(t: Stage) -> DataFrame:
-    return t.orders().select("order_id", F.year("order_date").alias("year"), F.month("order_date").alias("month"))
+    year, month = F.year("order_date").cast("bigint"), F.month("order_date").cast("bigint")
+    return t.orders().select("order_id", year.alias("year"), month.alias("month"))
 
 
 @check

@@ -81,13 +81,13 @@ CURATED = {
 MARTS = {
     "customer_clv": _table(
         "customer_id string, total_orders long, total_spend double, avg_order_value double, "
-        "first_order_date date, last_order_date date, customer_lifetime_days integer, clv_amount double"
+        "first_order_date date, last_order_date date, customer_lifetime_days long, clv_amount double"
     ),
     "customer_segments": _table(
         "customer_id string, clv_amount double, total_orders long, customer_segment string"
     ),
     "monthly_sales": _table(
-        "year integer, month integer, total_orders long, total_revenue double, avg_order_value double"
+        "year long, month long, total_orders long, total_revenue double, avg_order_value double"
     ),
     "product_performance": _table(
         "product_id string, total_quantity_sold long, total_revenue double, total_orders long"

@@ -15,6 +15,8 @@ FIXED_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",
     "mode": "FAILFAST",
+    # Otherwise a job that needs few columns would not see rows of wrong width.
+    "columnPruning": "false",
     "escape": '"',
     "emptyValue": _QUOTED_EMPTY,
 }
