@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchlake.llm import mixing, secrets, token_counts
+from vouchlake.llm import mixing, ngram_join, secrets, token_counts
 from vouchlake.llm.common import table
 from vouchlake.session import scratch_dir
 from vouchlake.sinks.store import TableStore
@@ -46,8 +46,14 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.ngram_components(table(spark, sf_dir, "documents"), n=3, num=9, den=10)
+    return found.withColumnRenamed("n_ngrams", "n_shingles")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op4_token_counts": op4_token_counts,
     "op8_secret_scan": op8_secret_scan,
+    "op10_ngram_join": op10_ngram_join,
 }
