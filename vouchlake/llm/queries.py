@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchlake.llm import mixing, ngram_join, secrets, token_counts
+from vouchlake.llm import brown, mixing, ngram_join, secrets, token_counts
 from vouchlake.llm.common import table
 from vouchlake.session import scratch_dir
 from vouchlake.sinks.store import TableStore
@@ -51,9 +51,20 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("n_ngrams", "n_shingles")
 
 
+def _remainder(n: int):
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
+
+
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", (_remainder(10) == 0).alias("held_out"), "text")
+    model, counts = brown.fit(docs.where(~F.col("held_out")))
+    return brown.score(docs, model, counts)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op4_token_counts": op4_token_counts,
+    "op7_class_lm": op7_class_lm,
     "op8_secret_scan": op8_secret_scan,
     "op10_ngram_join": op10_ngram_join,
 }
