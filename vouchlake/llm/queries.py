@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchlake.llm import brown, mixing, ngram_join, secrets, token_counts
+from vouchlake.llm import brown, language_id, mixing, ngram_join, secrets, token_counts
 from vouchlake.llm.common import table
 from vouchlake.session import scratch_dir
 from vouchlake.sinks.store import TableStore
@@ -55,6 +55,13 @@ def _remainder(n: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    dictionaries = language_id.fit(docs.where(_remainder(3) != 1))
+    unseen = docs.select("doc_id", (_remainder(3) == 1).alias("held_out"), "text")
+    return language_id.identify(unseen, dictionaries).drop("text")
+
+
 def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", (_remainder(10) == 0).alias("held_out"), "text")
     model, counts = brown.fit(docs.where(~F.col("held_out")))
@@ -64,6 +71,7 @@ def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op4_token_counts": op4_token_counts,
+    "op6_language_id": op6_language_id,
     "op7_class_lm": op7_class_lm,
     "op8_secret_scan": op8_secret_scan,
     "op10_ngram_join": op10_ngram_join,
