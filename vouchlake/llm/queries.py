@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchlake.llm import brown, language_id, mixing, ngram_join, secrets, token_counts
+from vouchlake.llm import brown, language_id, mixing, ngram_join, pieces, secrets, token_counts
 from vouchlake.llm.common import table
 from vouchlake.session import scratch_dir
 from vouchlake.sinks.store import TableStore
@@ -46,6 +46,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.ngram_components(table(spark, sf_dir, "documents"), n=3, num=9, den=10)
     return found.withColumnRenamed("n_ngrams", "n_shingles")
@@ -74,5 +78,6 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_class_lm": op7_class_lm,
     "op8_secret_scan": op8_secret_scan,
+    "op9_pieces": op9_pieces,
     "op10_ngram_join": op10_ngram_join,
 }
