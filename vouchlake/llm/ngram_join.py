@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from vouchlake.llm.common import stored
 from vouchlake.llm.components import connected_components
+from vouchlake.llm.tiles import tiled, whole_runs
 from vouchlake.llm.words import mix64, ngram_sets
 from vouchlake.operators.keys import same_key
 from vouchlake.session import ship_package
@@ -163,24 +164,6 @@ def _banded(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.withColumn("band", F.explode(bands))
 
 
-def _tiled(rows: DataFrame, keys: list[str], weight, most: int) -> DataFrame:
-    """Rows copied to the tiles of their key: pairs of blocks of bounded weight."""
-    total = rows.groupBy(*keys).agg(F.ceil(F.sum(weight) / most).cast("int").alias("blocks"), F.count(F.lit(1)).alias("members"))
-    total = total.where(F.col("members") > 1).select(*[F.col(k).alias(f"t_{k}") for k in keys], "blocks")
-    same = same_key(F.col(keys[0]), F.col(f"t_{keys[0]}"))
-    for k in keys[1:]:
-        same = same & (F.col(k) == F.col(f"t_{k}"))
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    return (
-        rows.join(total, same)
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
-        .drop("block", "other", "blocks", *[f"t_{k}" for k in keys])
-    )
-
-
 def _links(tiles: DataFrame, keys: list[str], num: int, den: int, exact: bool) -> DataFrame:
     """Spanning links of every tile."""
 
@@ -192,7 +175,7 @@ def _links(tiles: DataFrame, keys: list[str], num: int, den: int, exact: bool) -
                 joined[x] = x = joined.get(joined[x], joined[x])
             return x
 
-        for tile in _runs(batches, [*keys, "low", "high"]):
+        for tile in whole_runs(batches, [*keys, "low", "high"]):
             ids = tile.column("doc_id").to_pylist()
             if len({root(x) for x in ids}) == 1:
                 continue
@@ -223,27 +206,6 @@ def _links(tiles: DataFrame, keys: list[str], num: int, den: int, exact: bool) -
     return dealt.mapInArrow(links, "a long, b long")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """The runs of rows with equal keys, whole, also across batches."""
-    open_run: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(batch.num_rows - 1, dtype=bool)
-        for c in columns:
-            change |= c[1:] != c[:-1]
-        starts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-        for first, last in zip(starts, starts[1:], strict=False):
-            part = batch.slice(first, last - first)
-            if open_run and any(open_run[-1].column(k)[0] != part.column(k)[0] for k in keys):
-                yield pa.concat_batches(open_run)
-                open_run = []
-            open_run.append(part)
-    if open_run:
-        yield pa.concat_batches(open_run)
-
-
 def _with_sets(docs: DataFrame, n: int) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,13 +230,13 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -
     first = known.groupBy("fp1", "fp2").agg(F.min(F.struct("doc_id", "n_ngrams", "prefix", "bits")).alias("r"))
     reps = stored(first.select("fp1", "fp2", "r.*"), "ngram-sets")
     held = _banded(reps.select("doc_id", "n_ngrams", F.explode("prefix").alias("gram")), num, den)
-    tiles = _tiled(held, ["gram", "band"], F.lit(1), BLOCK_DOCS)
+    tiles = tiled(held, ["gram", "band"], F.lit(1), BLOCK_DOCS)
     maps = reps.select(F.col("doc_id").alias("m_doc"), F.col("n_ngrams").alias("m_n"), "bits")
     tiles = tiles.join(maps, same_key(F.col("doc_id"), F.col("m_doc")) & (F.col("n_ngrams") == F.col("m_n"))).drop("m_doc", "m_n")
     groups = connected_components(_links(tiles, ["gram", "band"], num, den, exact=False))
     groups = groups.select(F.col("node").alias("g_doc"), F.col("component").alias("grp"))
     grouped = reps.select("doc_id", "n_ngrams").join(groups, same_key(F.col("doc_id"), F.col("g_doc"))).drop("g_doc")
-    tiles = _tiled(_banded(grouped, num, den), ["grp", "band"], F.col("n_ngrams"), BLOCK_NGRAMS)
+    tiles = tiled(_banded(grouped, num, den), ["grp", "band"], F.col("n_ngrams"), BLOCK_NGRAMS)
     tiles = tiles.select(F.col("doc_id").alias("t_doc"), *_TILE)
     texts = docs.join(tiles, same_key(F.col("doc_id"), F.col("t_doc"))).select("doc_id", *_TILE, "text")
     links = _links(_with_sets(texts, n), ["grp", "band"], num, den, exact=True)

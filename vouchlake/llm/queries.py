@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchlake.llm import brown, language_id, mixing, ngram_join, pieces, secrets, token_counts
+from vouchlake.llm import brown, language_id, mixing, multi_index, ngram_join, pieces, secrets, token_counts
 from vouchlake.llm.common import table
 from vouchlake.session import scratch_dir
 from vouchlake.sinks.store import TableStore
@@ -16,6 +16,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return multi_index.search(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches: all documents, their recount by another tokenizer, the removal of repeated texts."""
     docs = table(spark, sf_dir, "documents")
@@ -74,6 +79,7 @@ def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_nearest": op2_nearest,
     "op4_token_counts": op4_token_counts,
     "op6_language_id": op6_language_id,
     "op7_class_lm": op7_class_lm,
