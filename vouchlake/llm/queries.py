@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchlake.llm import brown, language_id, mixing, multi_index, ngram_join, pieces, secrets, token_counts
+from vouchlake.llm import brown, language_id, mixing, multi_index, near_vectors, ngram_join, pieces, secrets, token_counts
 from vouchlake.llm.common import table
 from vouchlake.session import scratch_dir
 from vouchlake.sinks.store import TableStore
@@ -64,6 +64,10 @@ def _remainder(n: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
 
 
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.vector_components(table(spark, sf_dir, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     dictionaries = language_id.fit(docs.where(_remainder(3) != 1))
@@ -81,6 +85,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_nearest": op2_nearest,
     "op4_token_counts": op4_token_counts,
+    "op5_near_vectors": op5_near_vectors,
     "op6_language_id": op6_language_id,
     "op7_class_lm": op7_class_lm,
     "op8_secret_scan": op8_secret_scan,
