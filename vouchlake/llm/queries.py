@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchlake.llm import brown, language_id, mixing, multi_index, near_vectors, ngram_join, pieces, secrets, token_counts
+from vouchlake.llm import brown, language_id, line_dedup, mixing, multi_index, near_vectors, ngram_join, pieces, secrets, token_counts
 from vouchlake.llm.common import table
 from vouchlake.session import scratch_dir
 from vouchlake.sinks.store import TableStore
@@ -21,6 +21,10 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(rows, rows.where(F.col("vec_id") % 50 == 0))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches: all documents, their recount by another tokenizer, the removal of repeated texts."""
     docs = table(spark, sf_dir, "documents")
@@ -84,6 +88,7 @@ def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_nearest": op2_nearest,
+    "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_near_vectors": op5_near_vectors,
     "op6_language_id": op6_language_id,
