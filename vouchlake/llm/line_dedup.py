@@ -32,12 +32,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vouchlake.llm.common import stored
+from vouchlake.llm.picks import may_hold, table_byte
 from vouchlake.operators.keys import same_key
 
 NUM, DEN = 8, 10
 BUCKETS = 1 << 18  # of the word count; their classes, a byte each, go to all tasks
 COMMON = 14  # classes below the most common word's, from which words are too common to group by
-PICK_BITS = 20  # of the filter that picks lines to verify: 128 kB
 _MASK = (1 << 56) - 1
 _MIXES = (0, 0x5A5A17C3D21B9E37, 0x33CC55AA0F1E2D4B, 0x69965AA53C99F00F)
 _WORDS = r"[\x20\x09-\x0D]+"
@@ -64,10 +64,6 @@ def rarity_classes(lines: DataFrame, buckets: int = BUCKETS) -> tuple[bytes, int
     return bytes(classes), max(1, most - COMMON)
 
 
-def _byte(table: bytes, at: Column) -> Column:
-    return F.ascii(F.decode(F.substring(F.lit(table), at + 1, F.lit(1)), "ISO-8859-1"))
-
-
 def _lines(docs: DataFrame) -> DataFrame:
     kept = [c for c in ("place", "mark") if c in docs.columns]
     return docs.where(F.col("text").isNotNull()).select(*kept, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -77,7 +73,7 @@ def _ordered(hashes: Column, classes: bytes) -> Column:
     """Words as numbers: the rarity class above, the hash below."""
 
     def keyed(w: Column) -> Column:
-        rank = _byte(classes, _bucket(w, len(classes))).cast("long")
+        rank = table_byte(classes, _bucket(w, len(classes))).cast("long")
         return F.shiftleft(rank, 56).bitwiseOR(w.bitwiseAND(F.lit(_MASK)))
 
     return F.sort_array(F.transform(hashes, keyed))
@@ -181,18 +177,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, room: int, classes: bytes) -> D
     pairs = stored(pairs.distinct(), "line-pairs")
     ends = [pairs.select(F.col(f"{end}_rid").alias("rid"), F.col(f"{end}_fp").alias("fp")) for end in ("later", "earlier")]
     wanted = stored(ends[0].unionByName(ends[1]).distinct(), "lines-wanted")
-    # Most lines are in no pair: a bitmap of a fixed size keeps them out of the shuffle.
-    spot = F.xxhash64("rid").bitwiseAND((1 << PICK_BITS) - 1)
-    bitmap = bytearray(1 << (PICK_BITS - 3))
-    rows = wanted.groupBy(F.bitmap_bucket_number(spot + 1).alias("k")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(spot + 1)).alias("bits")
-    )
-    for row in rows.toLocalIterator():  # 4 kB for each 32768 bits
-        at = (row.k - 1) * 4096
-        bitmap[at : at + len(row.bits)] = row.bits
+    in_pair = may_hold(wanted.select("rid"))
     lines = _lines(docs).select((F.col("place") * room + F.col("line_no")).alias("rid"), "line")
-    byte = _byte(bytes(bitmap), F.shiftright(spot, 3).cast("int")).cast("long")
-    picked = lines.where(F.getbit(byte, spot.bitwiseAND(7).cast("int")) == 1).select("rid", words(F.col("line")).alias("words"))
+    picked = lines.where(in_pair(F.col("rid"))).select("rid", words(F.col("line")).alias("words"))
     picked = picked.where(F.size("words") > 0).withColumn("fp", F.xxhash64(_ordered(F.col("words"), classes)))
     same = same_key(F.col("rid"), F.col("w_rid")) & (F.col("fp") == F.col("w_fp"))
     held = picked.join(wanted.select(F.col("rid").alias("w_rid"), F.col("fp").alias("w_fp")), same).select("rid", "fp", "words")

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from vouchlake.llm.common import stored
 from vouchlake.llm.components import connected_components
+from vouchlake.llm.picks import may_hold
 from vouchlake.llm.tiles import tiled, whole_runs
 from vouchlake.llm.words import mix64, ngram_sets
 from vouchlake.operators.keys import same_key
@@ -234,11 +235,12 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -
     maps = reps.select(F.col("doc_id").alias("m_doc"), F.col("n_ngrams").alias("m_n"), "bits")
     tiles = tiles.join(maps, same_key(F.col("doc_id"), F.col("m_doc")) & (F.col("n_ngrams") == F.col("m_n"))).drop("m_doc", "m_n")
     groups = connected_components(_links(tiles, ["gram", "band"], num, den, exact=False))
-    groups = groups.select(F.col("node").alias("g_doc"), F.col("component").alias("grp"))
+    groups = stored(groups.select(F.col("node").alias("g_doc"), F.col("component").alias("grp")), "ngram-groups")
     grouped = reps.select("doc_id", "n_ngrams").join(groups, same_key(F.col("doc_id"), F.col("g_doc"))).drop("g_doc")
     tiles = tiled(_banded(grouped, num, den), ["grp", "band"], F.col("n_ngrams"), BLOCK_NGRAMS)
     tiles = tiles.select(F.col("doc_id").alias("t_doc"), *_TILE)
-    texts = docs.join(tiles, same_key(F.col("doc_id"), F.col("t_doc"))).select("doc_id", *_TILE, "text")
+    in_group = may_hold(groups.select("g_doc"))
+    texts = docs.where(in_group(F.col("doc_id"))).join(tiles, same_key(F.col("doc_id"), F.col("t_doc"))).select("doc_id", *_TILE, "text")
     links = _links(_with_sets(texts, n), ["grp", "band"], num, den, exact=True)
     # Equal sets are links too: an id may stand for several sets.
     linked = connected_components(links.unionByName(_repeated(known, reps)))
@@ -260,3 +262,13 @@ def _repeated(known: DataFrame, reps: DataFrame) -> DataFrame:
     theirs = known.join(several, F.col("doc_id") == F.col("s_doc")).select("doc_id", F.col("fp1").alias("x1"), F.col("fp2").alias("x2"))
     least = reps.select("fp1", "fp2", F.col("doc_id").alias("least"))
     return theirs.join(least, (F.col("x1") == F.col("fp1")) & (F.col("x2") == F.col("fp2"))).select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+
+
+def first_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """``docs`` without those that are not the least of their component; rows with null id stay."""
+    found = ngram_components(docs, n, num, den)
+    later = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("l_id")).distinct()
+    later = stored(later, "ngram-later")
+    suspect = F.coalesce(may_hold(later)(F.col("doc_id")), F.lit(False))
+    kept = docs.where(suspect).join(later, same_key(F.col("doc_id"), F.col("l_id")), "left_anti")
+    return docs.where(~suspect).unionByName(kept)
