@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vouchlake.llm.common import stored
+from vouchlake.llm.common import free_name, stored
 from vouchlake.session import ship_package
 
 SAMPLE_DOCS = 64
@@ -99,11 +99,14 @@ def letters(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+", " "))
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``lang_rejected`` in place of any columns of these names."""
+def identify(
+    docs: DataFrame, dictionaries: dict[str, bytes], columns: tuple[str, str, str] = ("lang_pred", "score", "lang_rejected")
+) -> DataFrame:
+    """``docs`` with the prediction, its score, and whether it is rejected, in place of any columns of these names."""
     ship_package(docs.sparkSession)
     langs = sorted(dictionaries)
-    kept = [f for f in docs.schema if f.name not in ("lang_pred", "score", "lang_rejected", "letters")]
+    kept = [f for f in docs.schema if f.name not in columns]
+    cleaned = free_name(docs, "letters")
     names = [f.name for f in kept]
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +114,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
         close = Coders(dictionaries, CLOSE_LEVEL, CLOSE_PIECE_BYTES)
         for batch in batches:
             found, scores, rejected = [], [], []
-            for text in batch.column("letters"):
+            for text in batch.column(cleaned):
                 text = text.as_py().encode()
                 if not text or not langs:
                     found.append(UNKNOWN)
@@ -126,10 +129,10 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
                 rejected.append(_margin(excess) < MIN_MARGIN)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in names], pa.array(found, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
-                names=[*names, "lang_pred", "score", "lang_rejected"],
+                names=[*names, *columns],
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return docs.select(*[F.col(f"`{n}`") for n in names], letters(F.col("text")).alias("letters")).mapInArrow(
-        predicted, f"{schema}, lang_pred string, score double, lang_rejected boolean"
+    return docs.select(*[F.col(f"`{n}`") for n in names], letters(F.col("text")).alias(cleaned)).mapInArrow(
+        predicted, f"{schema}, `{columns[0]}` string, `{columns[1]}` double, `{columns[2]}` boolean"
     )

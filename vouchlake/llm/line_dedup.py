@@ -260,15 +260,27 @@ def dedup_report(docs: DataFrame) -> DataFrame:
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` without the removed lines; documents that lose all their lines go."""
-    placed, removed = removed_lines(docs)
+    """``docs`` without the removed lines; documents that lose all their lines go.
+
+    ``n_chars``, if there is such a column, follows the text.
+    """
+    # The row travels as one column, so that none of its names meets one used here.
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+    placed, removed = removed_lines(rows)
     kept = F.filter(F.split("text", "\n"), lambda line, k: ~F.coalesce(F.array_contains("removed", k), F.lit(False)))
-    left = _joined(placed, removed).withColumn("kept", kept)
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n"))
-    left = left.where(F.col("removed").isNull() | (F.size("kept") > 0)).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return left.select(docs.columns)
+    whole = F.col("removed").isNull()
+    left = _joined(placed, removed).withColumn("kept", kept).where(whole | (F.size("kept") > 0))
+    left = left.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join("kept", "\n")))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("text")
+        value = F.col("row").getField(name)
+        if name == "n_chars":
+            value = F.when(whole, value).otherwise(F.length("text").cast(docs.schema[name].dataType))
+        return value.alias(name)
+
+    return left.select(*[column(c) for c in docs.columns])
 
 
 def _joined(placed: DataFrame, removed: DataFrame) -> DataFrame:

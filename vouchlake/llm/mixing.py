@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vouchlake.llm.common import stored, word_count
+from vouchlake.llm.common import free_name, stored, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)  # the mix has this share of all words
@@ -138,13 +138,15 @@ def mixed_documents(
     )
     if cuts.count() <= BROADCAST_SOURCES:
         cuts = F.broadcast(cuts)
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    here = F.struct(key.alias("key"), _null_first("doc_id"), F.col("doc_id"), word_count().alias("size"))
-    names = [F.col(f"d.`{c}`") for c in docs.columns]
+    key = F.md5(F.coalesce(F.col("d.doc_id").cast("string"), F.lit("")))
+    here = F.struct(
+        key.alias("key"), _null_first("d.doc_id"), F.col("d.doc_id").alias("doc_id"), word_count("d.text").alias("size")
+    )
     joined = docs.alias("d").join(cuts.alias("c"), F.col("d.source").eqNullSafe(F.col("c.source")))
-    placed = joined.select(*names, (F.col("c.mix_epochs") + F.coalesce(_here(here), F.lit(0))).alias("mix_copies"))
-    copies = F.explode(F.array_repeat(F.lit(True), F.col("mix_copies").cast("int")))
-    return placed.withColumn("mix_copy", copies).select(docs.columns)
+    copies = (F.col("c.mix_epochs") + F.coalesce(_here(here), F.lit(0))).cast("int")
+    copy = free_name(docs, "copy")
+    repeated = joined.select("d.*", F.explode(F.array_repeat(F.lit(True), copies)).alias(copy))
+    return repeated.drop(copy)
 
 
 def _null_first(name: str) -> Column:

@@ -270,5 +270,6 @@ def first_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> D
     later = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("l_id")).distinct()
     later = stored(later, "ngram-later")
     suspect = F.coalesce(may_hold(later)(F.col("doc_id")), F.lit(False))
-    kept = docs.where(suspect).join(later, same_key(F.col("doc_id"), F.col("l_id")), "left_anti")
+    same = same_key(F.col("d.doc_id"), F.col("l.l_id"))
+    kept = docs.where(suspect).alias("d").join(later.alias("l"), same, "left_anti")
     return docs.where(~suspect).unionByName(kept)

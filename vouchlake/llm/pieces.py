@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
+from vouchlake.llm.common import free_name
 from vouchlake.llm.words import text_chunks, word_hashes
 from vouchlake.session import ship_package
 
@@ -239,15 +240,16 @@ def encode(docs: DataFrame, m: PieceModel | None = None, text: str = "text") ->
     m = m or load()
     kept = [f for f in docs.schema if f.name not in (text, "ids", "n_ids", "round_trip")]
     names = [f.name for f in kept]
+    given = free_name(docs, "given")
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("_text")
+            column = batch.column(given)
             for row, last, ids, offsets in encode_texts(column, m):
                 part = column.slice(row, last - row)
                 decoded = decode_ids(ids, offsets, m)
-                given = pa.compute.utf8_slice_codeunits(part, 1) if m.prefix else part
-                kept_text = pa.compute.equal(given.cast(pa.string()), decoded)
+                bare = pa.compute.utf8_slice_codeunits(part, 1) if m.prefix else part
+                kept_text = pa.compute.equal(bare.cast(pa.string()), decoded)
                 null = pa.compute.is_null(part).to_numpy(zero_copy_only=False)
                 listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids), mask=pa.array(null))
                 number = pa.array(np.diff(offsets), pa.int64(), mask=null)
@@ -260,7 +262,7 @@ def encode(docs: DataFrame, m: PieceModel | None = None, text: str = "text") ->
     if m.prefix:
         plain = F.when(plain == "", plain).otherwise(F.concat(F.lit(" "), plain))
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    return docs.select(*[F.col(f"`{n}`") for n in names], plain.alias("_text")).mapInArrow(
+    return docs.select(*[F.col(f"`{n}`") for n in names], plain.alias(given)).mapInArrow(
         encoded, f"{schema}ids array<int>, n_ids long, round_trip boolean"
     )
 

@@ -44,8 +44,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
-def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+def span_columns(found: DataFrame) -> DataFrame:
+    """Counts and digests of the spans."""
     base = list(secrets.BASE)
     return found.select(
         "doc_id",
@@ -55,6 +55,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_columns(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
