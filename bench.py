@@ -3,8 +3,11 @@
 ``$BENCH_SF_DIR`` names the data folder, ``$BENCH_CPUS`` the local cores. The
 raw tables are written to Parquet first, outside the timings. Each operator
 runs once to warm up, then three times; the median counts. Results go to the
-``noop`` sink, so every row is computed and none is stored. ``end_to_end`` is
-one run over landing files, from ingest to the marts after late documents.
+``noop`` sink, so every row is computed and none is stored. The operators with
+joins run a second time without broadcasts, as ``<name>_shuffled``, which is
+the plan a large table gets. ``rewrite_log`` and ``stream_merge`` are sinks,
+run once each; ``end_to_end`` is one run over landing files, from ingest to the
+marts after late documents. ``value`` is the sum of the first group.
 """
 
 from __future__ import annotations
@@ -24,10 +27,13 @@ from vouchlake.operators.upsert import merge_into_raw
 from vouchlake.plans import certification
 from vouchlake.plans.testbed import AS_OF, STORE, Testbed, write_files
 from vouchlake.sinks.store import TableStore
+from vouchlake.streaming.drops import ingest_incremental
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
+THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+NO_JOIN = {"curate_customers", "curate_orders", "errors_payment_dates", "monthly_sales", "product_performance"}
 
 
 def run(df) -> None:
@@ -67,6 +73,34 @@ def stored_inputs(spark, bed: Testbed, store: TableStore) -> None:
     )
 
 
+def more_merges(store: TableStore) -> dict:
+    tables = ("customers", "payments", "returns", "pdf_manifest")
+    return {
+        f"merge_{t}": lambda t=t: merge_into_raw(t, store.read(f"{t}_raw"), store.read(f"{t}_stage"), AS_OF) for t in tables
+    }
+
+
+def without_broadcast(spark, builds: dict) -> dict:
+    before = spark.conf.get(THRESHOLD)
+    spark.conf.set(THRESHOLD, "-1")
+    seconds = {f"{name}_shuffled": round(timed(build), 4) for name, build in builds.items()}
+    spark.conf.set(THRESHOLD, before)
+    return seconds
+
+
+def sinks(spark, store: TableStore) -> dict:
+    store.append_once("bench_log", store.read("data_error_logs"), "first")
+    late = remediation.recover_late_documents(store.read("late_listing"), store.read("data_error_logs"))
+    start = time.perf_counter()
+    store.rewrite("bench_log", lambda log: remediation.resolve_error_logs(log, late, AS_OF))
+    rewritten = time.perf_counter()
+    drop = session.scratch_dir(spark, "bench-drops")
+    store.read("payments_stage").repartition(8).write.csv(f"{drop}/one", header=True)
+    begun = time.perf_counter()
+    ingest_incremental(spark, store, "payments", drop, session.scratch_dir(spark, "bench-checkpoint"), AS_OF)
+    return {"rewrite_log": round(rewritten - start, 4), "stream_merge": round(time.perf_counter() - begun, 4)}
+
+
 def operators(store: TableStore) -> dict:
     read = store.read
     return {
@@ -121,6 +155,11 @@ def main() -> None:
     stored_inputs(spark, bed, store)
     seconds = {name: round(timed(build), 4) for name, build in operators(store).items()}
     total = round(sum(seconds.values()), 4)
+    extra = more_merges(store)
+    seconds |= {name: round(timed(build), 4) for name, build in extra.items()}
+    joined = {name: build for name, build in (operators(store) | extra).items() if name not in NO_JOIN}
+    seconds |= without_broadcast(spark, joined)
+    seconds |= sinks(spark, store)
     if os.environ.get("BENCH_END_TO_END", "1") == "1":
         seconds["end_to_end"] = round(end_to_end(spark, bed), 4)
     spark.stop()

@@ -97,7 +97,7 @@ def test_rerun_after_a_crash_between_plan_and_moves(spark, tmp_path, monkeypatch
     land(ws, "orders", "O1,C1,2024-01-05,new,1.00,2024-01-06 00:00:00")
     documents(ws, "invoice_O1_20240105.pdf")
 
-    def crash(*_):
+    def crash(*args, **options):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF, rows
-from vouchlake.sinks.moves import apply_moves, plan_csv_archive
+from vouchlake.plans.demo_load import load_files
+from vouchlake.sinks.moves import apply_moves, require_moved, plan_csv_archive
 from vouchlake.sinks.store import row_counts
 from vouchlake.sources import csv_drops, landing
 from vouchlake.streaming.drops import ingest_incremental
@@ -77,10 +78,41 @@ def test_listing_and_present_tables(spark, tmp_path):
     ]
 
 
-def test_listing_reads_no_content(spark, tmp_path):
-    write(f"{tmp_path}/a.pdf", "x")
-    plan = landing.list_landing(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[-1]
+def test_listing_leaves_no_name_out(spark, tmp_path):
+    names = ["_bad.pdf", ".bad.pdf", "_sub/x.pdf", ".d/e/f.txt", "plain.pdf", "a/b/c/deep.PDF"]
+    for name in names:
+        write(f"{tmp_path}/{name}", "x" * len(name))
+    got = landing.relative_to(landing.list_landing(spark, str(tmp_path)), str(tmp_path))
+    assert {r.path: r.length for r in got.collect()} == {n: len(n) for n in names}
+    assert got.filter(F.col("modificationTime").isNull()).count() == 0
+    only = landing.relative_to(landing.list_landing(spark, str(tmp_path), "*.pdf"), str(tmp_path))
+    assert {r.path for r in only.collect()} == {n for n in names if n.endswith(".pdf")}
+    assert landing.list_landing(spark, f"{tmp_path}/nowhere").count() == 0
+
+
+def test_inferred_rows_that_do_not_fit(spark, tmp_path):
+    write(f"{tmp_path}/short.csv", "a,b\n1,2\n3\n")
+    assert rows(csv_drops.scan_csv_inferred(spark, f"{tmp_path}/short.csv")) == [(1, 2.0), (3, None)]
+    write(f"{tmp_path}/wide.csv", "a,b\n1,2\n3,4,5\n")
+    with pytest.raises(Exception, match="wider than the header"):
+        csv_drops.scan_csv_inferred(spark, f"{tmp_path}/wide.csv").collect()
+    write(f"{tmp_path}/broken.csv", 'a,b\n1,"two\nlines"\n2,one\n')
+    assert rows(csv_drops.scan_csv_inferred(spark, f"{tmp_path}/broken.csv")) == [(1, "two\nlines"), (2, "one")]
+
+
+def test_moves_never_overwrite(spark, tmp_path):
+    root = str(tmp_path)
+    plan = spark.createDataFrame([(f"in/{n}", f"out/{n}", "z") for n in "abc"], "source_path string, dest_path string, zone string")
+    for name in ("in/a", "in/b", "out/b"):
+        write(f"{root}/{name}", name)
+    tally = apply_moves(plan, root)
+    assert tally == {("z", "moved"): 1, ("z", "taken"): 1, ("z", "missing"): 1}
+    assert open(f"{root}/out/b").read() == "out/b" and open(f"{root}/in/b").read() == "in/b"
+    with pytest.raises(RuntimeError, match="taken"):
+        require_moved(tally)
+    with pytest.raises(RuntimeError):
+        require_moved({("z", "missing"): 1})
+    require_moved({("z", "missing"): 1, ("z", "changed"): 2}, tolerated=("missing",))
 
 
 def test_archive_only_files_older_than_the_run(spark, tmp_path):
@@ -165,3 +197,10 @@ def test_incremental_pick_up(spark, store, tmp_path):
     assert rows(got.select("file_name", "document_type")) == sorted(
         [("f1", "invoice"), ("f2", "credit"), ("f3", "invoice"), (None, "invoice")], key=repr
     )
+
+
+def test_loose_files_in_one_call(spark, store, tmp_path):
+    write(f"{tmp_path}/a.csv", "id,name\n1,x\n2,y\n")
+    write(f"{tmp_path}/b.csv", "id\n7\n")
+    files = {"a": f"{tmp_path}/a.csv", "b": f"{tmp_path}/b.csv"}
+    assert rows(load_files(store, files)) == rows(load_files(store, files)) == [("a", 2), ("b", 1)]

@@ -5,10 +5,11 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import TESTDATA
+from vouchlake.plans import checks, oracle
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 TABLES = "nation customer part orders lineitem".split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = checks.CHECKS, oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,7 @@ def duck():
 
 def test_every_check_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -18,6 +18,7 @@ FORCED = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
 }
+APART = "spark.sql.adaptive.coalescePartitions.enabled"
 
 
 @pytest.fixture
@@ -87,15 +88,33 @@ def test_missing_invoice_splits_null_orders(large_job):
     assert splits(final_plan(curation.errors_missing_invoice(failed, log, AS_OF))) == 1
 
 
-@pytest.mark.parametrize("hot_side", ["target", "source"])
-def test_upsert_splits_hot_keys(large_job, hot_side):
-    """NULL keys that pile up in the table, or copies of one new key in the batch."""
-    orders = raw_orders(large_job, None if hot_side == "target" else "N1")
-    target = orders.filter(F.col("order_id").isNull() | (F.col("order_id") != "N1"))
-    stage = orders.filter("order_id is not null").select(schemas.STAGE["orders"].fieldNames())
+def read_by_task(df):
+    """Rows each task of the final stage gives out."""
+    return [r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect()]
+
+
+def test_upsert_spreads_rows_without_key(large_job):
+    """NULL keys that pile up in the table do not meet in one task."""
+    target = raw_orders(large_job, None)
+    stage = target.filter("order_id is not null").select(schemas.STAGE["orders"].fieldNames())
     merged = merge_into_raw("orders", target, stage, AS_OF)
-    assert splits(final_plan(merged)) >= 1
-    assert merged.count() == 60000
+    large_job.conf.set(APART, "false")
+    sizes = read_by_task(merged)
+    large_job.conf.unset(APART)
+    assert sum(sizes) == 60000 and max(sizes) < 60000 / 3
+
+
+def test_upsert_takes_copies_of_a_new_key(large_job):
+    orders = raw_orders(large_job, "N1")
+    stage = orders.select(schemas.STAGE["orders"].fieldNames())
+    assert merge_into_raw("orders", orders.filter("order_id <> 'N1'"), stage, AS_OF).count() == 60000
+
+
+def test_returns_meet_the_items_of_a_hot_order(large_job):
+    lines = hot(large_job).select("order_id", F.col("pad").alias("product_id"))
+    back = hot(large_job, n=30000).select("order_id", F.col("pad").alias("return_id"))
+    met = marts.returns_of_items(lines, back)
+    assert splits(final_plan(met)) == 1
 
 
 def test_product_returns_splits_a_hot_order(large_job):

@@ -10,6 +10,16 @@ from vouchlake.operators.upsert import merge_into_raw
 OLD = datetime(2025, 1, 1)
 
 
+@pytest.fixture(autouse=True, params=["-1", "10MB"])
+def threshold(request, spark):
+    """Both ways of merging: with a shuffle of the table, and with a broadcast batch."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, before)
+
+
 def raw_orders(spark, data):
     return spark.createDataFrame(data, schemas.RAW["orders_raw"])
 
@@ -70,8 +80,11 @@ def test_repeated_key_on_a_match_fails(spark):
     target = raw_orders(spark, [stored("O1", "2024-01-05 00:00:00")])
     # Older rows would change nothing, the repetition is an error all the same.
     source = stage_orders(spark, [batch("O1", "2024-01-01 00:00:00"), batch("O1", "2024-01-02 00:00:00")])
-    with pytest.raises(ValueError, match="more than one batch row for stored key O1"):
-        merge_into_raw("orders", target, source, AS_OF)
+    merged = merge_into_raw("orders", target, source, AS_OF)
+    with pytest.raises(Exception, match="more than one batch row for stored key O1"):
+        merged.collect()
+    with pytest.raises(Exception, match="more than one batch row for stored key O1"):
+        merged.select("order_status").collect()
 
 
 def test_bad_timestamp_fails_only_on_a_match(spark):
@@ -123,3 +136,16 @@ def test_against_brute_force(spark, seed):
         AS_OF,
     )
     assert rows(got) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("table", ["orders", "order_items"])
+def test_one_shuffle_of_each_input(spark, threshold, tmp_path, table):
+    """Counted in the plan that ran; nothing runs before."""
+    raw, stage = schemas.RAW[f"{table}_raw"], schemas.STAGE[table]
+    spark.createDataFrame([], raw).write.parquet(str(tmp_path / "raw"))
+    spark.createDataFrame([], stage).write.parquet(str(tmp_path / "stage"))
+    target, source = spark.read.schema(raw).parquet(str(tmp_path / "raw")), spark.read.schema(stage).parquet(str(tmp_path / "stage"))
+    merged = merge_into_raw(table, target, source, AS_OF)
+    if threshold == "-1":
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert (plan.count("Exchange hashpartitioning"), plan.count("FileScan parquet"), plan.count("Join")) == (2, 2, 1)

@@ -74,6 +74,19 @@ def product_performance(items: DataFrame, money_scale: int | None = None) -> Dat
     return schemas.conform(performance, "product_performance")
 
 
+def returns_of_items(items: DataFrame, returns: DataFrame) -> DataFrame:
+    """``(order_id, product_id, pairs)``: how often each order's returns meet each of its products.
+
+    Returns per order times lines per order and product, so the pairs
+    themselves are never made.
+    """
+    per_order = returns.groupBy(F.col("order_id").alias("__order")).agg(F.count("return_id").alias("returns"))
+    lines = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("lines"))
+    return lines.join(per_order, same_key(F.col("order_id"), F.col("__order"))).select(
+        "order_id", "product_id", (F.col("lines") * F.col("returns")).alias("pairs")
+    )
+
+
 def product_returns(returns: DataFrame, items: DataFrame) -> DataFrame:
     """Units sold, returns, and their ratio per product.
 

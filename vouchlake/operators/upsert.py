@@ -1,23 +1,25 @@
 """Keyed upsert of a batch into a table, and the rules of the six raw tables.
 
-Built from a left join and an anti join instead of one full outer join: Spark
-can broadcast a batch below its size threshold, so a daily batch does not
-shuffle a large table, and for a large batch it can split a hot key, which a
-full outer join does not allow. The stored table is read twice, the second
-time its key column only; both joins share one shuffle of the batch.
+One full outer join: the batch is shuffled once by key, counted there, and
+meets the table, which is shuffled once too. Rows without key are spread, as
+they match nothing. A batch that Spark would broadcast goes another way, a left
+join for the stored rows and an anti join for the new ones, and leaves the
+table unshuffled. Nothing runs while the plan is made.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vouchlake import schemas
 from vouchlake.functions.values import instant
 from vouchlake.operators.keys import same_key, within, without
 
+_COPIES, _SPREAD, _STORED = "__copies", "__spread", "__stored"
+
 
 def new(column: str) -> Column:
     """A column of the incoming batch, inside an upsert rule."""
@@ -29,9 +31,16 @@ def old(column: str) -> Column:
     return F.col(f"stored_row.`{column}`")
 
 
-def _repeated_keys(source: DataFrame, key: str) -> DataFrame:
-    copies = source.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    return copies.filter(F.col("copies") > 1).select(key)
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """A second key that deals out the rows without the first one."""
+    by = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).otherwise(F.lit(0))
+    return df.withColumn(_SPREAD, by)
+
+
+def _would_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate puts the rows below its broadcast threshold."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def upsert(
@@ -48,38 +57,31 @@ def upsert(
     and keeps everything else. An unmatched batch row is inserted with the
     ``insert`` expressions (a column left out is NULL). A NULL key matches
     nothing, so such batch rows are always inserted; so is every copy of a
-    key the table does not hold yet. Copies of a key it holds are an error.
-
-    A look at the batch's key column, run at once, tells whether any key is
-    repeated. Only then are the stored keys searched for those, and the copies
-    of new keys kept out of the joins, where they would meet in one task.
+    key the table does not hold yet. Copies of a key it holds fail the job,
+    whatever ``update_when`` says.
     """
-    keyed = source.filter(F.col(key).isNotNull())
-    unmatched = [source.filter(F.col(key).isNull())]
-    repeated = _repeated_keys(keyed, key)
-    if not repeated.isEmpty():
-        held = within(target.select(key), repeated, key, key).first()
-        if held is not None:
-            raise ValueError(f"more than one batch row for stored key {held[0]}")
-        unmatched.append(within(keyed, repeated, key, key, F.hash))
-        keyed = without(keyed, repeated, key, key, F.hash)
-    unmatched.append(without(keyed, within(target.select(key), keyed, key, key), key, key))
-
-    change = new(key).isNotNull()
-    if update_when is not None:
-        change = change & F.coalesce(update_when, F.lit(False))
-    merged = (
-        target.alias("stored_row")
-        .join(keyed.alias("batch_row"), same_key(old(key), new(key)), "left")
-        .select([F.when(change, update[c]).otherwise(old(c)).alias(c) if c in update else old(c) for c in target.columns])
+    copies = F.count(F.lit(1)).over(Window.partitionBy(key, _SPREAD))
+    batch = _spread(source, key).withColumn(_COPIES, copies).alias("batch_row")
+    message = F.concat(F.lit("more than one batch row for stored key "), new(key).cast("string"))
+    met = new(key).isNotNull() & F.coalesce(old(_STORED), F.lit(False))
+    single = F.when(met & (new(_COPIES) > 1), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    change = met if update_when is None else met & F.coalesce(update_when, F.lit(False))
+
+    def inserted(c: str) -> Column:
+        return insert.get(c, F.lit(None)).cast(target.schema[c].dataType)
+
+    def kept(c: str) -> Column:
+        return F.when(change, update[c]).otherwise(old(c)) if c in update else old(c)
+
+    held = _spread(target, key).withColumn(_STORED, F.lit(True)).alias("stored_row")
+    if not _would_broadcast(source):
+        both = held.join(batch, (old(key) == new(key)) & (old(_SPREAD) == new(_SPREAD)), "full_outer").where(single)
+        return both.select([F.when(old(_STORED), kept(c)).otherwise(inserted(c)).alias(c) for c in target.columns])
+    merged = held.join(batch, same_key(old(key), new(key)), "left").where(single)
+    fresh = without(source, within(target.select(key), source, key, key), key, key).alias("batch_row")
+    return merged.select([kept(c).alias(c) for c in target.columns]).unionByName(
+        fresh.select([inserted(c).alias(c) for c in target.columns])
     )
-    for rows in unmatched:
-        merged = merged.unionByName(
-            rows.alias("batch_row").select(
-                [insert.get(c, F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns]
-            )
-        )
-    return merged
 
 
 # Columns an update leaves as they were first inserted, beside the key.

@@ -20,7 +20,13 @@ from pyspark.sql import functions as F
 from vouchlake import schemas
 from vouchlake.operators import curation, governance, linking, marts, remediation
 from vouchlake.operators.upsert import merge_into_raw
-from vouchlake.sinks.moves import apply_moves, plan_csv_archive, plan_document_moves, require_distinct_destinations
+from vouchlake.sinks.moves import (
+    apply_moves,
+    plan_csv_archive,
+    plan_document_moves,
+    require_distinct_destinations,
+    require_moved,
+)
 from vouchlake.sinks.store import TableStore, row_counts
 from vouchlake.sources.csv_drops import present_tables, scan_csv_fixed
 from vouchlake.sources.landing import list_landing, relative_to
@@ -33,10 +39,13 @@ class Workspace:
     ``files_root`` is the object store as Spark reaches it. ``store_uri`` is
     the address written into stored paths, the same unless stated.
     ``inventory`` gives the listing of a zone as a DataFrame, paths relative to
-    the root. Without it Spark lists the zone itself, which holds one status
-    per file on the driver; a zone of very many files should bring the store's
-    own inventory table. A finished run leaves ``keep_versions`` versions of
-    each table.
+    the root. Without it tasks list the zone, a folder each; a zone of very
+    many files in one folder should bring the store's own inventory table. A
+    finished run leaves ``keep_versions`` versions of each table.
+
+    ``log_missing_dates`` logs rows without a date, ``only_new_errors`` leaves
+    out what is still open in the log, ``close_open_logs`` closes the
+    missing-invoice rows of orders that an ordinary run certifies.
     """
 
     spark: SparkSession
@@ -47,6 +56,9 @@ class Workspace:
     money_scale: int | None = None
     inventory: Callable[[str], DataFrame] | None = None
     keep_versions: int = 3
+    log_missing_dates: bool = False
+    only_new_errors: bool = False
+    close_open_logs: bool = False
 
     def listing(self, zone: str) -> DataFrame:
         if self.inventory is not None:
@@ -69,7 +81,10 @@ def _together(spark: SparkSession, *steps: Callable[[], object]) -> None:
 def ingest_and_link(ws: Workspace, run_time: datetime, run_id: str) -> list[str]:
     """Merge the landing CSVs that are there, then link the documents."""
     tables = ws.tables
+    # Planned before the merges, so every file in it was there to be merged. A
+    # run that is repeated keeps the plan: what came since stays for the next.
     files = ws.listing(schemas.LANDING_CSV)
+    archive = _plan_once(ws, "csv_archive_plan", run_id, lambda: plan_csv_archive(files, run_time, with_time=True))
     # At most one row per table of the fixed list.
     present = sorted(row["table_name"] for row in present_tables(files).collect())
 
@@ -83,8 +98,7 @@ def ingest_and_link(ws: Workspace, run_time: datetime, run_id: str) -> list[str]
 
     if present:
         _together(ws.spark, *[lambda t=table: load(t) for table in present])
-        archive = _plan_once(ws, "csv_archive_plan", run_id, lambda: plan_csv_archive(files, run_time))
-        apply_moves(archive, ws.files_root)
+    require_moved(apply_moves(archive, ws.files_root))
     link_documents(ws, run_time, run_id)
     return present
 
@@ -114,7 +128,7 @@ def link_documents(ws: Workspace, run_time: datetime, run_id: str) -> None:
         lambda: tables.append_once("orphan_pdfs", linking.orphan_documents(found, ws.uri, run_time), batch),
         lambda: tables.append_once("data_error_logs", linking.document_errors(found, run_time), batch),
     )
-    apply_moves(plan, ws.files_root)
+    require_moved(apply_moves(plan, ws.files_root, checked=True))
 
 
 def certify(ws: Workspace) -> None:
@@ -128,14 +142,14 @@ def curate(ws: Workspace, run_time: datetime, run_id: str) -> None:
     _together(
         ws.spark,
         lambda: t.replace("customers_curated", curation.curate_customers(t.read("customers_raw"), bad)),
-        lambda: t.replace("orders_curated", curation.curate_orders(t.read("orders_raw"), bad)),
+        lambda: t.replace("orders_curated", curation.curate_orders(t.read("orders_raw"), bad), month_of="order_date"),
     )
     orders = t.read("orders_curated")
     _together(
         ws.spark,
         lambda: t.replace("order_items_curated", curation.curate_order_items(t.read("order_items_raw"), orders)),
-        lambda: t.replace("payments_curated", curation.curate_payments(t.read("payments_raw"), orders, bad)),
-        lambda: t.replace("returns_curated", curation.curate_returns(t.read("returns_raw"), orders, bad)),
+        lambda: t.replace("payments_curated", curation.curate_payments(t.read("payments_raw"), orders, bad), month_of="payment_date"),
+        lambda: t.replace("returns_curated", curation.curate_returns(t.read("returns_raw"), orders, bad), month_of="return_date"),
         lambda: t.replace("attachments_curated", curation.curate_attachments(t.read("attachments_raw"), orders)),
         lambda: t.replace("pdf_manifest_curated", curation.curate_pdf_manifest(t.read("pdf_manifest_raw"), bad)),
         lambda: t.append_once("data_error_logs", curation_errors(ws, run_time), f"{run_id}-curate"),
@@ -143,19 +157,19 @@ def curate(ws: Workspace, run_time: datetime, run_id: str) -> None:
 
 
 def curation_errors(ws: Workspace, run_time: datetime) -> DataFrame:
-    t, impossible = ws.tables, ws.on_bad_date == "quarantine"
+    t, impossible, missing = ws.tables, ws.on_bad_date == "quarantine", ws.log_missing_dates
     parts = [
-        curation.errors_customer_dates(t.read("customers_raw"), run_time, impossible),
-        curation.errors_order_dates(t.read("orders_raw"), run_time, impossible),
+        curation.errors_customer_dates(t.read("customers_raw"), run_time, impossible, missing),
+        curation.errors_order_dates(t.read("orders_raw"), run_time, impossible, missing),
         curation.errors_missing_invoice(t.read("orders_raw"), t.read("data_error_logs"), run_time),
-        curation.errors_payment_dates(t.read("payments_raw"), run_time, impossible),
-        curation.errors_return_dates(t.read("returns_raw"), run_time, impossible),
-        curation.errors_manifest_dates(t.read("pdf_manifest_raw"), run_time, impossible),
+        curation.errors_payment_dates(t.read("payments_raw"), run_time, impossible, missing),
+        curation.errors_return_dates(t.read("returns_raw"), run_time, impossible, missing),
+        curation.errors_manifest_dates(t.read("pdf_manifest_raw"), run_time, impossible, missing),
     ]
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
-    return union
+    return curation.only_new_errors(union, t.read("data_error_logs")) if ws.only_new_errors else union
 
 
 def build_marts(ws: Workspace) -> None:
@@ -192,29 +206,34 @@ def sweep_late_documents(ws: Workspace, run_time: datetime, run_id: str) -> None
     require_distinct_destinations(plan)
     t.append_once("attachments_raw", linking.attachment_rows(found, ws.uri, run_time), f"{run_id}-sweep")
     t.rewrite("data_error_logs", lambda log: remediation.resolve_error_logs(log, found, run_time))
-    t.replace("orders_raw", remediation.reset_recovered_orders(t.read("orders_raw"), found))
-    apply_moves(plan, ws.files_root)
+    # The orders' status follows from their attachments when the run certifies.
+    require_moved(apply_moves(plan, ws.files_root, checked=True), tolerated=("missing",))
 
 
 def certified_run(ws: Workspace, run_time: datetime, run_id: str) -> None:
     """Ingest, certify, curate and build the marts."""
     ingest_and_link(ws, run_time, run_id)
-    _refresh(ws, run_time, run_id)
+    _refresh(ws, run_time, f"{run_id}-certified")
 
 
 def remediation_run(ws: Workspace, run_time: datetime, run_id: str) -> None:
     """Recover late documents and bring everything behind them up to date."""
     sweep_late_documents(ws, run_time, run_id)
-    _refresh(ws, run_time, run_id)
+    _refresh(ws, run_time, f"{run_id}-remediation")
 
 
-def _refresh(ws: Workspace, run_time: datetime, run_id: str) -> None:
+def _refresh(ws: Workspace, run_time: datetime, run_name: str) -> None:
     certify(ws)
-    curate(ws, run_time, run_id)
+    curate(ws, run_time, run_name)
+    if ws.close_open_logs:
+        proven = ws.tables.read("attachments_raw")
+        ws.tables.rewrite("data_error_logs", lambda log: remediation.resolve_error_logs(log, proven, run_time))
     build_marts(ws)
     # Only now, as a run that has to be repeated looks for its own versions.
     for table in (*schemas.KNOWN, "csv_archive_plan", "landing_documents", "late_documents"):
         ws.tables.prune(table, ws.keep_versions)
+    for table in ("attachments_raw", "orphan_pdfs", "data_error_logs"):
+        ws.tables.compact(table, keep=run_name)
 
 
 def summary(ws: Workspace) -> DataFrame:

@@ -112,8 +112,9 @@ def present_tables(t: Stage) -> DataFrame:
 
 @check
 def list_landing(t: Stage) -> DataFrame:
+    """Every document of the landing zone, those with hidden names among them."""
     root = t.scratch("documents")
-    write_files(t.daily_documents(), root)
+    write_files(t.landing_documents().unionByName(t.hidden_documents()), root)
     return landing.relative_to(landing.list_landing(t.spark, root), root).select("path", "length")
 
 
@@ -265,16 +266,8 @@ def join_inner_customer_orders(t: Stage) -> DataFrame:
 
 @check
 def join_returns_items(t: Stage) -> DataFrame:
-    """How often each order and product meet in the many-to-many join.
-
-    Returns per order times lines per order and product, so the pairs
-    themselves are never made.
-    """
-    per_order = t.returns().groupBy("order_id").agg(F.count("return_id").alias("returns"))
-    lines = t.items().groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("lines"))
-    return lines.join(per_order, "order_id").select(
-        "order_id", "product_id", (F.col("lines") * F.col("returns")).alias("pairs")
-    )
+    """How often each order and product meet in the many-to-many join."""
+    return marts.returns_of_items(t.items(), t.returns())
 
 
 @check
@@ -536,10 +529,8 @@ def product_returns(t: Stage) -> DataFrame:
 def ingest_incremental(t: Stage) -> DataFrame:
     """Two drops picked up one after the other by the same stream."""
     root, store, checkpoint = t.scratch("drops"), t.store("incremental"), t.scratch("checkpoint")
-    # A drop is written as part files, which are one batch together.
-    whole = 1_000_000
     columns = schemas.STAGE["orders"].fieldNames()
     t.orders_raw().select(columns).write.csv(f"{root}/first", header=True)
-    drops.ingest_incremental(t.spark, store, "orders", root, checkpoint, LOADED_AT, whole)
+    drops.ingest_incremental(t.spark, store, "orders", root, checkpoint, LOADED_AT)
     t.orders_stage().write.csv(f"{root}/second", header=True)
-    return drops.ingest_incremental(t.spark, store, "orders", root, checkpoint, AS_OF, whole)
+    return drops.ingest_incremental(t.spark, store, "orders", root, checkpoint, AS_OF)

@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vouchlake.session import ship_package
 from vouchlake.sinks.moves import file_system
 
 LOADED_AT = datetime(2026, 1, 19)
@@ -294,17 +295,11 @@ class Testbed:
         late = F.when((k % 20 == 10) | (k % 100 == 5), self._invoice(k, iso))
         return self._listing(F.array_compact(F.array(late)))
 
-    def daily_documents(self) -> DataFrame:
-        """One document per order day, named after the day's first order.
-
-        Their number is bounded by the calendar, so they can be made as files
-        at any scale.
-        """
-        days = self._orders().groupBy("iso").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("orders"))
-        return days.select(
-            F.concat(F.lit("landing/unstructured/"), self._invoice(F.col("k"), F.col("iso"))).alias("path"),
-            (F.col("orders") % 1000).alias("length"),
-        )
+    def hidden_documents(self) -> DataFrame:
+        """Files, some in folders, whose names begin with an underscore or a dot."""
+        k = F.col("k")
+        names = [F.concat(F.lit(start), k, F.lit(end)) for start, end in (("_draft_", ".pdf"), (".part_", ".pdf"), ("_held/.d/", ".txt"))]
+        return self._listing(F.array_compact(F.array(*[F.when(k % 250 == n, name) for n, name in enumerate(names)])))
 
     def landing_csvs(self) -> DataFrame:
         """CSV drops and their marker files, one pair per order."""
@@ -318,6 +313,7 @@ class Testbed:
 
 def write_files(listing: DataFrame, root: str) -> int:
     """Create the listed files below a root folder, in the tasks."""
+    ship_package(listing.sparkSession)
 
     def create(batches):
         store, base = file_system(root)

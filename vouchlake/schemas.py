@@ -15,18 +15,17 @@ def _table(columns: str) -> StructType:
     return schema
 
 
-def _strings(names: str) -> StructType:
-    return _table(", ".join(f"{name} string" for name in names.split()))
-
-
-# Landing CSVs: every column is text, taken by position.
+# The columns of the landing CSVs. All are text, taken by position.
 STAGE = {
-    "customers": _strings("customer_id customer_name email phone created_date country"),
-    "orders": _strings("order_id customer_id order_date order_status order_total source_updated_at"),
-    "order_items": _strings("order_item_id order_id product_id product_name quantity unit_price"),
-    "payments": _strings("payment_id order_id payment_date payment_method amount payment_status"),
-    "returns": _strings("return_id order_id return_date reason refund_amount"),
-    "pdf_manifest": _strings("file_name order_id document_type created_date"),
+    "customers": _table("customer_id string, customer_name string, email string, phone string, created_date string, country string"),
+    "orders": _table(
+        "order_id string, customer_id string, order_date string, order_status string, "
+        "order_total string, source_updated_at string"
+    ),
+    "order_items": _table("order_item_id string, order_id string, product_id string, product_name string, quantity string, unit_price string"),
+    "payments": _table("payment_id string, order_id string, payment_date string, payment_method string, amount string, payment_status string"),
+    "returns": _table("return_id string, order_id string, return_date string, reason string, refund_amount string"),
+    "pdf_manifest": _table("file_name string, order_id string, document_type string, created_date string"),
 }
 
 STAGE_FILES = {table: f"{table}.csv" for table in STAGE}

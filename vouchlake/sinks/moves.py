@@ -12,17 +12,23 @@ from pyspark.sql import functions as F
 from vouchlake import schemas
 from vouchlake.functions.names import archived_csv, is_csv
 from vouchlake.functions.values import instant
+from vouchlake.session import ship_package
 
 PLAN_COLUMNS = ["source_path", "dest_path", "zone"]
 
 
-def plan_csv_archive(listing: DataFrame, run_time: datetime) -> DataFrame:
-    """Moves of loaded CSVs: only files updated before the run's own time."""
+def plan_csv_archive(listing: DataFrame, run_time: datetime, with_time: bool = False) -> DataFrame:
+    """Moves of loaded CSVs: only files updated before the run's own time.
+
+    ``with_time`` keeps that update time, for a mover that leaves alone what
+    was written again since.
+    """
     path, updated = F.col("path"), F.col("modificationTime")
     return listing.filter(is_csv(path) & (updated < instant(run_time))).select(
         path.alias("source_path"),
         archived_csv(path, updated).alias("dest_path"),
         F.lit(schemas.PROCESSED).alias("zone"),
+        *([updated.alias("updated")] if with_time else []),
     )
 
 
@@ -57,6 +63,11 @@ def file_system(root: str):
     return store, base.rstrip("/")
 
 
+def _later(now, then) -> bool:
+    """Whether a file was written again; listings keep milliseconds at least."""
+    return pd.Timestamp(now) - pd.Timestamp(then, tz="UTC") > pd.Timedelta(milliseconds=1)
+
+
 def _move_batches(root: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as afs
@@ -64,36 +75,57 @@ def _move_batches(root: str):
         store, base = file_system(root)
         made: set[str] = set()
         for batch in batches:
+            sources = [f"{base}/{p}" for p in batch["source_path"]]
+            dests = [f"{base}/{p}" for p in batch["dest_path"]]
+            # One call for the whole batch.
+            there = store.get_file_info(sources + dests) if sources else []
+            known = batch["updated"] if "updated" in batch else [None] * len(sources)
             outcomes = []
-            for source, dest in zip(batch["source_path"], batch["dest_path"]):
-                source, dest = f"{base}/{source}", f"{base}/{dest}"
-                found, taken = store.get_file_info([source, dest])
-                if found.type == afs.FileType.NotFound:
+            for source, dest, found, taken, updated in zip(sources, dests, there, there[len(sources) :], known, strict=False):
+                gone, free = (f.type == afs.FileType.NotFound for f in (found, taken))
+                if gone:
                     # A second attempt of this task finds its work done.
-                    outcomes.append("done_before" if taken.type != afs.FileType.NotFound else "missing")
-                    continue
-                folder = dest.rsplit("/", 1)[0]
-                if folder not in made:
-                    store.create_dir(folder, recursive=True)
-                    made.add(folder)
-                store.move(source, dest)
-                outcomes.append("moved")
-            yield batch.assign(outcome=outcomes)
+                    outcomes.append("missing" if free else "done_before")
+                elif not free:
+                    outcomes.append("taken")
+                elif updated is not None and not pd.isna(updated) and _later(found.mtime, updated):
+                    outcomes.append("changed")
+                else:
+                    folder = dest.rsplit("/", 1)[0]
+                    if folder not in made:
+                        store.create_dir(folder, recursive=True)
+                        made.add(folder)
+                    store.move(source, dest)
+                    outcomes.append("moved")
+            yield batch[PLAN_COLUMNS].assign(outcome=outcomes)
 
     return run
 
 
-def apply_moves(plan: DataFrame, root: str, files_per_task: int = 500) -> dict[tuple[str, str], int]:
+def apply_moves(plan: DataFrame, root: str, files_per_task: int = 500, checked: bool = False) -> dict[tuple[str, str], int]:
     """Carry out a written plan of paths relative to ``root``, in the tasks.
 
-    Two sources for one destination stop the run before the first move. The
-    result counts the files per (zone, outcome), a handful of rows.
+    Two sources for one destination stop the run before the first move, unless
+    the plan was ``checked`` when it was made. Nothing is overwritten: where the
+    destination exists the source stays, as ``taken``. With an ``updated``
+    column a source written again since then stays, as ``changed``. The result
+    counts the files per (zone, outcome), a handful of rows.
     """
-    require_distinct_destinations(plan)
+    ship_package(plan.sparkSession)
+    if not checked:
+        require_distinct_destinations(plan)
     # Rows are few bytes each but a move is slow, so tasks are cut by count.
     tasks = -(-plan.count() // files_per_task)
-    moved = plan.select(*PLAN_COLUMNS).repartition(max(tasks, 1), "source_path").mapInPandas(
+    columns = [*PLAN_COLUMNS, *[c for c in ("updated",) if c in plan.columns]]
+    moved = plan.select(columns).repartition(max(tasks, 1), "source_path").mapInPandas(
         _move_batches(root), "source_path string, dest_path string, zone string, outcome string"
     )
     tally = moved.groupBy("zone", "outcome").count().collect()
     return {(row["zone"], row["outcome"]): row["count"] for row in tally}
+
+
+def require_moved(tally: dict[tuple[str, str], int], tolerated: tuple[str, ...] = ()) -> None:
+    """Fail where files of a plan stayed behind or were not there."""
+    left = {k: n for k, n in tally.items() if k[1] in ("missing", "taken") and k[1] not in tolerated}
+    if left:
+        raise RuntimeError(f"files not moved, by zone and reason: {left}")

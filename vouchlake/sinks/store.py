@@ -6,6 +6,7 @@ refresh that fails leaves the former state readable and a table may be
 rebuilt from itself. Rows of an append go to ``batch=<name>`` below the
 current version, moved there in one rename, and a batch that is already there
 is not written again: repeating a run after a lost driver adds nothing twice.
+Tokens of versions that are deleted stay behind as empty files in ``_tokens``.
 
 One writer per table at a time is assumed; readers need no coordination.
 """
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from vouchlake import schemas
 
 BATCH = "batch"
+MONTH = "month_of"
 _VERSION = re.compile(r"^v(\d{8})(?:-(.*))?$")
 
 
@@ -71,7 +73,16 @@ class TableStore:
         return bool(self._versions(table))
 
     def has_token(self, table: str, token: str) -> bool:
-        return any(seen == token for _, seen, _ in self._versions(table))
+        """Whether a version with this token was ever complete, be it pruned since or not."""
+        if any(seen == token for _, seen, _ in self._versions(table)):
+            return True
+        return self._exists(self._token_file(table, token))
+
+    def _token_file(self, table: str, token: str) -> str:
+        return f"{self.root}/{_safe(table)}/_tokens/{_safe(token)}"
+
+    def _mark(self, path: str) -> None:
+        self._fs.create(self._path(path), True).close()
 
     def location(self, table: str) -> str:
         versions = self._versions(table)
@@ -88,20 +99,33 @@ class TableStore:
             # Saves the job that would look the types up in a file.
             reader = reader.schema(schemas.KNOWN[table])
         df = reader.parquet(self.location(table))
-        return df.drop(BATCH) if BATCH in df.columns else df
+        return df.drop(BATCH, MONTH)
+
+    def read_months(self, table: str, first: str, last: str) -> DataFrame:
+        """The rows of the months from ``first`` to ``last`` (``yyyy-MM``); other folders are not read."""
+        df = self.spark.read.parquet(self.location(table))
+        return df.where(F.col(MONTH).cast("string").between(first, last)).drop(BATCH, MONTH)
 
     # -- writing ---------------------------------------------------------
 
     def replace(
-        self, table: str, df: DataFrame, partition_by: str | None = None, token: str | None = None
+        self,
+        table: str,
+        df: DataFrame,
+        partition_by: str | None = None,
+        token: str | None = None,
+        month_of: str | None = None,
     ) -> DataFrame:
         """Full refresh: write a new version, which readers then see whole.
 
         ``partition_by`` lays the files out by a column of few values; the
         rebalance hint lets Spark split a value that holds much of the data
-        into several files and merge small ones.
+        into several files and merge small ones. ``month_of`` lays them out by
+        the month of a date, in a column that readers do not see.
         """
         folder = self._next_folder(table, token)
+        if month_of:
+            df, partition_by = df.withColumn(MONTH, F.date_format(month_of, "yyyy-MM")), MONTH
         writer = df
         if partition_by:
             writer = df.hint("rebalance", partition_by)
@@ -118,14 +142,15 @@ class TableStore:
         else:
             folder = self._next_folder(table, None)
         final = f"{folder}/{BATCH}=b-{_safe(batch)}"
-        if self._exists(final):
-            return False
-        incoming = f"{folder}/_incoming-{batch}"
-        df.write.mode("overwrite").parquet(incoming)
-        self._rename(incoming, final)
+        added = not (self._exists(final) or self._exists(self._token_file(table, f"batch-{batch}")))
+        if added:
+            incoming = f"{folder}/_incoming-{batch}"
+            df.write.mode("overwrite").parquet(incoming)
+            self._rename(incoming, final)
+        # Also for a batch found: its writer may have died before this line.
         if not self._exists(f"{folder}/_SUCCESS"):
-            self._fs.create(self._path(f"{folder}/_SUCCESS"), True).close()
-        return True
+            self._mark(f"{folder}/_SUCCESS")
+        return added
 
     def rewrite(self, table: str, change) -> DataFrame:
         """Replace an appended table by ``change(rows)``, batches kept.
@@ -155,9 +180,30 @@ class TableStore:
         """Delete all but the newest ``keep`` versions."""
         if keep < 1:
             raise ValueError("at least one version must stay")
-        for _, _, folder in self._versions(table)[:-keep]:
+        for _, token, folder in self._versions(table)[:-keep]:
+            if token:
+                self._mark(self._token_file(table, token))
             self._fs.delete(self._path(folder), True)
 
+    def compact(self, table: str, keep: str, batch_count: int = 16) -> None:
+        """Fold the batches of an appended table into few, once there are more than ``batch_count``.
+
+        ``keep`` names a batch that must stay as it is, as a run that is
+        repeated looks for it. Names of folded batches stay known as tokens.
+        """
+        if not self.exists(table):
+            return
+        folder = self.location(table)
+        names = [st.getPath().getName() for st in self._fs.listStatus(self._path(folder))]
+        names = [n.removeprefix(f"{BATCH}=b-") for n in names if n.startswith(f"{BATCH}=b-")]
+        old = [n for n in names if keep not in n]
+        if len(old) <= batch_count:
+            return
+        for name in old:
+            self._mark(self._token_file(table, f"batch-{name}"))
+        folded = F.when(F.col(BATCH).isin([f"b-{n}" for n in old]), F.lit("b-folded")).otherwise(F.col(BATCH))
+        self.rewrite(table, lambda rows: rows.withColumn(BATCH, folded))
+
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``(table_name, row_count)``, one row per table, also for empty ones."""

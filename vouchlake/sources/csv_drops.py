@@ -22,8 +22,14 @@ FIXED_OPTIONS = {
 }
 
 
-def restore_empty(df: DataFrame) -> DataFrame:
-    return df.select([F.when(F.col(c) != _QUOTED_EMPTY, F.col(c)).when(F.col(c).isNotNull(), "").alias(c) for c in df.columns])
+def restore_empty(df: DataFrame, cells: list[str] | None = None) -> DataFrame:
+    """Quoted empty cells as empty text, in the given columns or in all."""
+    cells = df.columns if cells is None else cells
+
+    def restored(c: str) -> Column:
+        return F.when(F.col(c) != _QUOTED_EMPTY, F.col(c)).when(F.col(c).isNotNull(), "").alias(c)
+
+    return df.select([restored(c) if c in cells else F.col(c) for c in df.columns])
 
 
 def scan_csv_fixed(spark: SparkSession, table: str, path: str) -> DataFrame:
@@ -53,11 +59,35 @@ MISSING_TEXTS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+_BEYOND = "__beyond_the_header"
 _WHOLE = r"^[ \t]*[+-]?\d+[ \t]*\z"
 _REAL = r"^[ \t]*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))[ \t]*\z"
 _TRUTH = r"^(True|TRUE|true|False|FALSE|false)\z"
 
 
+def _has_quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether some line ends inside quotes."""
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not lines.where(quotes % 2 == 1).limit(1).isEmpty()
+
+
+def _inferred_text(spark: SparkSession, path: str) -> DataFrame:
+    """The cells as text: short rows give NULL, a row wider than the header fails the job.
+
+    A file with line breaks inside quotes is read whole by one task, since no
+    other place in it is sure to begin a record; other files are split.
+    """
+    options = {"header": "true", "escape": '"', "multiLine": str(_has_quoted_breaks(spark, path)).lower()}
+    names = spark.read.csv(path, **options).columns
+    # One column more than the header has, by position; only a wide row fills it.
+    schema = ", ".join(f"`{c}` string" for c in [*names, _BEYOND])
+    cells = spark.read.csv(path, schema=schema, enforceSchema=True, columnNameOfCorruptRecord="__none", **options)
+    wide = F.raise_error(F.concat(F.lit("a row is wider than the header: ... "), F.col(f"`{_BEYOND}`")))
+    first = F.when(F.col(f"`{_BEYOND}`").isNotNull(), wide.cast("string")).otherwise(F.col(f"`{names[0]}`"))
+    return cells.select(first.alias(names[0]), *[F.col(f"`{c}`") for c in names[1:]])
+
+
 def scan_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """A CSV whose column types come from the data.
 
@@ -65,7 +95,7 @@ def scan_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     DOUBLE, true/false BIGINT, the rest text, dates too. One aggregate over
     the file decides all columns; its result is one row.
     """
-    text = spark.read.csv(path, header=True, escape='"')
+    text = _inferred_text(spark, path)
     text = text.select([F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in text.columns])
 
     def tally(c: Column) -> Column:

@@ -2,31 +2,78 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchlake.functions.names import is_pdf
+from vouchlake.functions.names import base_name, is_pdf
+from vouchlake.session import scratch_dir, ship_package
+from vouchlake.sinks.moves import file_system
+
+_ROWS_PER_BATCH = 10_000
+_MOST_TASKS = 10_000
 
-_SCANS_PER_TASK = 64
 LISTING_COLUMNS = ["path", "modificationTime", "length"]
+_FOUND = "path string, modificationTime timestamp, length bigint, folder boolean"
+
+
+def _list_folders(root: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as afs
+
+        store, base = file_system(root)
+        for batch in batches:
+            for folder in batch["path"]:
+                inside = f"{base}/{folder}".rstrip("/")
+                found = store.get_file_info(afs.FileSelector(inside, allow_not_found=True))
+                for first in range(0, len(found), _ROWS_PER_BATCH):
+                    part = found[first : first + _ROWS_PER_BATCH]
+                    yield pd.DataFrame(
+                        {
+                            "path": [f.path[len(base) + 1 :] for f in part],
+                            "modificationTime": pd.to_datetime([f.mtime for f in part], utc=True),
+                            "length": [None if f.type == afs.FileType.Directory else f.size for f in part],
+                            "folder": [f.type == afs.FileType.Directory for f in part],
+                        }
+                    )
+
+    return run
 
 
 def list_landing(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Every file below ``root`` with its update time and size.
+    """Every file below ``root`` with its update time and size, whatever its name.
 
-    File contents are never read, as ``content`` is not selected. Operators
-    take any DataFrame with these columns, so a zone of very many objects can
-    use the store's own inventory report instead of a live listing.
+    Tasks list the folders, level by level, and write what they find; the
+    driver sees no file. A folder is listed by one task, so a zone that holds
+    very many objects in one folder should bring the store's own inventory
+    report: operators take any DataFrame with these columns.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    ship_package(spark)
+    level, levels = spark.createDataFrame([("",)], "path string"), []
+    while True:
+        # Folders are few bytes each but slow to list, so each is a task of its own up to a point.
+        path = scratch_dir(spark, "listing")
+        level.repartition(max(1, min(level.count(), _MOST_TASKS)), "path").mapInPandas(_list_folders(root), _FOUND).write.parquet(path)
+        levels.append(spark.read.schema(_FOUND).parquet(path))
+        level = levels[-1].where("folder").select("path")
+        if level.isEmpty():
+            break
+    found = levels[0]
+    for more in levels[1:]:
+        found = found.unionByName(more)
+    files = found.where(~F.col("folder"))
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root).select(*LISTING_COLUMNS)
-    # The scan plans its tasks for files that are read, some thirty to a task.
-    # Nothing is read here, so many of them may share one.
-    planned = files.rdd.getNumPartitions()
-    wanted = max(spark.sparkContext.defaultParallelism, planned // _SCANS_PER_TASK)
-    return files.coalesce(wanted) if planned > wanted else files
+        files = files.where(F.regexp_like(base_name(F.col("path")), F.lit(_glob_pattern(glob))))
+    return files.select(F.concat(F.lit(root.rstrip("/") + "/"), "path").alias("path"), "modificationTime", "length")
+
+
+def _glob_pattern(glob: str) -> str:
+    """A pattern for names with ``*`` and ``?``."""
+    parts = {"*": ".*", "?": "."}
+    return "^" + "".join(parts.get(c, re.escape(c)) for c in glob) + r"\z"
 
 
 def relative_to(listing: DataFrame, root: str) -> DataFrame:

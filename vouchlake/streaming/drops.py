@@ -2,15 +2,47 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from vouchlake import schemas
 from vouchlake.operators.upsert import merge_into_raw
 from vouchlake.sinks.store import TableStore
 from vouchlake.sources.csv_drops import FIXED_OPTIONS, restore_empty
 
+_TIME, _FILE = "__file_time", "__file"
+
+
+def newest_drop(table: str, rows: DataFrame) -> DataFrame:
+    """Rows of several files, each key from the newest file that has it.
+
+    An order goes by its own version first, as only a newer one may replace
+    it. A key that two files of one time bring fails the job, since nothing
+    tells which came last. Rows without key, and copies within one file, stay.
+    """
+    key = schemas.KEYS[table]
+    order = [F.desc(_TIME)]
+    if table == "orders":
+        order.insert(0, F.desc_nulls_last(F.col("source_updated_at").try_cast("timestamp")))
+    # Rows without key are spread; they are not compared.
+    by = Window.partitionBy(F.col(key), F.when(F.col(key).isNull(), F.xxhash64(*rows.columns)))
+    place = F.rank().over(by.orderBy(*order))
+    first = rows.withColumn("__place", place).where(F.col(key).isNull() | (F.col("__place") == 1))
+    files = F.size(F.collect_set(_FILE).over(by))
+    clash = F.concat(F.lit("files of one time bring key "), F.col(key).cast("string"))
+    checked = F.when(F.col(key).isNotNull() & (files > 1), F.raise_error(clash).cast("string")).otherwise(F.col(_FILE))
+    return first.withColumn(_FILE, checked).where(F.col(_FILE).isNotNull()).drop("__place", _TIME, _FILE)
+
+
+def _stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """A name no other stream has: the id that Spark wrote when the checkpoint was made."""
+    written = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()
+    return hashlib.sha256(json.loads(written.value)["id"].encode()).hexdigest()[:24]
+
 
 def ingest_incremental(
     spark: SparkSession,
@@ -19,31 +51,36 @@ def ingest_incremental(
     drop_root: str,
     checkpoint: str,
     as_of: datetime | None = None,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Merge every CSV that is new below ``drop_root``, then stop.
 
-    Files are taken in the order of their update time, one per merge unless
-    ``files_per_batch`` says otherwise. Each drop needs a name of its own, as a
-    rewritten file of a known name is not picked up again. A merge carries the
-    number of its micro-batch as version token, so one repeated after a
-    failure is not applied twice.
+    All waiting files make one merge unless ``files_per_batch`` says otherwise;
+    of a key that several bring, ``newest_drop`` tells which row counts. Each
+    drop needs a name of its own, as a rewritten file of a known name is not
+    picked up again. A merge carries the stream's id and the number of its
+    micro-batch as version token, so one repeated after a failure is not
+    applied twice, and a stream with another or a new checkpoint is.
     """
-    raw, label = f"{table}_raw", checkpoint.rstrip("/").rsplit("/", 1)[-1]
-    drops = (
+    raw = f"{table}_raw"
+    reader = (
         spark.readStream.schema(schemas.STAGE[table])
         .options(**FIXED_OPTIONS)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(drop_root)
+    )
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    drops = reader.csv(drop_root).select(
+        "*", F.col("_metadata.file_modification_time").alias(_TIME), F.col("_metadata.file_path").alias(_FILE)
     )
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        token = f"{label}-{batch_id}"
+        token = f"{_stream_name(spark, checkpoint)}-{batch_id}"
         if store.has_token(raw, token):
             return
-        stage = store.replace(f"{table}_stage", restore_empty(batch))
+        rows = restore_empty(batch, schemas.STAGE[table].fieldNames())
+        stage = store.replace(f"{table}_stage", newest_drop(table, rows))
         moment = as_of or datetime.now(timezone.utc)
         store.replace(raw, merge_into_raw(table, store.read(raw), stage, moment), token=token)
 
