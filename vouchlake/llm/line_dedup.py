@@ -4,8 +4,8 @@ A line is the set of its words, lower-cased. It is removed when a line before it
 (an earlier document by ``doc_id``, or an earlier line of the same document) has
 a set of Jaccard similarity ``NUM / DEN`` or more, be that line kept or not.
 
-1. Words are put in order of rarity, the same for all lines. How many lines
-   hold a word is counted over all lines, in a fixed number of hash buckets.
+1. Words are put in order of rarity, the same for all lines. How often a word
+   occurs is counted over all lines, in a fixed number of hash buckets.
 2. Lines with equal sets fold into the first of them; the others are removed.
 3. Groups of very many variants of one line are thinned: a line is compared with
    the first line that shares one of a few least hashes with it. Where the two
@@ -28,64 +28,80 @@ come out equal. An empty table gives no rows; other columns pass through.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vouchlake.llm.common import stored
-from vouchlake.llm.picks import may_hold, table_byte
+from vouchlake.llm.picks import possible
 from vouchlake.operators.keys import same_key
 
 NUM, DEN = 8, 10
-BUCKETS = 1 << 18  # of the word count; their classes, a byte each, go to all tasks
+BUCKETS = 1 << 16  # of the word count; their classes, a byte each, go to all tasks
 COMMON = 14  # classes below the most common word's, from which words are too common to group by
 _MASK = (1 << 56) - 1
-_MIXES = (0, 0x5A5A17C3D21B9E37, 0x33CC55AA0F1E2D4B, 0x69965AA53C99F00F)
+_MIXES = (0, 0x005A17C3D21B9E37)  # orders of the least hashes
 _WORDS = r"[\x20\x09-\x0D]+"
+_SPACES = " \t\n\x0b\x0c\r"
+
+
+def _split(line: Column) -> Column:
+    """Words of a line that has some; most lines part them by single blanks, which takes no pattern."""
+    text = F.btrim(F.lower(line), F.lit(_SPACES))
+    return F.when(line.rlike(r"[\x09-\x0D]|\x20\x20"), F.split(text, _WORDS)).otherwise(F.split(text, " "))
+
+
+def _has_words(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
 
 
 def words(line: Column) -> Column:
-    """Hashes of the distinct words of a line."""
-    parts = F.split(F.lower(line), _WORDS)
-    return F.array_distinct(F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w)))
+    """Hashes of the distinct words of a line that has some."""
+    return F.array_distinct(F.transform(_split(line), lambda w: F.xxhash64(w)))
 
 
 def _bucket(word: Column, buckets: int) -> Column:
     return word.bitwiseAND(buckets - 1).cast("int")
 
 
-def rarity_classes(lines: DataFrame, buckets: int = BUCKETS) -> tuple[bytes, int]:
-    """A byte for each bucket, twice the binary logarithm of the lines that hold its words, and the class from which words are common."""
-    held = lines.select(F.explode("words").alias("word")).groupBy(_bucket(F.col("word"), buckets).alias("bucket")).count()
-    classes, most = bytearray(buckets), 1
-    rows = held.select("bucket", F.least(F.floor(F.log2("count") * 2), F.lit(126)).cast("int").alias("class"))
-    for row in rows.toLocalIterator():  # as many rows as there are buckets
-        classes[row.bucket] = row["class"]
-        most = max(most, row["class"])
-    return bytes(classes), max(1, most - COMMON)
-
+@dataclass(frozen=True)
+class Rarity:
+    """A class for each bucket of words, higher for words that occur more."""
 
-def _lines(docs: DataFrame) -> DataFrame:
-    kept = [c for c in ("place", "mark") if c in docs.columns]
-    return docs.where(F.col("text").isNotNull()).select(*kept, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    classes: list[int]
 
+    def below(self, steps: int) -> int:
+        """The least key of the words that many classes below the most common one."""
+        return max(1, max(self.classes) - steps) << 56
 
-def _ordered(hashes: Column, classes: bytes) -> Column:
-    """Words as numbers: the rarity class above, the hash below."""
+    def keys(self, hashes: Column) -> Column:
+        """Words as numbers in order of rarity: the class above, the hash below."""
+        # A constant of fixed size, which the optimizer folds into one array.
+        table = F.split(F.lit(",".join(map(str, self.classes))), ",").cast("array<tinyint>")
 
-    def keyed(w: Column) -> Column:
-        rank = table_byte(classes, _bucket(w, len(classes))).cast("long")
-        return F.shiftleft(rank, 56).bitwiseOR(w.bitwiseAND(F.lit(_MASK)))
+        def keyed(w: Column) -> Column:
+            rank = F.get(table, _bucket(w, len(self.classes))).cast("long")
+            return F.shiftleft(rank, 56).bitwiseOR(w.bitwiseAND(F.lit(_MASK)))
 
-    return F.sort_array(F.transform(hashes, keyed))
+        return F.sort_array(F.transform(hashes, keyed))
 
 
-def _bits(hashes: Column, half: int) -> Column:
-    """A bitmap of 64 bits of one half of the words."""
+def rarity(lines: DataFrame, buckets: int = BUCKETS) -> Rarity:
+    """Classes from the number of times the words of a bucket occur: twice its binary logarithm."""
+    held = lines.select(F.explode(_split(F.col("line"))).alias("word")).groupBy(_bucket(F.xxhash64("word"), buckets).alias("bucket")).count()
+    classes = [0] * buckets
+    rows = held.select("bucket", F.least(F.floor(F.log2("count") * 2), F.lit(126)).cast("int").alias("class"))
+    for row in rows.toLocalIterator():  # as many rows as there are buckets
+        classes[row.bucket] = row["class"]
+    return Rarity(classes)
 
-    def put(bits: Column, w: Column) -> Column:
-        return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(63).cast("int")))
 
-    return F.aggregate(F.filter(hashes, lambda w: F.getbit(w, F.lit(6)) == half), F.lit(0).cast("long"), put)
+def _lines(docs: DataFrame) -> DataFrame:
+    """The lines that have words."""
+    kept = [c for c in ("place", "mark") if c in docs.columns]
+    lines = docs.where(F.col("text").isNotNull()).select(*kept, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.where(_has_words(F.col("line")))
 
 
 def _placed(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -97,9 +113,9 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, int]:
     sizes = docs.agg(
         F.min("doc_id").cast("decimal(20,0)").alias("low"),
         F.max("doc_id").cast("decimal(20,0)").alias("high"),
-        F.max(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).alias("breaks"),
+        F.max(F.length("text")).alias("longest"),
     ).first()
-    room = int(sizes.breaks or 0) + 1
+    room = int(sizes.longest or 0) + 1  # no text has more lines than this
     if sizes.low is None:
         return docs.withColumn("place", F.lit(0).cast("long")), room
     if (int(sizes.high) - int(sizes.low) + 2) * room < 1 << 62:
@@ -124,35 +140,38 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, int]:
     return joined.withColumn("place", F.coalesce("order", F.lit(0))).drop("o_id", "order"), room
 
 
-def _sets(docs: DataFrame, room: int) -> tuple[DataFrame, bytes]:
-    """A row for each line that has words, and the rarity classes of the words."""
-    lines = _lines(docs).select("place", "mark", "line_no", words(F.col("line")).alias("words")).where(F.size("words") > 0)
-    classes, limit = rarity_classes(lines)
-    sets = lines.select(
-        (F.col("place") * room + F.col("line_no")).alias("rid"),
-        "mark",
-        F.size("words").alias("n"),
-        _ordered(F.col("words"), classes).alias("keys"),
-        _bits(F.col("words"), 0).alias("b0"),
-        _bits(F.col("words"), 1).alias("b1"),
-    )
-    kept = (F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1).cast("int")
-    rare = F.filter("keys", lambda k: k < limit << 56)
-    least = [_least(rare, mix) for mix in _MIXES]
-    return sets.select(
+def _sets(docs: DataFrame, room: int) -> tuple[DataFrame, Rarity]:
+    """A row for each line that has words, and the order of the words."""
+    order = rarity(_lines(docs))
+    rid = F.col("place") * room + F.col("line_no")
+    keyed = _lines(docs).select(rid.alias("rid"), "mark", order.keys(words(F.col("line"))).alias("keys"))
+    size = F.size("keys")
+    kept = (size - F.ceil(size * NUM / DEN) + 1).cast("int")
+    split = keyed.select(
         "rid",
         "mark",
-        "n",
+        size.alias("n"),
         F.xxhash64("keys").alias("fp"),
         F.transform(F.slice("keys", F.lit(1), kept), lambda k: F.hash(k)).alias("prefix"),
-        "b0",
-        "b1",
-        F.array(*least).alias("least"),
-    ), classes
+        F.filter("keys", lambda k: k < F.lit(order.below(COMMON))).alias("rare"),
+    )
+    return split.select(
+        "rid", "mark", "n", "fp", "prefix", _bits(F.col("rare"), 0).alias("bits"), _bits(F.col("rare"), 1).alias("more"), F.array(*[_least(F.col("rare"), m) for m in _MIXES]).alias("least")
+    ), order
+
+
+def _bits(keys: Column, half: int) -> Column:
+    """A bitmap of 64 bits of one half of the words; common ones, which tell lines apart the least, are left out."""
+
+    def put(bits: Column, k: Column) -> Column:
+        return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int")))
+
+    return F.aggregate(F.filter(keys, lambda k: F.getbit(k, F.lit(6)) == half), F.lit(0).cast("long"), put)
 
 
 def _least(keys: Column, mix: int) -> Column:
-    return F.array_min(F.transform(keys, lambda k: k.bitwiseAND(F.lit(_MASK)).bitwiseXOR(F.lit(mix))))
+    """The least hash of the words, each mix in an order of its own."""
+    return F.array_min(F.transform(keys, lambda k: k.bitwiseXOR(F.lit(mix)).bitwiseAND(F.lit(_MASK)))).bitwiseXOR(F.lit(mix << 3))
 
 
 def _bound(x: dict[str, Column], y: dict[str, Column]) -> Column:
@@ -163,8 +182,8 @@ def _bound(x: dict[str, Column], y: dict[str, Column]) -> Column:
         return overlap * (NUM + DEN) >= (n + m) * NUM
 
     def lacks(one: dict[str, Column], other: dict[str, Column]) -> Column:
-        b0, b1 = (F.bit_count(one[b].bitwiseAND(F.bitwise_not(other[b]))) for b in ("b0", "b1"))
-        return b0 + b1
+        halves = (F.bit_count(one[half].bitwiseAND(F.bitwise_not(other[half]))) for half in ("bits", "more"))
+        return sum(halves, F.lit(0))
 
     fits = F.least(n, m) * DEN >= F.greatest(n, m) * NUM
     if "pos" in x:
@@ -172,64 +191,72 @@ def _bound(x: dict[str, Column], y: dict[str, Column]) -> Column:
     return fits & reached(n - lacks(x, y)) & reached(m - lacks(y, x))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, room: int, classes: bytes) -> DataFrame:
-    """The later lines ``(rid, fp)`` of pairs whose sets reach the similarity, by their words."""
+def _verified(pairs: DataFrame, docs: DataFrame, room: int, order: Rarity) -> DataFrame:
+    """Those ``(later, earlier)`` pairs of lines whose sets reach the similarity, by their words: the later one's ``(rid, fp)``."""
     pairs = stored(pairs.distinct(), "line-pairs")
-    ends = [pairs.select(F.col(f"{end}_rid").alias("rid"), F.col(f"{end}_fp").alias("fp")) for end in ("later", "earlier")]
-    wanted = stored(ends[0].unionByName(ends[1]).distinct(), "lines-wanted")
-    in_pair = may_hold(wanted.select("rid"))
+    wanted = pairs.select(F.col("later").alias("w_rid")).unionByName(pairs.select(F.col("earlier").alias("w_rid"))).distinct()
+    wanted = stored(wanted, "lines-wanted")
     lines = _lines(docs).select((F.col("place") * room + F.col("line_no")).alias("rid"), "line")
-    picked = lines.where(in_pair(F.col("rid"))).select("rid", words(F.col("line")).alias("words"))
-    picked = picked.where(F.size("words") > 0).withColumn("fp", F.xxhash64(_ordered(F.col("words"), classes)))
-    same = same_key(F.col("rid"), F.col("w_rid")) & (F.col("fp") == F.col("w_fp"))
-    held = picked.join(wanted.select(F.col("rid").alias("w_rid"), F.col("fp").alias("w_fp")), same).select("rid", "fp", "words")
+    picked = possible(lines, "rid", wanted).join(wanted, same_key(F.col("rid"), F.col("w_rid")))
+    held = picked.select("rid", words(F.col("line")).alias("words")).withColumn("fp", F.xxhash64(order.keys(F.col("words"))))
     held = stored(held.dropDuplicates(["rid", "fp"]), "lines-held")
-    for end, name in (("later", "mine"), ("earlier", "theirs")):
-        side = held.select(F.col("rid").alias("h_rid"), F.col("fp").alias("h_fp"), F.col("words").alias(name))
-        match = same_key(F.col(f"{end}_rid"), F.col("h_rid")) & (F.col(f"{end}_fp") == F.col("h_fp"))
-        pairs = pairs.join(side, match).drop("h_rid", "h_fp")
-    shared = F.size(F.array_intersect("mine", "theirs"))
-    similar = shared * (NUM + DEN) >= (F.size("mine") + F.size("theirs")) * NUM
-    return pairs.where(similar).select(F.col("later_rid").alias("rid"), F.col("later_fp").alias("fp")).distinct()
+    later, earlier = (held.select([F.col(c).alias(f"{side}_{c}") for c in held.columns]) for side in ("l", "e"))
+    both = pairs.join(later, same_key(F.col("later"), F.col("l_rid"))).join(earlier, same_key(F.col("earlier"), F.col("e_rid")))
+    shared = F.size(F.array_intersect("l_words", "e_words"))
+    similar = shared * (NUM + DEN) >= (F.size("l_words") + F.size("e_words")) * NUM
+    return both.where(similar).select(F.col("l_rid").alias("rid"), F.col("l_fp").alias("fp")).distinct()
 
 
 def _of(prefix: str, *names: str) -> dict[str, Column]:
     return {name: F.col(f"{prefix}.{name}") for name in names}
 
 
-def _ends() -> list[Column]:
-    return [F.col(f"{side}.{c}").alias(f"{end}_{c}") for side, end in (("x", "later"), ("y", "earlier")) for c in ("rid", "fp")]
-
-
 def _settled(first: DataFrame) -> DataFrame:
     """Pairs of a line and the first one that shares a least hash with it."""
-    hashed = first.select(F.struct("rid", "fp", "n", "b0", "b1").alias("x"), F.posexplode("least").alias("mix", "hash"))
-    order = Window.partitionBy("mix", "hash").orderBy("x.rid").rowsBetween(Window.unboundedPreceding, 0)
-    met = hashed.where(F.col("hash").isNotNull()).withColumn("y", F.first("x").over(order))
-    close = _bound(_of("x", "n", "b0", "b1"), _of("y", "n", "b0", "b1"))
-    return met.where((F.col("y.rid") < F.col("x.rid")) & close).select(*_ends())
+    hashed = first.select(F.explode("least").alias("hash"), "rid", "n", "bits", "more").where(F.col("hash").isNotNull())
+    order = Window.partitionBy("hash").orderBy("rid").rowsBetween(Window.unboundedPreceding, 0)
+    met = hashed.withColumn("y", F.first(F.struct("rid", "n", "bits", "more")).over(order))
+    close = _bound({c: F.col(c) for c in ("n", "bits", "more")}, _of("y", "n", "bits", "more"))
+    return met.where((F.col("y.rid") < F.col("rid")) & close).select(F.col("rid").alias("later"), F.col("y.rid").alias("earlier"))
+
+
+_SIZE_BITS = 31
 
 
 def _candidates(first: DataFrame) -> DataFrame:
     """Pairs of a line and an earlier one with a shared word among the rarest of both."""
-    words_of = first.select(
-        F.posexplode("prefix").alias("pos", "word"), "rid", "fp", "reach", "n", "b0", "b1"
+    # Place of the word and size in one number, below zero for a settled line: rows are many and small.
+    size = F.shiftleft("pos", _SIZE_BITS).bitwiseOR(F.col("n").cast("long"))
+    rows = first.select("rid", "n", "bits", "more", "done", F.posexplode("prefix").alias("pos", "word")).withColumn("pos", F.col("pos").cast("long"))
+    rows = rows.select("word", "rid", "bits", "more", F.when(F.col("done"), -size - 1).otherwise(size).alias("size"))
+    # None is null; said for both sides of the join alike, they are one shuffle.
+    rows = rows.dropna()
+
+    def side(name: str) -> dict[str, Column]:
+        held = F.col(f"{name}.size")
+        held = F.when(held < 0, -held - 1).otherwise(held)
+        return {
+            "n": held.bitwiseAND((1 << _SIZE_BITS) - 1),
+            "pos": F.shiftright(held, _SIZE_BITS),
+            "bits": F.col(f"{name}.bits"),
+            "more": F.col(f"{name}.more"),
+        }
+
+    earlier = (F.col("y.rid") < F.col("x.rid")) & (F.col("x.size") + F.col("y.rid") * 0 >= 0)
+    met = F.col("x.word") == F.col("y.word")
+    return rows.alias("x").join(rows.alias("y"), met & earlier & _bound(side("x"), side("y"))).select(
+        F.col("x.rid").alias("later"), F.col("y.rid").alias("earlier")
     )
-    x, y = words_of.alias("x"), words_of.alias("y")
-    names = ("n", "b0", "b1", "pos")
-    met = (F.col("x.word") == F.col("y.word")) & (F.col("y.rid") < F.col("x.reach"))
-    return x.join(y, met & _bound(_of("x", *names), _of("y", *names))).select(*_ends())
 
 
-def _gone(lines: DataFrame, docs: DataFrame, room: int, classes: bytes) -> DataFrame:
+def _gone(lines: DataFrame, docs: DataFrame, room: int, order: Rarity) -> DataFrame:
     """``(fp, rid, gone)``: the first line of every set, and whether it resembles an earlier one."""
-    first = lines.groupBy("fp").agg(F.min(F.struct("rid", "n", "prefix", "b0", "b1", "least")).alias("r"))
+    first = lines.groupBy("fp").agg(F.min(F.struct("rid", "n", "prefix", "bits", "more", "least")).alias("r"))
     first = stored(first.select("fp", "r.*"), "line-sets")
-    settled = stored(_verified(_settled(first), docs, room, classes), "lines-settled")
+    settled = stored(_verified(_settled(first), docs, room, order), "lines-settled")
     mark = settled.select(F.col("fp").alias("s_fp"))
-    reach = F.when(F.col("s_fp").isNotNull(), F.lit(-1)).otherwise(F.col("rid")).cast("long")
-    left = first.join(mark, same_key(F.col("fp"), F.col("s_fp")), "left").withColumn("reach", reach)
-    found = settled.unionByName(_verified(_candidates(left), docs, room, classes)).select(F.col("fp").alias("g_fp")).distinct()
+    left = first.join(mark, same_key(F.col("fp"), F.col("s_fp")), "left").withColumn("done", F.col("s_fp").isNotNull())
+    found = settled.unionByName(_verified(_candidates(left), docs, room, order)).select(F.col("fp").alias("g_fp")).distinct()
     return first.join(found, same_key(F.col("fp"), F.col("g_fp")), "left").select(
         F.col("fp").alias("f_fp"), F.col("rid").alias("f_rid"), F.col("g_fp").isNotNull().alias("gone")
     )
@@ -239,9 +266,9 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``docs`` with its place and a hash of its text, and ``(place, mark, removed)``: the numbers of lines to remove, from 0."""
     placed, room = _placed(docs.withColumn("mark", F.xxhash64("text")))
     texts = placed.select("place", "mark", "text")
-    lines, classes = _sets(texts, room)
+    lines, order = _sets(texts, room)
     lines = stored(lines, "line-words")
-    gone = _gone(lines, texts, room, classes)
+    gone = _gone(lines, texts, room, order)
     judged = lines.join(gone, same_key(F.col("fp"), F.col("f_fp"))).where(F.col("gone") | (F.col("rid") > F.col("f_rid")))
     numbers = F.sort_array(F.collect_set((F.col("rid") % room).cast("int")))
     removed = judged.groupBy(F.floor(F.col("rid") / room).alias("r_place"), F.col("mark").alias("r_mark")).agg(numbers.alias("removed"))

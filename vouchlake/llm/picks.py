@@ -1,44 +1,34 @@
 """A filter of bounded size that keeps most rows out of a shuffle.
 
 Before large rows are joined with a few keys, those that surely have no partner
-are left out where they are read: a bitmap of the keys' hashes, of a fixed size
-whatever their number, goes to all tasks. With many keys it fills up and lets
-rows through; the join that follows is what decides.
+are told apart where they are read: the distinct values of a few bits of the
+keys' hashes, at most ``1 << BITS`` of them however many keys there are, are
+broadcast. With very many keys they let most rows through; the join that
+follows is what decides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 23  # of the bitmap's size: 1 MB
+BITS = 20
 
 
-def table_byte(table: bytes, at: Column) -> Column:
-    """A byte of a table that all tasks hold."""
-    return F.ascii(F.decode(F.substring(F.lit(table), at + 1, F.lit(1)), "ISO-8859-1"))
+def _spot(key: Column) -> Column:
+    return F.xxhash64(key).bitwiseAND((1 << BITS) - 1)
 
 
-def may_hold(keys: DataFrame, bits: int = BITS) -> Callable[[Column], Column]:
-    """A test that is true for every key of the one-column table, and false for most others."""
+def _spots(keys: DataFrame) -> DataFrame:
+    key = F.col(f"`{keys.columns[0]}`")
+    return F.broadcast(keys.where(key.isNotNull()).select(_spot(key).alias("spot")).distinct())
 
-    def spot(key: Column) -> Column:
-        return F.xxhash64(key).bitwiseAND((1 << bits) - 1)
 
-    place = spot(F.col(keys.columns[0])) + 1
-    rows = keys.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
-    )
-    bitmap = bytearray(1 << (bits - 3))
-    for row in rows.toLocalIterator():  # 4 kB for each 32768 bits
-        at = (row.k - 1) * 4096
-        bitmap[at : at + len(row.bits)] = row.bits
-    table = bytes(bitmap)
+def possible(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows whose key may be in the one-column table, all that are among them."""
+    return rows.alias("r").join(_spots(keys).alias("s"), _spot(F.col(f"r.{key}")) == F.col("s.spot"), "left_semi")
 
-    def test(key: Column) -> Column:
-        byte = table_byte(table, F.shiftright(spot(key), 3).cast("int")).cast("long")
-        return F.getbit(byte, spot(key).bitwiseAND(7).cast("int")) == 1
 
-    return test
+def impossible(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The other rows."""
+    return rows.alias("r").join(_spots(keys).alias("s"), _spot(F.col(f"r.{key}")) == F.col("s.spot"), "left_anti")
