@@ -1,16 +1,18 @@
-"""SentencePiece encoding and decoding by batched Viterbi.
+"""SentencePiece encoding and decoding in numpy, all words of one length together.
 
 A text is cut into units no piece reaches across: before a run of blanks, and
 around characters that are in no longer piece. The distinct units of a chunk of
-texts are encoded together, those of one length at a time: for every end
-position the hashes of all substrings that end there are looked up in the
-sorted hashes of the pieces, the best sum of scores is taken over them, and
-its length and piece are the back pointer. Encoded units are then laid out in
-the order of the texts. Decoding gathers the bytes of the pieces.
-
-The result is the segmentation of greatest total score, which is what the
-library gives for a unigram model. The model at hand is a BPE model: the library
-merges by rank there and may cut a word elsewhere; decoding is exact for both.
+texts are encoded together, those of one length at a time, and laid out in the
+order of the texts. Substrings are found by looking up their hashes in the
+sorted hashes of the pieces. Decoding gathers the bytes of the pieces.
+
+A unigram model is cut by Viterbi: for every end position the best sum of
+scores over all pieces that end there, with length and piece as back pointer. A
+BPE model has no such scores, only an order of merges; the sum of its ranks is
+not what it stands for, and its greatest sum differs from the library's result
+for most texts. It is cut by merging: of all neighbours in a word that make a
+piece, those of the highest score first, the leftmost of equals, in all words at
+once. That gives the ids that the library gives.
 
 Defined cases: null text gives null, empty text no ids; a character without a
 piece becomes its bytes, or the unknown id where the model has no bytes; the
@@ -37,7 +39,7 @@ from vouchlake.llm.words import text_chunks, word_hashes
 from vouchlake.session import ship_package
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 BLANK = "▁"
 UNKNOWN_PENALTY = np.float32(10.0)
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -54,6 +56,7 @@ class PieceModel:
     byte_ids: np.ndarray | None  # id of each byte
     breaks: np.ndarray  # bytes that are characters in no longer piece
     prefix: bool  # whether texts get a blank in front
+    merges: bool  # whether pieces are found by merging
     table: np.ndarray  # bytes of all pieces by id
     starts: np.ndarray
 
@@ -73,6 +76,9 @@ def load(path: str = MODEL) -> PieceModel:
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     with open(path, "rb") as file:
         proto = sentencepiece_model_pb2.ModelProto.FromString(file.read())
+    kinds = sentencepiece_model_pb2.TrainerSpec
+    if proto.trainer_spec.model_type not in (kinds.UNIGRAM, kinds.BPE):
+        raise ValueError("only unigram and BPE models can be used")
     spec = proto.normalizer_spec
     if spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.escape_whitespaces:
         raise ValueError("only models that keep texts as they are can be used")
@@ -100,7 +106,7 @@ def load(path: str = MODEL) -> PieceModel:
     content[sp.unk_id()] = " ⁇ ".encode()
     return PieceModel(
         keys[order], np.array(plain, dtype=np.int32)[order], scores[order], max(len(w.encode()) for w in written.values()),
-        scores.min() - UNKNOWN_PENALTY, sp.unk_id(), byte_ids, breaks, spec.add_dummy_prefix,
+        scores.min() - UNKNOWN_PENALTY, sp.unk_id(), byte_ids, breaks, spec.add_dummy_prefix, proto.trainer_spec.model_type == kinds.BPE,
         np.frombuffer(b"".join(content), dtype=np.uint8), np.cumsum([0, *map(len, content)]),
     )
 
@@ -120,12 +126,7 @@ def unit_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray) -> tup
 def _best_cuts(units: np.ndarray, m: PieceModel) -> tuple[np.ndarray, np.ndarray]:
     """Back pointers, length and id, of units of one length; id -1 for an unknown character."""
     n, length = units.shape
-    sums = np.zeros((n, length + 1), dtype=np.uint64)
-    for k in range(length):
-        sums[:, k + 1] = sums[:, k] * _BASE + units[:, k] + np.uint64(1)
-    power = np.full(min(length, m.longest) + 1, _BASE)
-    power[0] = 1
-    power = np.multiply.accumulate(power)
+    sums, power = _prefix_sums(units, min(length, m.longest))
     inside = (units & 0xC0) == 0x80  # bytes that continue a character
     best = np.full((n, length + 1), -np.inf, dtype=np.float32)
     best[:, 0] = 0
@@ -138,8 +139,7 @@ def _best_cuts(units: np.ndarray, m: PieceModel) -> tuple[np.ndarray, np.ndarray
         sizes = np.arange(min(end, max(m.longest, 4)), 0, -1)  # the longest first: it wins a tie
         probed = sizes[sizes <= m.longest]
         found = sums[:, end, None] - sums[:, end - probed] * power[probed]
-        at = np.minimum(np.searchsorted(m.keys, found), len(m.keys) - 1)
-        hit = m.keys[at] == found
+        at, hit = _found(m, found)
         gain = np.full((n, len(sizes)), -np.inf, dtype=np.float32)
         gain[:, len(sizes) - len(probed) :] = np.where(hit, m.scores[at], np.float32(-np.inf))
         # A character that is no piece itself may be taken as unknown.
@@ -158,27 +158,102 @@ def _best_cuts(units: np.ndarray, m: PieceModel) -> tuple[np.ndarray, np.ndarray
     return back, piece
 
 
+def _merged_cuts(units: np.ndarray, m: PieceModel) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and places of the boundaries that are left in units of one length after all merges."""
+    n, length = units.shape
+    sums, power = _prefix_sums(units, length)
+    every = np.arange(n)[:, None]
+    alive = np.ones((n, length + 1), dtype=bool)
+    alive[:, 1:length] = (units[:, 1:] & 0xC0) != 0x80
+    # Neighbours of each boundary among those alive.
+    place = np.where(alive, np.arange(length + 1), 0)
+    before = np.zeros_like(place)
+    before[:, 1:] = np.maximum.accumulate(place, axis=1)[:, :-1]
+    place = np.where(alive, np.arange(length + 1), length)
+    after = np.full_like(place, length)
+    after[:, :-1] = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, 1:]
+
+    def scores(rows: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        at, hit = _found(m, sums[rows, last] - sums[rows, first] * power[last - first])
+        return np.where(hit, m.scores[at], np.float32(-np.inf))
+
+    gain = np.full((n, length + 1), -np.inf, dtype=np.float32)
+    inner = alive.copy()
+    inner[:, [0, length]] = False
+    rows, cols = np.nonzero(inner)
+    gain[rows, cols] = scores(rows, before[rows, cols], after[rows, cols])
+    rows = every[:, 0]
+    while True:
+        pick = np.argmax(gain[rows], axis=1)
+        going = gain[rows, pick] > -np.inf
+        rows, pick = rows[going], pick[going]
+        if not len(rows):
+            return np.nonzero(alive)
+        alive[rows, pick] = False
+        gain[rows, pick] = -np.inf
+        low, high = before[rows, pick], after[rows, pick]
+        after[rows, low], before[rows, high] = high, low
+        left, right = low > 0, high < length
+        r, b = rows[left], low[left]
+        gain[r, b] = scores(r, before[r, b], high[left])
+        r, b = rows[right], high[right]
+        gain[r, b] = scores(r, low[right], after[r, b])
+
+
+def _prefix_sums(units: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all beginnings of units, and the powers that cut one from another."""
+    sums = np.zeros((len(units), units.shape[1] + 1), dtype=np.uint64)
+    for k in range(units.shape[1]):
+        sums[:, k + 1] = sums[:, k] * _BASE + units[:, k] + np.uint64(1)
+    power = np.full(longest + 1, _BASE)
+    power[0] = 1
+    return sums, np.multiply.accumulate(power)
+
+
+def _found(m: PieceModel, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places among the pieces, and whether there is one."""
+    at = np.minimum(np.searchsorted(m.keys, hashes), len(m.keys) - 1)
+    return at, m.keys[at] == hashes
+
+
+def _viterbi_spans(units: np.ndarray, m: PieceModel) -> tuple[np.ndarray, ...]:
+    back, ids = _best_cuts(units, m)
+    n, length = units.shape
+    out = []
+    at, rows = np.full(n, length), np.arange(n)
+    while len(rows):
+        step = back[rows, at]
+        out.append((rows, at - step, step, ids[rows, at]))
+        at = at - step
+        rows, at = rows[at > 0], at[at > 0]
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _merged_spans(units: np.ndarray, m: PieceModel) -> tuple[np.ndarray, ...]:
+    rows, cols = _merged_cuts(units, m)
+    last = np.append(rows[1:] != rows[:-1], True)
+    first = np.flatnonzero(~last)
+    row, start = rows[first], cols[first]
+    size = cols[first + 1] - start
+    sums, power = _prefix_sums(units, units.shape[1])
+    at, hit = _found(m, sums[row, start + size] - sums[row, start] * power[size])
+    return row, start, size, np.where(hit, m.ids[at], -1)
+
+
 def encode_units(data: np.ndarray, start: np.ndarray, end: np.ndarray, m: PieceModel) -> tuple[np.ndarray, np.ndarray]:
     """``(ids, offsets)`` of units."""
     lengths = end - start
-    unit, first, size, piece = [], [], [], []
+    parts = []
     for length in np.unique(lengths).tolist():
         here = np.flatnonzero(lengths == length)
-        back, ids = _best_cuts(data[start[here, None] + np.arange(length)].astype(np.uint64), m)
-        at, rows = np.full(len(here), length), np.arange(len(here))
-        while len(rows):
-            step = back[rows, at]
-            unit.append(here[rows])
-            first.append(start[here[rows]] + at - step)
-            size.append(step)
-            piece.append(ids[rows, at])
-            at = at - step
-            rows, at = rows[at > 0], at[at > 0]
-    if not unit:
+        units = data[start[here, None] + np.arange(length)].astype(np.uint64)
+        row, first, size, piece = (_merged_spans if m.merges else _viterbi_spans)(units, m)
+        parts.append((here[row], start[here[row]] + first, size, piece))
+    if not parts:
         return np.zeros(0, dtype=np.int32), np.zeros(len(start) + 1, dtype=np.int64)
-    unit, first, size, piece = map(np.concatenate, (unit, first, size, piece))
+    unit, first, size, piece = map(np.concatenate, zip(*parts, strict=True))
     order = np.lexsort((first, unit))
-    unit, first, size, piece = unit[order], first[order], size[order], piece[order]
+    unit, first, size, piece = unit[order], first[order], size[order], piece[order].astype(np.int32)
     unknown = piece < 0
     if m.byte_ids is None:
         piece[unknown] = m.unknown_id
