@@ -9,8 +9,11 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2
 
 from vouchlake.llm import (
     brown,
@@ -369,3 +372,33 @@ def test_pieces_round_trip(spark, edges, nothing):
     assert pieces.encode(nothing).count() == 0 and set(edges.columns) - {"text"} <= set(got.columns)
     wild = spark.createDataFrame([(1, [5, 700_000, -3, 0x80 + 3]), (2, None), (3, [])], "k int, ids array<int>")
     assert {r.k: r.text for r in pieces.decode(wild).collect()} == {1: "\x02�", 2: None, 3: ""}
+
+
+def test_pieces_are_those_of_the_library(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").limit(300)
+    odd = ["  two  blanks ", "é☃𝄞 x", "x" * 300, "日本語テキスト" * 9, "\x00\x01a", "\n", "don't <0x0A> </s> <unk>", LONG]
+    docs = docs.unionByName(spark.createDataFrame([(-k - 1, t) for k, t in enumerate(odd)], docs.schema))
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.ids for r in pieces.encode(docs).collect()}
+    assert got == {k: library.encode(t) for k, t in texts.items()}
+
+
+def test_viterbi_takes_the_best_sum(tmp_path):
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(pieces.MODEL, "rb") as file:
+        proto.ParseFromString(file.read())
+    proto.trainer_spec.model_type = sentencepiece_model_pb2.TrainerSpec.UNIGRAM
+    path = tmp_path / "unigram.model"
+    path.write_bytes(proto.SerializeToString())
+    m = pieces.load(str(path))
+    assert not m.merges
+    scores = {p.piece.replace("▁", " "): p.score for p in proto.pieces if p.type == 1}
+    by_id = {k: p.score for k, p in enumerate(proto.pieces)}
+    texts = [" hest", " ariear", " thonly", " strengths", " a", " ", " Wörter", " zzzzqqq"]
+    for text, (_, _, ids, _) in zip(texts, (next(pieces.encode_texts(pa.array([t]), m)) for t in texts), strict=True):
+        best = [0.0] + [-math.inf] * len(text)
+        for end in range(1, len(text) + 1):
+            best[end] = max(best[start] + scores.get(text[start:end], -math.inf) for start in range(end))
+        assert sum(by_id[k] for k in ids.tolist()) == best[-1]
+        assert pieces.decode_ids(ids, np.array([0, len(ids)]), m).to_pylist() == [text[1:]]

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from vouchlake.llm.common import stored
 from vouchlake.llm.components import connected_components
-from vouchlake.llm.picks import may_hold
+from vouchlake.llm.picks import impossible, possible
 from vouchlake.llm.tiles import tiled, whole_runs
 from vouchlake.llm.words import mix64, ngram_sets
 from vouchlake.operators.keys import same_key
@@ -239,8 +239,7 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -
     grouped = reps.select("doc_id", "n_ngrams").join(groups, same_key(F.col("doc_id"), F.col("g_doc"))).drop("g_doc")
     tiles = tiled(_banded(grouped, num, den), ["grp", "band"], F.col("n_ngrams"), BLOCK_NGRAMS)
     tiles = tiles.select(F.col("doc_id").alias("t_doc"), *_TILE)
-    in_group = may_hold(groups.select("g_doc"))
-    texts = docs.where(in_group(F.col("doc_id"))).join(tiles, same_key(F.col("doc_id"), F.col("t_doc"))).select("doc_id", *_TILE, "text")
+    texts = possible(docs, "doc_id", groups.select("g_doc")).join(tiles, same_key(F.col("doc_id"), F.col("t_doc"))).select("doc_id", *_TILE, "text")
     links = _links(_with_sets(texts, n), ["grp", "band"], num, den, exact=True)
     # Equal sets are links too: an id may stand for several sets.
     linked = connected_components(links.unionByName(_repeated(known, reps)))
@@ -269,7 +268,6 @@ def first_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> D
     found = ngram_components(docs, n, num, den)
     later = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("l_id")).distinct()
     later = stored(later, "ngram-later")
-    suspect = F.coalesce(may_hold(later)(F.col("doc_id")), F.lit(False))
     same = same_key(F.col("d.doc_id"), F.col("l.l_id"))
-    kept = docs.where(suspect).alias("d").join(later.alias("l"), same, "left_anti")
-    return docs.where(~suspect).unionByName(kept)
+    kept = possible(docs, "doc_id", later).alias("d").join(later.alias("l"), same, "left_anti")
+    return impossible(docs, "doc_id", later).unionByName(kept)

@@ -96,5 +96,77 @@ FROM texts LEFT JOIN found USING (row_id)
 """
 
 
+LINES = r"""
+WITH parted AS (
+  SELECT doc_id, generate_subscripts(lines, 1) - 1 AS line_no, unnest(lines) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL)
+), sets AS (
+  SELECT doc_id, line_no,
+    list_sort(list_distinct(list_filter(string_split_regex(lower(line), '[\x20\x09-\x0D]+'), lambda w: w <> ''))) AS words
+  FROM parted
+), firsts AS (
+  SELECT words, len(words) AS n, min({'doc_id': doc_id, 'line_no': line_no}) AS place
+  FROM sets WHERE len(words) > 0 GROUP BY words
+), gone AS (
+  SELECT DISTINCT b.words FROM firsts a JOIN firsts b
+    ON a.place < b.place AND a.n * 10 >= b.n * 8 AND b.n * 10 >= a.n * 8
+  WHERE len(list_intersect(a.words, b.words)) * 18 >= (a.n + b.n) * 8
+), removed AS (
+  SELECT s.doc_id, count(*) AS n_removed, string_agg(CAST(s.line_no AS VARCHAR), ',' ORDER BY s.line_no) AS removed
+  FROM sets s JOIN firsts f ON s.words = f.words LEFT JOIN gone g ON s.words = g.words
+  WHERE g.words IS NOT NULL OR {'doc_id': s.doc_id, 'line_no': s.line_no} > f.place
+  GROUP BY s.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+  coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN removed r ON d.doc_id = r.doc_id
+"""
+
+_REACH = """reach AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), least_of AS (SELECT x, min(y) AS y FROM reach GROUP BY x)"""
+
+VECTORS = f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), {_REACH}
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.x = e.vec_id) AS n_links,
+  least(e.vec_id, coalesce(o.y, e.vec_id)) AS component_id, e.vec_id <= coalesce(o.y, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN least_of o ON o.x = e.vec_id
+"""
+
+NGRAMS = rf"""
+WITH RECURSIVE lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3
+      THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS gram
+  FROM lowered
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)
+), {_REACH}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(o.y, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least_of o ON o.x = d.doc_id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_mix_sources": MIX, "op4_token_counts": TOKEN_COUNTS, "op8_secret_scan": secret_scan()}
+    return {
+        "op1_mix_sources": MIX,
+        "op3_line_dedup": LINES,
+        "op4_token_counts": TOKEN_COUNTS,
+        "op5_near_vectors": VECTORS,
+        "op8_secret_scan": secret_scan(),
+        "op10_ngram_join": NGRAMS,
+    }

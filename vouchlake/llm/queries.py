@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchlake.llm import brown, language_id, line_dedup, mixing, multi_index, near_vectors, ngram_join, pieces, secrets, token_counts
+from vouchlake.llm import (
+    brown,
+    language_id,
+    line_dedup,
+    mixing,
+    multi_index,
+    near_vectors,
+    ngram_join,
+    pieces,
+    secrets,
+    token_counts,
+)
 from vouchlake.llm.common import table
 from vouchlake.session import scratch_dir
 from vouchlake.sinks.store import TableStore
@@ -22,7 +33,8 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_report(table(spark, sf_dir, "documents"))
+    report = line_dedup.dedup_report(table(spark, sf_dir, "documents"))
+    return report.withColumn("removed", F.array_join("removed", ","))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
