@@ -39,7 +39,7 @@ from vouchlake.llm.words import text_chunks, word_hashes
 from vouchlake.session import ship_package
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 BLANK = "▁"
 UNKNOWN_PENALTY = np.float32(10.0)
 _BASE = np.uint64(0x5851F42D4C957F2D)

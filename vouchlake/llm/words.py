@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -78,7 +78,7 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     """Hash of each word: a polynomial in its bytes, from prefix sums, scattered."""
     if len(start) == 0:
         return np.zeros(0, dtype=np.uint64)
-    size = 1 << max(int(len(data)).bit_length(), 21)
+    size = 1 << max(int(len(data)).bit_length(), 20)
     up, down = _powers(size)
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
