@@ -18,6 +18,7 @@ from vouchlake.llm import (
     token_counts,
 )
 from vouchlake.llm.common import table
+from vouchlake.operators.keys import same_key
 from vouchlake.session import scratch_dir
 from vouchlake.sinks.store import TableStore
 
@@ -45,14 +46,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit("load", token_counts.inserts(first))
     rollup.commit("recount", token_counts.revisions(first, second))
     rollup.commit("recount", token_counts.revisions(first, second))  # repeated, adds nothing
-    digest = F.sha2(F.col("text"), 256)
-    kept = docs.where(F.col("text").isNotNull()).groupBy(digest.alias("digest")).agg(F.min("doc_id").alias("kept_id"))
-    repeated = (
-        docs.withColumn("digest", digest)
-        .join(kept, "digest")
-        .where(F.col("doc_id") > F.col("kept_id"))
-    )
-    rollup.commit("repeats", token_counts.deletes(token_counts.counted(repeated, "words-2")))
+    # Counts and digests meet, not texts.
+    counts = token_counts.counted(docs, "words-2", F.col("doc_id"), F.sha2(F.col("text"), 256).alias("digest"))
+    first_of = counts.where(F.col("digest").isNotNull()).groupBy(F.col("digest").alias("kept")).agg(F.min("doc_id").alias("kept_id"))
+    repeated = counts.join(first_of, same_key(F.col("digest"), F.col("kept"))).where(F.col("doc_id") > F.col("kept_id"))
+    rollup.commit("repeats", token_counts.deletes(repeated))
     return rollup.totals()
 
 

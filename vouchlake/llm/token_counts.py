@@ -25,10 +25,10 @@ GROUP = ("source", "lang", "tokenizer")
 TOKENIZERS = {"words-1": WORD, "words-2": r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]"}
 
 
-def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Documents as counts under one tokenizer version."""
+def counted(docs: DataFrame, tokenizer: str, *more: Column) -> DataFrame:
+    """Documents as counts under one tokenizer version, with more columns on request."""
     tokens = F.coalesce(F.regexp_count("text", F.lit(TOKENIZERS[tokenizer])), F.lit(0)).cast("long")
-    return docs.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), tokens.alias("n_tokens"))
+    return docs.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), tokens.alias("n_tokens"), *more)
 
 
 def inserts(counts: DataFrame) -> DataFrame:
