@@ -41,7 +41,7 @@ NUM, DEN = 8, 10
 BUCKETS = 1 << 16  # of the word count; their classes, a byte each, go to all tasks
 COMMON = 14  # classes below the most common word's, from which words are too common to group by
 _MASK = (1 << 56) - 1
-_MIXES = (0, 0x005A17C3D21B9E37)  # orders of the least hashes
+_MIXES = (0, 0x005A17C3D21B9E37, 0x00A5690F3C1D7B42)  # orders of the least hashes
 _WORDS = r"[\x20\x09-\x0D]+"
 _SPACES = " \t\n\x0b\x0c\r"
 
