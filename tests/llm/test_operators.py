@@ -213,6 +213,19 @@ def test_near_vectors_against_all_pairs(spark):
     assert near_vectors.vector_components(table.where("vec_id > 99999")).count() == 0
 
 
+def test_near_vectors_links_tight_families(spark):
+    rng = np.random.default_rng(11)
+    one, across = np.linalg.qr(rng.standard_normal((24, 2)))[0].T
+    rows = []
+    for center in (one, math.cos(0.1846) * one + math.sin(0.1846) * across):  # 0.983 between the two
+        rows += [(len(rows) + k, (center + 0.0005 * rng.standard_normal(24)).tolist(), 0) for k in range(40)]
+    unit = np.array([r[1] for r in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    assert (unit @ unit.T >= 0.98).all()
+    got = near_vectors.vector_components(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {(r.n_links, r.component_id, r.kept == (r.vec_id == 0)) for r in got} == {(79, 0, True)} and len(got) == 80
+
+
 def test_language_held_out(spark, edges, nothing):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1

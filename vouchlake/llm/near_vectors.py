@@ -8,7 +8,9 @@ with each other, as a neighbour of a neighbour is likely a neighbour. A list in
 which all entries reach the threshold is saturated and grows. Rounds end when
 few lists change.
 
-Edges that reach the threshold make groups. Within a group links are counted
+Edges that reach the threshold make groups. As lists are short, further turns
+look for neighbours outside a node's own group, until no two groups are linked.
+Within a group links are counted
 exactly, in tiles of two blocks, so that a list that is still too short loses
 no link and no pair is ever stored; the links found there make the components.
 
@@ -66,8 +68,8 @@ def _shortened(edges: DataFrame, neighbours: int, threshold: float) -> DataFrame
     return ranked.where((F.col("rank") <= neighbours) | (F.col("rank") <= SATURATED) & (F.col("sim") >= threshold)).drop("rank")
 
 
-def _first_graph(nodes: DataFrame, neighbours: int, threshold: float) -> DataFrame:
-    """Neighbours within buckets of like sign pattern."""
+def _first_graph(nodes: DataFrame, neighbours: int, threshold: float, turn: int = 0) -> DataFrame:
+    """Neighbours within buckets of like sign pattern, other ones each turn, outside a node's own group."""
     labels = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     bits = F.least(F.greatest(F.ceil(F.log2(F.col("size") / BUCKET)), F.lit(0)), F.lit(20)).cast("int")
     labels = labels.select(F.col("label").alias("l_label"), bits.alias("bits"))
@@ -78,7 +80,7 @@ def _first_graph(nodes: DataFrame, neighbours: int, threshold: float) -> DataFra
             if not batch.num_rows:
                 continue
             vectors = matrix(batch.column("unit"))
-            planes = np.random.default_rng(SEED).standard_normal((vectors.shape[1], TABLES * most_bits))
+            planes = np.random.default_rng(SEED + turn).standard_normal((vectors.shape[1], TABLES * most_bits))
             signs = (vectors @ planes > 0).reshape(len(vectors), TABLES, most_bits)
             use = np.arange(most_bits) < batch.column("bits").to_numpy()[:, None]
             patterns = ((signs & use[:, None, :]) << np.arange(most_bits)).sum(axis=2)
@@ -86,20 +88,20 @@ def _first_graph(nodes: DataFrame, neighbours: int, threshold: float) -> DataFra
             listed = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, patterns.size + 1, TABLES), pa.int32()), pa.array(patterns.ravel(), pa.int64())
             )
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], listed], names=["node", "label", "unit", "buckets"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], listed], names=["node", "grp", "label", "unit", "buckets"])
 
     bucketed = (
         nodes.join(labels, same_key(F.col("label"), F.col("l_label")))
-        .select("node", "label", "unit", "bits")
-        .mapInArrow(signed, "node long, label string, unit array<double>, buckets array<long>")
+        .select("node", "grp", "label", "unit", "bits")
+        .mapInArrow(signed, "node long, grp long, label string, unit array<double>, buckets array<long>")
     )
-    placed = bucketed.select("node", "label", "unit", F.explode("buckets").alias("bucket"))
+    placed = bucketed.select("node", "grp", "label", "unit", F.explode("buckets").alias("bucket"))
     # A bucket of many nodes is cut at random, for this start only; the rounds look further.
     sizes = placed.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.select(F.col("label").alias("s_label"), F.col("bucket").alias("s_bucket"), F.ceil(F.col("n") / BLOCK).alias("parts"))
     part = F.pmod(F.xxhash64("node", "bucket"), F.col("parts")).cast("int")
     blocks = placed.join(sizes, same_key(F.col("bucket"), F.col("s_bucket")) & (F.col("label") == F.col("s_label")))
-    blocks = blocks.select("node", "label", "unit", "bucket", part.alias("part"))
+    blocks = blocks.select("node", "grp", "label", "unit", "bucket", part.alias("part"))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in whole_runs(batches, ["bucket", "label", "part"]):
@@ -107,14 +109,14 @@ def _first_graph(nodes: DataFrame, neighbours: int, threshold: float) -> DataFra
             if n < 2:
                 continue
             ids, vectors = block.column("node").to_numpy(), matrix(block.column("unit"))
+            group = block.column("grp").to_numpy()
             sims = vectors @ vectors.T
-            np.fill_diagonal(sims, -2)
+            sims[group[:, None] == group[None, :]] = -2
             k = min(neighbours, n - 1)
             at = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids, k)), pa.array(ids[at.ravel()]), pa.array(np.take_along_axis(sims, at, 1).ravel())],
-                names=["a", "b", "sim"],
-            )
+            near = np.take_along_axis(sims, at, 1).ravel()
+            a, b, other = np.repeat(ids, k), ids[at.ravel()], near > -1.5
+            yield pa.RecordBatch.from_arrays([pa.array(a[other]), pa.array(b[other]), pa.array(near[other])], names=["a", "b", "sim"])
 
     keys = ("bucket", "label", "part")
     return _shortened(blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(near, _EDGES), neighbours, threshold)
@@ -125,21 +127,22 @@ def _compared(edges: DataFrame, nodes: DataFrame, neighbours: int) -> DataFrame:
     last = edges.groupBy("a").agg(F.min("sim").alias("least"), F.count(F.lit(1)).alias("n"))
     # A node may take what is nearer than the last on its list, or anything while that is short.
     bound = F.when(F.col("n") < neighbours, F.lit(-2.0)).otherwise(F.col("least"))
-    known = last.join(nodes.select("node", "unit"), same_key(F.col("a"), F.col("node"))).select("node", "unit", bound.alias("bound"))
+    known = last.join(nodes.select("node", "grp", "unit"), same_key(F.col("a"), F.col("node"))).select("node", "grp", "unit", bound.alias("bound"))
     order = Window.partitionBy("b").orderBy(F.desc("sim"), "a")
     back = edges.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SATURATED)
     both = edges.select(F.col("a").alias("at"), F.col("b").alias("m")).unionByName(
         back.select(F.col("b").alias("at"), F.col("a").alias("m"))
     )
-    joined = both.distinct().join(known, same_key(F.col("m"), F.col("node"))).select("at", "node", "unit", "bound")
+    joined = both.distinct().join(known, same_key(F.col("m"), F.col("node"))).select("at", "node", "grp", "unit", "bound")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in whole_runs(batches, ["at"]):
             if run.num_rows < 2:
                 continue
             ids, vectors, bound = run.column("node").to_numpy(), matrix(run.column("unit")), run.column("bound").to_numpy()
+            group = run.column("grp").to_numpy()
             sims = vectors @ vectors.T
-            np.fill_diagonal(sims, -3)
+            sims[group[:, None] == group[None, :]] = -3
             a, b = np.nonzero(sims > bound[:, None])
             if len(a):
                 a, b, near = _best(a, b, sims[a, b], neighbours)
@@ -148,10 +151,12 @@ def _compared(edges: DataFrame, nodes: DataFrame, neighbours: int) -> DataFrame:
     return joined.repartition("at").sortWithinPartitions("at").mapInArrow(compare, _EDGES)
 
 
-def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
-    """``(a, b, sim)``: for every node ``(node, label, unit)`` its nearest found of the same label."""
+def neighbour_graph(
+    nodes: DataFrame, threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS, rounds: int = ROUNDS, turn: int = 0
+) -> DataFrame:
+    """``(a, b, sim)``: for every node ``(node, grp, label, unit)`` its nearest found of the same label in other groups."""
     size = nodes.count()
-    edges = stored(_first_graph(nodes, neighbours, threshold), "neighbours")
+    edges = stored(_first_graph(nodes, neighbours, threshold, turn), "neighbours")
     for _ in range(rounds):
         nearer = stored(_compared(edges, nodes, neighbours), "nearer")
         fresh = nearer.join(edges, ["a", "b"], "left_anti")
@@ -162,6 +167,29 @@ def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD, neighbours:
     return edges
 
 
+def link_groups(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``(node, grp, label, unit, times)``: nodes that links connect have one group.
+
+    A list of partners is short, and a tight family fills it with its own. So
+    turns follow in which nodes of one group do not count as partners: every
+    group then looks for others only, and they are joined until a turn, with
+    buckets of its own, finds no link between two groups.
+    """
+    grouped = nodes.withColumn("grp", F.col("node"))
+    known, turn = None, 0
+    while True:
+        graph = neighbour_graph(grouped, threshold, rounds=0 if turn else ROUNDS, turn=turn)
+        links = graph.where(F.col("sim") >= threshold).select("a", "b")
+        if links.isEmpty():
+            return grouped
+        known = stored(connected_components(links if known is None else known.unionByName(links)), "link-groups")
+        known = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        at = known.select(F.col("a").alias("g_node"), F.col("b").alias("component"))
+        joined = nodes.join(at, same_key(F.col("node"), F.col("g_node")), "left")
+        grouped = stored(joined.select("node", F.coalesce("component", "node").alias("grp"), "label", "unit", "times"), "grouped-nodes")
+        turn += 1
+
+
 def _grouped_links(members: DataFrame, threshold: float) -> DataFrame:
     """``(node, links, least)`` within groups ``(grp, node, unit, times)``, counted in tiles, and the links as a forest."""
     tiles = tiled(members, ["grp"], F.lit(1), BLOCK, by="node")
@@ -221,10 +249,7 @@ def vector_components(rows: DataFrame, threshold: float = THRESHOLD) -> DataFram
     vectors = stored(prepared(rows), "vectors")
     folded = vectors.groupBy("label", "unit").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("times"))
     nodes = stored(folded.select("node", "label", "unit", "times"), "vector-nodes")
-    graph = neighbour_graph(nodes, threshold)
-    groups = connected_components(graph.where(F.col("sim") >= threshold).select("a", "b"))
-    groups = groups.select(F.col("node").alias("g_node"), F.col("component").alias("grp"))
-    members = nodes.join(groups, same_key(F.col("node"), F.col("g_node"))).select("grp", "node", "unit", "times")
+    members = link_groups(nodes, threshold).select("grp", "node", "unit", "times")
     counted = stored(_grouped_links(members, threshold), "vector-links")
     parts = connected_components(counted.select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = counted.groupBy("node").agg(F.sum("links").alias("links"))
