@@ -226,6 +226,33 @@ def test_near_vectors_links_tight_families(spark):
     assert {(r.n_links, r.component_id, r.kept == (r.vec_id == 0)) for r in got} == {(79, 0, True)} and len(got) == 80
 
 
+def test_near_vectors_meet_however_many_signs(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "BUCKET", 1)  # 12 signs, as a label of a million has
+    rng = np.random.default_rng(12)
+    rows = []
+    for _ in range(1300):
+        u = rng.standard_normal((2, 24))
+        one, across = np.linalg.qr(u.T)[0].T
+        rows += [(len(rows) + k, (math.cos(x) * one + math.sin(x) * across).tolist(), 0) for k, x in enumerate((0.0, 0.199))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    nodes = near_vectors.prepared(table).select(F.col("vec_id").alias("node"), F.col("vec_id").alias("grp"), "label", "unit")
+    found = near_vectors.neighbour_graph(nodes, rounds=0).where("sim >= 0.98 and b = a + 1 and a % 2 = 0").count()
+    assert found >= 0.995 * 1300
+
+
+def test_near_vectors_whole_buckets(spark):
+    rng = np.random.default_rng(13)
+    center = rng.standard_normal(24)  # one bucket holds all, at 0.9 and less to each other but for pairs
+    rows = []
+    for _ in range(1500):
+        base = center + 0.5 * rng.standard_normal(24)
+        rows += [(len(rows) + k, (base + 0.01 * rng.standard_normal(24)).tolist(), 0) for k in range(2)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    nodes = near_vectors.prepared(table).select(F.col("vec_id").alias("node"), F.col("vec_id").alias("grp"), "label", "unit")
+    found = near_vectors.neighbour_graph(nodes, rounds=0).where("sim >= 0.98 and b = a + 1 and a % 2 = 0").count()
+    assert found >= 0.995 * 1500
+
+
 def test_language_held_out(spark, edges, nothing):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1

@@ -2,11 +2,13 @@
 
 Equal vectors of a label fold into one that counts for all. A neighbour graph
 starts from buckets: nodes of a label whose projections on a few random
-directions have the same signs meet in blocks, several times over. Then the
+directions have the same signs meet, in tiles of two blocks. The more signs, the
+more often nodes are put into buckets, so that a pair at the threshold misses all
+of them with probability ``MISSED``, however large the label. Then the
 graph is refined: at every node its neighbours, in both directions, are compared
 with each other, as a neighbour of a neighbour is likely a neighbour. A list in
 which all entries reach the threshold is saturated and grows. Rounds end when
-few lists change.
+few edges are fresh.
 
 Edges that reach the threshold make groups. As lists are short, further turns
 look for neighbours outside a node's own group, until no two groups are linked.
@@ -24,6 +26,7 @@ label); a row with null id comes back with no links; an empty table gives no row
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,11 +44,12 @@ from vouchlake.session import ship_package
 THRESHOLD = 0.98
 NEIGHBOURS = 8
 SATURATED = 32  # length of the list of a node whose neighbours all reach the threshold
-TABLES = 4  # times the nodes are put into buckets at first
+MISSED = 0.001  # share of the links no bucket may hold; more signs take more tables
+MOST_BITS = 20
 BUCKET = 256  # nodes of a bucket, about
 BLOCK = 512  # nodes of a block
 ROUNDS = 4
-CHANGED = 0.02  # rounds end when a smaller share of the lists changes
+CHANGED = 0.02  # rounds end when a smaller share of all edges is fresh
 SEED = 20_240_229
 _EDGES = "a long, b long, sim double"
 
@@ -68,26 +72,34 @@ def _shortened(edges: DataFrame, neighbours: int, threshold: float) -> DataFrame
     return ranked.where((F.col("rank") <= neighbours) | (F.col("rank") <= SATURATED) & (F.col("sim") >= threshold)).drop("rank")
 
 
+def _tables(threshold: float) -> np.ndarray:
+    """How often nodes are put into buckets, by the number of signs, for a pair at the threshold to meet."""
+    together = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** np.arange(1, MOST_BITS + 1)
+    return np.concatenate([[1], np.ceil(math.log(MISSED) / np.log1p(-np.minimum(together, 1 - 1e-9)))]).astype(int)
+
+
 def _first_graph(nodes: DataFrame, neighbours: int, threshold: float, turn: int = 0) -> DataFrame:
     """Neighbours within buckets of like sign pattern, other ones each turn, outside a node's own group."""
     labels = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    bits = F.least(F.greatest(F.ceil(F.log2(F.col("size") / BUCKET)), F.lit(0)), F.lit(20)).cast("int")
+    bits = F.least(F.greatest(F.ceil(F.log2(F.col("size") / BUCKET)), F.lit(0)), F.lit(MOST_BITS)).cast("int")
     labels = labels.select(F.col("label").alias("l_label"), bits.alias("bits"))
-    most_bits = 20
+    most_bits, tables = MOST_BITS, _tables(threshold)
+    most = int(tables.max())
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             vectors = matrix(batch.column("unit"))
-            planes = np.random.default_rng(SEED + turn).standard_normal((vectors.shape[1], TABLES * most_bits))
-            signs = (vectors @ planes > 0).reshape(len(vectors), TABLES, most_bits)
-            use = np.arange(most_bits) < batch.column("bits").to_numpy()[:, None]
-            patterns = ((signs & use[:, None, :]) << np.arange(most_bits)).sum(axis=2)
-            patterns += np.arange(TABLES) << most_bits
-            listed = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, patterns.size + 1, TABLES), pa.int32()), pa.array(patterns.ravel(), pa.int64())
-            )
+            bits = batch.column("bits").to_numpy()
+            planes = np.random.default_rng([SEED, turn]).standard_normal((most, most_bits, vectors.shape[1]))
+            patterns = np.empty((len(vectors), most), dtype=np.int64)
+            use = np.arange(most_bits) < bits[:, None]
+            for k in range(int(tables[bits].max())):
+                patterns[:, k] = (((vectors @ planes[k].T > 0) & use) << np.arange(most_bits)).sum(axis=1) + (k << most_bits)
+            ends = np.concatenate([[0], np.cumsum(tables[bits])])
+            patterns = patterns[np.arange(most) < tables[bits][:, None]]
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(patterns))
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], listed], names=["node", "grp", "label", "unit", "buckets"])
 
     bucketed = (
@@ -96,15 +108,11 @@ def _first_graph(nodes: DataFrame, neighbours: int, threshold: float, turn: int
         .mapInArrow(signed, "node long, grp long, label string, unit array<double>, buckets array<long>")
     )
     placed = bucketed.select("node", "grp", "label", "unit", F.explode("buckets").alias("bucket"))
-    # A bucket of many nodes is cut at random, for this start only; the rounds look further.
-    sizes = placed.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.select(F.col("label").alias("s_label"), F.col("bucket").alias("s_bucket"), F.ceil(F.col("n") / BLOCK).alias("parts"))
-    part = F.pmod(F.xxhash64("node", "bucket"), F.col("parts")).cast("int")
-    blocks = placed.join(sizes, same_key(F.col("bucket"), F.col("s_bucket")) & (F.col("label") == F.col("s_label")))
-    blocks = blocks.select("node", "grp", "label", "unit", "bucket", part.alias("part"))
+    # A bucket of any size is compared whole.
+    blocks = tiled(placed, ["bucket", "label"], F.lit(1), BLOCK, by="node")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in whole_runs(batches, ["bucket", "label", "part"]):
+        for block in whole_runs(batches, ["bucket", "label", "low", "high"]):
             n = block.num_rows
             if n < 2:
                 continue
@@ -118,7 +126,7 @@ def _first_graph(nodes: DataFrame, neighbours: int, threshold: float, turn: int
             a, b, other = np.repeat(ids, k), ids[at.ravel()], near > -1.5
             yield pa.RecordBatch.from_arrays([pa.array(a[other]), pa.array(b[other]), pa.array(near[other])], names=["a", "b", "sim"])
 
-    keys = ("bucket", "label", "part")
+    keys = ("bucket", "label", "low", "high")
     return _shortened(blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(near, _EDGES), neighbours, threshold)
 
 
@@ -155,14 +163,12 @@ def neighbour_graph(
     nodes: DataFrame, threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS, rounds: int = ROUNDS, turn: int = 0
 ) -> DataFrame:
     """``(a, b, sim)``: for every node ``(node, grp, label, unit)`` its nearest found of the same label in other groups."""
-    size = nodes.count()
     edges = stored(_first_graph(nodes, neighbours, threshold, turn), "neighbours")
     for _ in range(rounds):
         nearer = stored(_compared(edges, nodes, neighbours), "nearer")
-        fresh = nearer.join(edges, ["a", "b"], "left_anti")
-        changed = fresh.where(F.col("sim") >= threshold).count()
-        edges = stored(_shortened(edges.unionByName(nearer), neighbours, threshold), "neighbours")
-        if changed <= CHANGED * size:
+        before, edges = edges, stored(_shortened(edges.unionByName(nearer), neighbours, threshold), "neighbours")
+        # Fresh edges of any nearness count: lists that still change lead on to links.
+        if edges.join(before, ["a", "b"], "left_anti").count() <= CHANGED * edges.count():
             break
     return edges
 
