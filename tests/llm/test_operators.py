@@ -253,6 +253,16 @@ def test_near_vectors_whole_buckets(spark):
     assert found >= 0.995 * 1500
 
 
+def test_near_vectors_audit_goes_on(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "BUCKET", 1e-6)
+    monkeypatch.setattr(near_vectors, "ROUNDS", 0)
+    monkeypatch.setattr(near_vectors, "MISSED", 0.999)  # one table of 20 signs: the pair does not meet
+    one, across = np.linalg.qr(np.random.default_rng(0).standard_normal((24, 2)))[0].T
+    rows = [(k, (math.cos(x) * one + math.sin(x) * across).tolist(), 0) for k, x in enumerate((0.0, 0.19))]
+    got = near_vectors.vector_components(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(0, 1, 0), (1, 1, 0)]
+
+
 def test_language_held_out(spark, edges, nothing):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1

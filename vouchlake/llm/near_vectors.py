@@ -16,7 +16,9 @@ Within a group links are counted
 exactly, in tiles of two blocks, so that a list that is still too short loses
 no link and no pair is ever stored; the links found there make the components.
 
-``audit`` measures what share of the links of a query set the rounds found.
+After the last turn a query set is compared with all nodes; while a link of it
+is missed, turns go on. ``audit`` measures the share of the links of any query set
+that a result counts.
 
 Defined cases: vectors null, zero, or with null or non-finite components, those
 of a dimension other than the most common, and rows with null label link with
@@ -26,6 +28,7 @@ label); a row with null id comes back with no links; an empty table gives no row
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 
@@ -50,7 +53,9 @@ BUCKET = 256  # nodes of a bucket, about
 BLOCK = 512  # nodes of a block
 ROUNDS = 4
 CHANGED = 0.02  # rounds end when a smaller share of all edges is fresh
+AUDITED = 1000  # nodes, about, whose links are looked for among all nodes after each turn
 SEED = 20_240_229
+LOG = logging.getLogger(__name__)
 _EDGES = "a long, b long, sim double"
 
 
@@ -173,21 +178,67 @@ def neighbour_graph(
     return edges
 
 
+def _missed(grouped: DataFrame, threshold: float, turn: int) -> DataFrame:
+    """Links of a query set that lead out of their group, one for each other group and batch, and the counts of all.
+
+    The query set are the nodes with the lowest hashes of the turn, about
+    ``AUDITED`` of them, or all if there are not more. They are compared with
+    every node. Rows are ``(a, b, there, found)``: a link ``a, b``, or numbers of
+    links that there are and of those inside a group.
+    """
+    share = min(1.0, AUDITED / max(grouped.count(), 1))
+    asked = grouped.where(F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 30)) < F.lit(math.ceil(share * (1 << 30))))
+    asked = asked.select("node", "grp", "label", "unit").toArrow()  # about AUDITED rows
+    ids, groups, labels = (asked[c].to_numpy() for c in ("node", "grp", "label"))
+    queries = matrix(asked["unit"])
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows if len(ids) else 0, 4 * BLOCK):
+                part = batch.slice(first, 4 * BLOCK)
+                node, grp, label = (part.column(c).to_numpy(zero_copy_only=False) for c in ("node", "grp", "label"))
+                q, at = np.nonzero(queries @ matrix(part.column("unit")).T >= threshold)
+                linked = (labels[q] == label[at]) & (ids[q] != node[at])
+                q, at = q[linked], at[linked]
+                out = groups[q] != grp[at]
+                _, one = np.unique(np.stack([q[out], grp[at][out]]), axis=1, return_index=True)
+                a, b, n = ids[q[out][one]], node[at[out][one]], len(one)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([*a.tolist(), None], pa.int64()),
+                        pa.array([*b.tolist(), None], pa.int64()),
+                        pa.array([None] * n + [len(q)], pa.int64()),
+                        pa.array([None] * n + [int((~out).sum())], pa.int64()),
+                    ],
+                    names=["a", "b", "there", "found"],
+                )
+
+    return stored(grouped.select("node", "grp", "label", "unit").mapInArrow(links, "a long, b long, there long, found long"), "audit")
+
+
 def link_groups(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(node, grp, label, unit, times)``: nodes that links connect have one group.
 
     A list of partners is short, and a tight family fills it with its own. So
     turns follow in which nodes of one group do not count as partners: every
     group then looks for others only, and they are joined until a turn, with
-    buckets of its own, finds no link between two groups.
+    buckets of its own, finds no link between two groups and the audit of its
+    query set misses none. What the audit finds is kept, and the next turn
+    refines its graph and asks for other nodes.
     """
     grouped = nodes.withColumn("grp", F.col("node"))
-    known, turn = None, 0
+    known, turn, refine = None, 0, True
     while True:
-        graph = neighbour_graph(grouped, threshold, rounds=0 if turn else ROUNDS, turn=turn)
+        graph = neighbour_graph(grouped, threshold, rounds=ROUNDS if refine else 0, turn=turn)
         links = graph.where(F.col("sim") >= threshold).select("a", "b")
+        refine = False
         if links.isEmpty():
-            return grouped
+            audited = _missed(grouped, threshold, turn)
+            n = audited.agg(F.sum("there").alias("there"), F.sum("found").alias("found")).first()
+            LOG.info("turn %d: %s of %s links of the query set are found", turn, n.found, n.there)
+            links, refine = audited.where(F.col("a").isNotNull()).select("a", "b"), True
+            if links.isEmpty():
+                return grouped
         known = stored(connected_components(links if known is None else known.unionByName(links)), "link-groups")
         known = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
         at = known.select(F.col("a").alias("g_node"), F.col("b").alias("component"))
