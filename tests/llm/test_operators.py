@@ -121,6 +121,25 @@ def test_search_finds_the_nearest(spark):
     assert multi_index.search(table.where("vec_id > 9999"), few).count() == 0
 
 
+def test_search_recall_on_given_embeddings(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    found = multi_index.search(table, table.where(F.col("vec_id") % 50 == 0)).collect()
+    rows = table.collect()
+    unit = np.array([r.embedding for r in rows], dtype=float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    ids, mine = np.array([r.vec_id for r in rows]), collections.defaultdict(set)
+    for r in found:
+        mine[r.query_id].add(r.vec_id)
+    hits = total = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        near = unit @ unit[q]
+        near[q] = -2
+        hits += len(mine[ids[q]] & set(ids[np.argsort(-near)[:5]].tolist()))
+        total += 5
+    print(f"recall {hits} of {total}")
+    assert hits >= 0.9 * total > 0
+
+
 def test_search_ties_go_to_the_smaller_id(spark):
     rows = spark.createDataFrame([(k, [1.0, 2.0]) for k in range(9)], "vec_id long, embedding array<double>")
     found = multi_index.search(rows, rows.where("vec_id = 4")).orderBy("rank").collect()
