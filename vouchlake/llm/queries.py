@@ -9,6 +9,7 @@ from vouchlake.llm import (
     brown,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     multi_index,
     near_vectors,
@@ -99,6 +100,23 @@ def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score(docs, model, counts)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof; where the checksum of its id is even, checked with a text that lost its line breaks."""
+    docs = table(spark, sf_dir, "documents")
+    bare = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, merkle.leaf_digest(bare))
+    proofs = merkle.document_proofs(merkle.document_leaves(docs, tampered.alias("tampered")))
+    found = proofs.select(
+        "doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("tampered", "digest"), F.col("path")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_nearest": op2_nearest,
@@ -110,4 +128,5 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_pieces": op9_pieces,
     "op10_ngram_join": op10_ngram_join,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
