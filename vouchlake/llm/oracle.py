@@ -226,6 +226,39 @@ FROM leaves l JOIN at_root a ON l.tree = a.tree AND l.rank = a.leaf_rank
   JOIN below s ON s.tree = l.tree AND s.n = 1 JOIN above t ON t.n = 1
 """
 
+TRIE = rf"""
+WITH RECURSIVE {_CRC_TABLE}, turns AS (
+  SELECT conv_id, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+    {_WORDS} AS words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS rank
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, {_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns), crc_table
+), placed AS (
+  SELECT i.conv_id, 0 AS part, t.rank, digest, words FROM ids i JOIN turns t ON t.conv_id = i.conv_id - i.conv_id % 20 AND t.rank < h
+  UNION ALL
+  SELECT i.conv_id, 1, t.rank, digest, words FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.rank >= h
+), members AS (
+  SELECT conv_id, row_number() OVER so_far AS depth, list(digest) OVER so_far AS prefix, words,
+    count(*) OVER (PARTITION BY conv_id) AS size
+  FROM placed WINDOW so_far AS (PARTITION BY conv_id ORDER BY part, rank ROWS UNBOUNDED PRECEDING)
+  UNION ALL
+  SELECT conv_id, 0, CAST([] AS VARCHAR[]), 0, (SELECT count(*) FROM placed p WHERE p.conv_id = i.conv_id) FROM ids i
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256,
+    bool_and(size = depth) AS leaf
+  FROM members GROUP BY prefix, depth
+), below AS (
+  SELECT a.prefix, count(*) FILTER (n.leaf) AS n_leaves, CAST(sum((n.n_convs - 1) * n.words) AS BIGINT) AS saved_tokens
+  FROM nodes n JOIN members a ON a.conv_id = n.conv_id AND a.depth <= n.depth GROUP BY a.prefix
+), children AS (SELECT prefix[:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+  n.ends_sha256
+FROM nodes n JOIN below b USING (prefix) LEFT JOIN children c USING (prefix)
+  LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.prefix[:n.depth - 1]
+"""
+
 
 def statements() -> dict[str, str]:
     return {
@@ -235,5 +268,6 @@ def statements() -> dict[str, str]:
         "op5_near_vectors": VECTORS,
         "op8_secret_scan": secret_scan(),
         "op10_ngram_join": NGRAMS,
+        "op11_prefix_trie": TRIE,
         "op13_merkle_manifest": MERKLE,
     }

@@ -15,6 +15,7 @@ from vouchlake.llm import (
     near_vectors,
     ngram_join,
     pieces,
+    prefix_trie,
     secrets,
     token_counts,
 )
@@ -100,6 +101,10 @@ def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score(docs, model, counts)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_prefixes(table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof; where the checksum of its id is even, checked with a text that lost its line breaks."""
     docs = table(spark, sf_dir, "documents")
@@ -128,5 +133,6 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_pieces": op9_pieces,
     "op10_ngram_join": op10_ngram_join,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
