@@ -18,6 +18,7 @@ from vouchlake.llm import (
     prefix_trie,
     secrets,
     token_counts,
+    toxicity,
 )
 from vouchlake.llm.common import table
 from vouchlake.operators.keys import same_key
@@ -105,6 +106,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.shared_prefixes(table(spark, sf_dir, "conversations"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", (_remainder(5) == 0).alias("held_out"), "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(_remainder(5) != 0)
+    found = toxicity.score_documents(docs, toxicity.fit(docs.where(~F.col("held_out")), labels))
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "passages")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof; where the checksum of its id is even, checked with a text that lost its line breaks."""
     docs = table(spark, sf_dir, "documents")
@@ -134,5 +142,6 @@ QUERIES = {
     "op9_pieces": op9_pieces,
     "op10_ngram_join": op10_ngram_join,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_toxicity": op12_toxicity,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
