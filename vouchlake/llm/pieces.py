@@ -276,11 +276,27 @@ def _gather(values: np.ndarray, starts: np.ndarray, picked: np.ndarray) -> tuple
     return values[np.repeat(starts[picked] - before, counts) + np.arange(int(counts.sum()))], counts
 
 
+def _distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One unit of each content, and which of these every unit equals; hashes propose, bytes decide."""
+    _, at, same = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
+    size = end - start
+    differs = size != size[at[same]]
+    alike = np.flatnonzero(~differs)
+    if len(alike):
+        begin = np.cumsum(size[alike]) - size[alike]
+        inside = np.arange(int(size[alike].sum())) - np.repeat(begin, size[alike])
+        other = data[np.repeat(start[alike], size[alike]) + inside] != data[np.repeat(start[at[same[alike]]], size[alike]) + inside]
+        differs[alike] = np.add.reduceat(other, begin, dtype=np.int64) > 0 if len(other) else False
+    alone = np.flatnonzero(differs)
+    same[alone] = len(at) + np.arange(len(alone))
+    return np.concatenate([at, alone]), same
+
+
 def encode_texts(texts: pa.Array, m: PieceModel) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, last row + 1, ids, offsets)`` for chunks of texts that have their blank in front."""
     for row, last, data, offsets in text_chunks(texts, CHUNK_BYTES):
         start, end, owner = unit_spans(data, offsets, m.breaks)
-        _, at, same = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
+        at, same = _distinct(data, start, end)
         ids, starts = encode_units(data, start[at], end[at], m)
         ids, counts = _gather(ids, starts, same)
         per_row = np.bincount(owner, weights=counts, minlength=last - row).astype(np.int64)

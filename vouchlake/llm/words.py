@@ -8,7 +8,6 @@ Words and n-grams are 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,6 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = 0x9E3779B97F4A7C15 | 1
 _MULTIPLIERS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 
 
@@ -64,26 +62,20 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, end, np.searchsorted(offsets[1:], start, side="right")
 
 
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    def powers(base: int) -> np.ndarray:
-        out = np.full(n, base, dtype=np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
-
-    return powers(_BASE), powers(pow(_BASE, -1, 1 << 64))
-
-
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of each word: a polynomial in its bytes, from prefix sums, scattered."""
+    """Hash of each word, words in order: the sum of a scattered value for each byte and its place in the word.
+
+    Place and byte are scattered before they are added, so no pattern of the
+    bytes makes sums meet, as it would with powers of a base.
+    """
     if len(start) == 0:
         return np.zeros(0, dtype=np.uint64)
-    size = 1 << max(int(len(data)).bit_length(), 20)
-    up, down = _powers(size)
-    sums = np.empty(len(data) + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mix64((sums[end] - sums[start]) * down[start])
+    first = np.zeros(len(data), dtype=np.int64)
+    first[start] = start
+    place = np.arange(len(data)) - np.maximum.accumulate(first)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(mix64((place.astype(np.uint64) * np.uint64(256) + data + np.uint64(1)) * _MULTIPLIERS[0]), out=sums[1:])
+    return mix64(sums[end] - sums[start] + (end - start).astype(np.uint64) * _MULTIPLIERS[1])
 
 
 def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
