@@ -16,8 +16,8 @@ without structure make the share large: at one half, recall of the 5 nearest
 random vectors in 64 dimensions is about 0.94.
 
 Defined cases: vectors null, zero, or with null or non-finite components take
-no part, nor do those of a dimension other than the most common, nor rows with
-null id; rows that repeat id and vector are one; queries that share an id are
+no part, nor do rows with null id; vectors of different dimensions are not
+compared; rows that repeat id and vector are one; queries that share an id are
 one (the least vector); equal scores go to the smaller id; fewer candidates
 than asked for give all; an empty table gives no rows.
 """
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vouchlake.llm.common import stored
-from vouchlake.llm.vectors import comparable, cosines, matrix, units
+from vouchlake.llm.vectors import comparable, cosines, dimensions, matrix, units
 from vouchlake.session import ship_package
 
 SAMPLE = 8192
@@ -95,18 +95,26 @@ def _fit_half(sample: np.ndarray, centroids: int, rounds: int) -> np.ndarray:
 def search(rows: DataFrame, queries: DataFrame, k: int = 5, share: float = SHARE, centroids: int = CENTROIDS) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest rows found for each query, its own id left out.
 
-    Both tables hold ``(vec_id, embedding)``.
+    Both tables hold ``(vec_id, embedding)``. Each dimension that is asked for
+    has an index of its own.
     """
+    found = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for dim in dimensions(queries):
+        found = found.unionByName(_search(rows, queries, dim, k, share, centroids))
+    return found
+
+
+def _search(rows: DataFrame, queries: DataFrame, dim: int, k: int, share: float, centroids: int) -> DataFrame:
     spark = rows.sparkSession
     ship_package(spark)
     named = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(F.col("vec_id").isNotNull())
-    rows = comparable(named)
+    rows = comparable(named, dim)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not sample.num_rows:
         return empty
     learned = units(matrix(sample["embedding"]))
-    dim, cut = learned.shape[1], learned.shape[1] // 2
+    cut = dim // 2
     index = MultiIndex(tuple(_fit_half(part, centroids, ROUNDS) for part in (learned[:, :cut], learned[:, cut:])), np.zeros(0))
 
     def assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +133,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5, share: float = SHARE
         held[row["first"], row["second"]] = row["count"]
     index = MultiIndex(index.halves, held)
     asked = queries.select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").alias("query"))
-    asked = comparable(asked.where(F.col("query_id").isNotNull()), "query").where(F.size("query") == dim)
+    asked = comparable(asked.where(F.col("query_id").isNotNull()), dim, "query")
     asked = stored(asked.groupBy("query_id").agg(F.min("query").alias("query")), "queries")
     query_blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     blocks = np.maximum(1, -(-held.sum(axis=1) // BLOCK_VECTORS)).tolist()

@@ -20,9 +20,9 @@ After the last turn a query set is compared with all nodes; while a link of it
 is missed, turns go on. ``audit`` measures the share of the links of any query set
 that a result counts.
 
-Defined cases: vectors null, zero, or with null or non-finite components, those
-of a dimension other than the most common, and rows with null label link with
-nothing; rows that repeat a ``vec_id`` are one (the least usable vector and
+Defined cases: vectors null, zero, or with null or non-finite components and
+rows with null label link with nothing; vectors of different dimensions do not
+link; rows that repeat a ``vec_id`` are one (the least usable vector and
 label); a row with null id comes back with no links; an empty table gives no rows.
 """
 
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from vouchlake.llm.common import stored
 from vouchlake.llm.components import connected_components
 from vouchlake.llm.tiles import tiled, whole_runs
-from vouchlake.llm.vectors import comparable, matrix, units
+from vouchlake.llm.vectors import comparable, dimensions, matrix, units, usable
 from vouchlake.operators.keys import same_key
 from vouchlake.session import ship_package
 
@@ -284,11 +284,16 @@ def _forest(linked: np.ndarray) -> np.ndarray:
     return first
 
 
-def prepared(rows: DataFrame) -> DataFrame:
-    """``(node, label, unit, times, members)``: distinct vectors of a label under their least id."""
+def prepared(rows: DataFrame, dim: int | None = None) -> DataFrame:
+    """``(vec_id, label, unit)``: the vectors of one dimension that can be compared, one for each id.
+
+    Without ``dim`` all vectors must have one.
+    """
     named = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), "embedding")
-    usable = comparable(named.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull()))
-    single = usable.groupBy("vec_id").agg(F.min(F.struct("embedding", "label")).alias("r")).select("vec_id", "r.*")
+    known = named.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("embedding")))
+    single = known.groupBy("vec_id").agg(F.min(F.struct("embedding", "label")).alias("r")).select("vec_id", "r.*")
+    if dim is not None:
+        single = comparable(single, dim)
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,7 +308,22 @@ def prepared(rows: DataFrame) -> DataFrame:
 def vector_components(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each vector of ``(vec_id, label, embedding)``."""
     ship_package(rows.sparkSession)
-    vectors = stored(prepared(rows), "vectors")
+    each = rows.sparkSession.createDataFrame([], "e_id long, n_links long, component_id long")
+    for dim in dimensions(rows):
+        each = each.unionByName(_linked(stored(prepared(rows, dim), "vectors"), threshold))
+    ids = rows.select(F.col("vec_id").cast("long").alias("vec_id"))
+    ids = ids.where(F.col("vec_id").isNotNull()).distinct().unionByName(ids.where(F.col("vec_id").isNull()))
+    component: Column = F.coalesce("component_id", "vec_id")
+    return ids.join(each, F.col("vec_id") == F.col("e_id"), "left").select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        component.alias("component_id"),
+        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
+    )
+
+
+def _linked(vectors: DataFrame, threshold: float) -> DataFrame:
+    """``(e_id, n_links, component_id)`` of prepared vectors of one dimension."""
     folded = vectors.groupBy("label", "unit").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("times"))
     nodes = stored(folded.select("node", "label", "unit", "times"), "vector-nodes")
     members = link_groups(nodes, threshold).select("grp", "node", "unit", "times")
@@ -321,16 +341,7 @@ def vector_components(rows: DataFrame, threshold: float = THRESHOLD) -> DataFram
         )
     )
     same = same_key(F.col("unit"), F.col("f_unit")) & (F.col("label") == F.col("f_label"))
-    each = vectors.join(found, same).select(F.col("vec_id").alias("e_id"), "n_links", "component_id")
-    ids = rows.select(F.col("vec_id").cast("long").alias("vec_id"))
-    ids = ids.where(F.col("vec_id").isNotNull()).distinct().unionByName(ids.where(F.col("vec_id").isNull()))
-    component: Column = F.coalesce("component_id", "vec_id")
-    return ids.join(each, F.col("vec_id") == F.col("e_id"), "left").select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
-    )
+    return vectors.join(found, same).select(F.col("vec_id").alias("e_id"), "n_links", "component_id")
 
 
 def audit(rows: DataFrame, found: DataFrame, queries: Column, threshold: float = THRESHOLD) -> tuple[int, int]:
@@ -339,7 +350,11 @@ def audit(rows: DataFrame, found: DataFrame, queries: Column, threshold: float =
     Both sides meet in blocks; the query set is stated by the caller.
     """
     ship_package(rows.sparkSession)
-    vectors = stored(prepared(rows), "audit-vectors")
+    counts = [_audited(stored(prepared(rows, dim), "audit-vectors"), found, queries, threshold) for dim in dimensions(rows)]
+    return sum(hit for hit, _ in counts), sum(n for _, n in counts)
+
+
+def _audited(vectors: DataFrame, found: DataFrame, queries: Column, threshold: float) -> tuple[int, int]:
     asked = vectors.where(queries)
     sides = []
     for side, part in (("q", asked), ("r", vectors)):

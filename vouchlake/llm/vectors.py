@@ -14,12 +14,15 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def comparable(rows: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Rows with usable vectors of the most common dimension (the smaller, if two are as common)."""
-    rows = rows.where(usable(F.col(vector)))
-    sizes = rows.groupBy(F.size(vector).alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    most = sizes.orderBy(F.desc("n"), "dim").first()
-    return rows.where(F.size(vector) == (most.dim if most else 0))
+def dimensions(rows: DataFrame, vector: str = "embedding") -> list[int]:
+    """The numbers of components there are; vectors of different ones are not compared."""
+    sizes = rows.where(usable(F.col(vector))).select(F.size(vector).alias("dim")).distinct()
+    return sorted(row.dim for row in sizes.collect())
+
+
+def comparable(rows: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
+    """Rows with usable vectors of one dimension."""
+    return rows.where(usable(F.col(vector)) & (F.size(vector) == dim))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
