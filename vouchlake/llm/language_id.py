@@ -9,8 +9,9 @@ a margin the text is rejected. Texts and samples are lower-cased, and what is
 no letter becomes a blank.
 
 The classifier is fitted on a bounded sample: ``SAMPLE_DOCS`` labelled texts of
-a language, those with the least hash, ``SAMPLE_CHARS`` code points of each,
-``DICT_BYTES`` of dictionary. Predictions use whole texts.
+a language with letters in their first ``SAMPLE_CHARS`` code points, which is
+what is taken of them; those with the least hash of their id, one text for an
+id (the least); ``DICT_BYTES`` of dictionary. Predictions use whole texts.
 
 Defined cases: a text that is null or has no letter is ``und``, with score 0,
 and rejected; with equal sizes the lesser language by code point wins and the
@@ -46,18 +47,19 @@ UNKNOWN = "und"
 
 def fit(docs: DataFrame) -> dict[str, bytes]:
     """A dictionary for every language of ``(doc_id, text, lang)``."""
-    named = docs.where(F.col("lang").isNotNull())
+    named = docs.where(F.col("lang").isNotNull() & F.substring("text", 1, SAMPLE_CHARS).rlike(r"\p{L}"))
     key = F.xxhash64("doc_id")
+    # Ids, not rows: copies of one id take one place. Few of a language are kept in each task.
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))
-    # The ranking reads no text, and keeps few rows of a language in each task.
-    ranked = named.select("lang", "doc_id", key.alias("key")).withColumn("turn", turn).where(F.col("turn") <= SAMPLE_DOCS)
+    ranked = named.select("lang", "doc_id", key.alias("key")).distinct().withColumn("turn", turn).where(F.col("turn") <= SAMPLE_DOCS)
     chosen = stored(ranked.select(F.col("doc_id").alias("s_id"), F.col("lang").alias("s_lang")).distinct(), "language-sample")
     if chosen.count() <= BROADCAST_SAMPLES:
         chosen = F.broadcast(chosen)
     rows = (
         named.join(chosen, (F.col("doc_id") == F.col("s_id")) & (F.col("lang") == F.col("s_lang")))
         .select("lang", "doc_id", letters(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
-        .where(F.col("text") != "")
+        .groupBy("lang", "doc_id")
+        .agg(F.min("text").alias("text"))
         .orderBy("lang", F.xxhash64("doc_id"), "doc_id", "text")
     )
     samples: dict[str, list[str]] = {}
