@@ -8,21 +8,38 @@ current version, moved there in one rename, and a batch that is already there
 is not written again: repeating a run after a lost driver adds nothing twice.
 Tokens of versions that are deleted stay behind as empty files in ``_tokens``.
 
+A version made by ``merge``, ``change`` or ``insert`` holds new files only. Its
+``manifest`` lists all files of the table, most of them in the folders of
+earlier versions, with their rows and the least and greatest key; the files a
+change does not touch are listed again and not written. Beside the new rows
+stand the images of the rows that changed: the change feed of that version.
+The driver sees the list of files, as it does whenever Spark reads a table,
+and never keys or rows.
+
 One writer per table at a time is assumed; readers need no coordination.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vouchlake import schemas
 
 BATCH = "batch"
 MONTH = "month_of"
+FILE = "__file"
+ROWS_PER_FILE = 1_000_000
+IMAGES = ("insert", "before", "after", "delete")
 _VERSION = re.compile(r"^v(\d{8})(?:-(.*))?$")
+_MANIFEST, _ABOUT, _FILES = "manifest", "about.json", "files"
+_GOLDEN, _LOG = "tag=golden", "tag=log"
+_ENTRIES = "path string, rows long, low string, high string"
 
 
 def _safe(name: str) -> str:
@@ -84,26 +101,28 @@ class TableStore:
     def _mark(self, path: str) -> None:
         self._fs.create(self._path(path), True).close()
 
-    def location(self, table: str) -> str:
-        versions = self._versions(table)
-        if not versions:
-            raise FileNotFoundError(f"no complete version of table {table}")
-        return versions[-1][2]
+    def location(self, table: str, version: int | None = None) -> str:
+        found = [folder for number, _, folder in self._versions(table) if version in (None, number)]
+        if not found:
+            raise FileNotFoundError(f"no complete version of table {table}" if version is None else f"no version {version} of table {table}")
+        return found[-1]
 
-    def read(self, table: str) -> DataFrame:
-        """The current rows; a known table never written yet reads as empty."""
+    def read(self, table: str, version: int | None = None) -> DataFrame:
+        """The current rows, or those of an earlier version; a known table never written yet reads as empty."""
         if table in schemas.TABLES and not self.exists(table):
             return schemas.empty(self.spark, table)
         reader = self.spark.read
         if table in schemas.KNOWN:
             # Saves the job that would look the types up in a file.
             reader = reader.schema(schemas.KNOWN[table])
-        df = reader.parquet(self.location(table))
-        return df.drop(BATCH, MONTH)
+        folder = self.location(table, version)
+        if not self._exists(f"{folder}/{_MANIFEST}"):
+            return reader.parquet(self._golden(folder)).drop(BATCH, MONTH)
+        return self._rows_of(table, [row["path"] for row in self._manifest(folder).collect()])
 
     def read_months(self, table: str, first: str, last: str) -> DataFrame:
         """The rows of the months from ``first`` to ``last`` (``yyyy-MM``); other folders are not read."""
-        df = self.spark.read.parquet(self.location(table))
+        df = self.spark.read.schema(StructType(list(self._type(table).fields)).add(MONTH, "string")).parquet(self._golden(self.location(table)))
         return df.where(F.col(MONTH).cast("string").between(first, last)).drop(BATCH, MONTH)
 
     # -- writing ---------------------------------------------------------
@@ -135,10 +154,37 @@ class TableStore:
         writer.parquet(folder)
         return self.read(table)
 
+    def _golden(self, folder: str) -> str:
+        """Where the rows of a version are: beside log rows in one written by ``replace_gated``."""
+        return f"{folder}/{_GOLDEN}" if self._exists(f"{folder}/{_GOLDEN}") or self._exists(f"{folder}/{_LOG}") else folder
+
+    def replace_gated(self, table: str, rows: DataFrame, month_of: str | None = None) -> DataFrame:
+        """Full refresh from rows that carry a ``tag``: golden ones are the table, log ones its ``rejected``.
+
+        Both kinds are written by one job.
+        """
+        folder, by = self._next_folder(table, None), ["tag"]
+        if month_of:
+            rows, by = rows.withColumn(MONTH, F.date_format(month_of, "yyyy-MM")), ["tag", MONTH]
+        rows.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(folder)
+        if not self._exists(f"{folder}/{_GOLDEN}"):
+            self._fs.mkdirs(self._path(f"{folder}/{_GOLDEN}"))
+        return self.read(table)
+
+    def rejected(self, table: str) -> DataFrame:
+        """The log rows of the current version."""
+        kind = schemas.CURATED["data_error_logs"]
+        folder = f"{self.location(table)}/{_LOG}"
+        if not self._exists(folder):
+            return self.spark.createDataFrame([], kind)
+        return self.spark.read.schema(kind).parquet(folder).select(kind.fieldNames())
+
     def append_once(self, table: str, df: DataFrame, batch: str) -> bool:
         """Add rows under a batch name; False when that batch is there already."""
         if self.exists(table):
             folder = self.location(table)
+            if self._exists(f"{folder}/{_MANIFEST}"):
+                raise ValueError(f"{table} is kept by files; add rows with insert")
         else:
             folder = self._next_folder(table, None)
         final = f"{folder}/{BATCH}=b-{_safe(batch)}"
@@ -159,6 +205,8 @@ class TableStore:
         """
         if not self.exists(table):
             return self.read(table)
+        if self._exists(f"{self.location(table)}/{_MANIFEST}"):
+            return self.replace(table, change(self.read(table)))
         rows = self.spark.read.parquet(self.location(table))
         batched = BATCH in rows.columns
         return self.replace(table, change(rows), partition_by=BATCH if batched else None)
@@ -176,14 +224,222 @@ class TableStore:
             df = df.select([F.col(f"`{t.name}`").cast(t.dataType).alias(t.name) for t in types])
         return self.replace(table, df)
 
+    # -- changes by file -------------------------------------------------
+
+    def _about(self, folder: str) -> dict:
+        """What a version made by files says about itself; empty for one written whole."""
+        path = f"{folder}/{_ABOUT}"
+        if not self._exists(path):
+            return {}
+        stream = self._fs.open(self._path(path))
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _manifest(self, folder: str) -> DataFrame:
+        return self.spark.read.schema(_ENTRIES).parquet(f"{folder}/{_MANIFEST}")
+
+    def _type(self, table: str) -> StructType:
+        if table in schemas.KNOWN:
+            return schemas.KNOWN[table]
+        about = self._about(self.location(table))
+        return StructType.fromJson(about["schema"]) if about else self.read(table).schema
+
+    def _rows_of(self, table: str, paths: Iterable[str]) -> DataFrame:
+        """The rows of some files of a table, given by their paths below it."""
+        paths = [f"{self.root}/{table}/{path}" for path in paths]
+        if not paths:
+            return self.spark.createDataFrame([], self._type(table))
+        return self.spark.read.schema(self._type(table)).parquet(*paths)
+
+    def _filed(self, table: str, rows: DataFrame) -> DataFrame:
+        """The rows with the file they come from, as a path below the table."""
+        path = F.regexp_extract(F.col("_metadata.file_path"), rf".*/{re.escape(table)}/(v\d{{8}}.*)$", 1)
+        return rows.select("*", path.alias(FILE))
+
+    def _measured(self, table: str, rows: DataFrame, key: str) -> DataFrame:
+        """Manifest entries of the files that hold ``rows``; reads their keys."""
+        of = F.col(f"`{key}`").cast("string")
+        files = self._filed(table, rows.select(key)).groupBy(F.col(FILE).alias("path"))
+        return files.agg(F.count(F.lit(1)).alias("rows"), F.min(of).alias("low"), F.max(of).alias("high"))
+
+    def live_files(self, table: str, key: str) -> DataFrame:
+        """``(path, rows, low, high)`` of the files that make up the table."""
+        folder = self.location(table)
+        if self._about(folder).get("key") == key:
+            return self._manifest(folder)
+        # A version written whole, or measured by another key.
+        return self._measured(table, self.read(table), key)
+
+    def read_filed(self, table: str) -> DataFrame:
+        """The current rows with the file of each, for ``change``."""
+        return self._filed(table, self.read(table)) if self.exists(table) else self.read(table).withColumn(FILE, F.lit(None).cast("string"))
+
+    def _entries(self, table: str, key: str) -> list[Row]:
+        """The manifest on the driver: one entry per file."""
+        return self.live_files(table, key).collect() if self.exists(table) else []
+
+    def _touched(self, table: str, key: str, keys: DataFrame, entries: list[Row]) -> tuple[set[str], int]:
+        """Paths of the files that hold one of the keys, and the number of rows in ``keys``.
+
+        The bounds leave out files of other ranges, a semi join over the key
+        column alone decides on the others.
+        """
+        of = F.col(f"`{key}`")
+        ends = keys.agg(F.min(of.cast("string")).alias("low"), F.max(of.cast("string")).alias("high"), F.count(F.lit(1)).alias("n")).first()
+        near = [e["path"] for e in entries if ends["low"] is not None and e["low"] is not None and e["low"] <= ends["high"] and e["high"] >= ends["low"]]
+        if not near:
+            return set(), ends["n"]
+        listed = keys.where(of.isNotNull()).select(of.alias("__listed")).distinct()
+        rows = self._filed(table, self._rows_of(table, near).select(key))
+        met = rows.join(listed, of == F.col("__listed"), "left_semi")
+        return {row[FILE] for row in met.select(FILE).distinct().collect()}, ends["n"]
+
+    def read_keys(self, table: str, key: str, keys: DataFrame) -> DataFrame:
+        """The rows of the files that hold one of the keys."""
+        return self._rows_of(table, sorted(self._touched(table, key, keys, self._entries(table, key))[0]))
+
+    def merge(self, table: str, key: str, batch: DataFrame, images: Callable[[DataFrame], DataFrame], token: str | None = None) -> DataFrame:
+        """Change the files that hold a key of the batch; ``images`` as for ``change``."""
+        entries = self._entries(table, key)
+        paths, more = self._touched(table, key, batch, entries)
+        return self._commit(table, key, entries, paths, images, token, more)
+
+    def change(self, table: str, key: str, files: DataFrame, images: Callable[[DataFrame], DataFrame], token: str | None = None) -> DataFrame:
+        """Write a version in which only the named files are replaced.
+
+        ``files`` has the paths in the column ``FILE``. ``images(rows)`` gets the
+        rows of these files and returns structs ``before`` and ``after`` of the
+        table's columns, one pair for every row and every new row: equal where
+        nothing changes, ``before`` NULL for an insert, ``after`` NULL for a
+        delete. No file, no new version.
+        """
+        paths = {row[FILE] for row in files.select(FILE).distinct().collect()}
+        return self._commit(table, key, self._entries(table, key), paths, images, token) if paths else self.read(table)
+
+    def delete(self, table: str, key: str, keys: DataFrame, token: str | None = None) -> DataFrame:
+        """Take out the rows of the keys."""
+        listed = keys.select(F.col(f"`{key}`").alias("__listed")).where("__listed IS NOT NULL").distinct()
+
+        def images(rows: DataFrame) -> DataFrame:
+            row = F.struct([F.col(f"`{c}`") for c in rows.columns])
+            found = rows.join(listed, F.col(f"`{key}`") == F.col("__listed"), "left")
+            return found.select(row.alias("before"), F.when(F.col("__listed").isNull(), row).alias("after"))
+
+        entries = self._entries(table, key)
+        paths, _ = self._touched(table, key, keys, entries)
+        return self._commit(table, key, entries, paths, images, token) if paths else self.read(table)
+
+    def insert(self, table: str, key: str, rows: DataFrame, token: str | None = None) -> DataFrame:
+        """Add rows as files of their own; the feed reads them from there."""
+        rows = rows.select([F.col(f"`{c}`") for c in (self._type(table).fieldNames() if table in schemas.KNOWN or self.exists(table) else rows.columns)])
+        folder = self._next_folder(table, token)
+        rows.write.mode("overwrite").parquet(f"{folder}/{_FILES}/image=row")
+        return self._publish(table, key, folder, self._entries(table, key), rows.schema, inserted=True)
+
+    def _commit(
+        self, table: str, key: str, entries: list[Row], paths: set[str], images: Callable[[DataFrame], DataFrame], token: str | None, more: int = 0
+    ) -> DataFrame:
+        """Replace the files ``paths`` of ``entries``; ``more`` rows may come to theirs."""
+        size = sum(e["rows"] for e in entries if e["path"] in paths) + more
+        found = images(self._rows_of(table, sorted(paths)) if self.exists(table) else self.read(table))
+        fields = found.schema["after"].dataType
+        # By ranges of the key, so that the bounds in the manifest tell files apart; rows without key are spread.
+        row = F.coalesce("after", "before")
+        found = found.repartitionByRange(max(-(-size // ROWS_PER_FILE), 1), row[key], F.xxhash64(row))
+        changed = ~F.col("before").eqNullSafe(F.col("after"))
+
+        def image(name: str, of: str, when: Column) -> Column:
+            return F.when(when, F.struct(F.lit(name).alias("image"), F.col(of).alias("row")))
+
+        written = F.array(
+            image("row", "after", F.col("after").isNotNull()),
+            image("insert", "after", F.col("before").isNull()),
+            image("delete", "before", F.col("after").isNull()),
+            image("before", "before", F.col("before").isNotNull() & F.col("after").isNotNull() & changed),
+            image("after", "after", F.col("before").isNotNull() & F.col("after").isNotNull() & changed),
+        )
+        folder = self._next_folder(table, token)
+        found = found.select(F.explode(F.array_compact(written)).alias("x")).select("x.image", "x.row.*")
+        found.write.mode("overwrite").partitionBy("image").parquet(f"{folder}/{_FILES}")
+        return self._publish(table, key, folder, [e for e in entries if e["path"] not in paths], fields, inserted=False)
+
+    def _publish(self, table: str, key: str, folder: str, kept: list[Row], fields: StructType, inserted: bool) -> DataFrame:
+        """List kept and new files; the version counts from its last line on."""
+        entries = [tuple(e) for e in kept]
+        if self._exists(f"{folder}/{_FILES}/image=row"):
+            rows = self.spark.read.schema(fields).parquet(f"{folder}/{_FILES}/image=row")
+            entries += [tuple(e) for e in self._measured(table, rows, key).collect()]
+        self.spark.createDataFrame(entries, _ENTRIES).coalesce(1).write.mode("overwrite").parquet(f"{folder}/{_MANIFEST}")
+        about = json.dumps({"key": key, "inserted": inserted, "schema": json.loads(fields.json())})
+        stream = self._fs.create(self._path(f"{folder}/{_ABOUT}"), True)
+        stream.write(bytearray(about.encode()))
+        stream.close()
+        self._mark(f"{folder}/_SUCCESS")
+        return self.read(table)
+
+    def version(self, table: str) -> int:
+        """Number of the current version, 0 before the first."""
+        versions = self._versions(table)
+        return versions[-1][0] if versions else 0
+
+    def changes(self, table: str, after: int, upto: int | None = None) -> DataFrame:
+        """The change feed: ``version``, ``image`` and the row, for versions above ``after`` up to ``upto``.
+
+        ``insert`` and ``delete`` are single images, an update has the images
+        ``before`` and ``after``. Only images are read. A version that was
+        written whole or is deleted has no feed, and asking for it fails.
+        """
+        last = self.version(table) if upto is None else upto
+        folders = {number: folder for number, _, folder in self._versions(table)}
+        fields = self._type(table)
+        feed = self.spark.createDataFrame([], StructType(list(fields.fields)).add("image", "string").add("version", "long"))
+        for number in range(after + 1, last + 1):
+            about = self._about(folders[number]) if number in folders else {}
+            if not about:
+                raise ValueError(f"version {number} of {table} has no change feed")
+            images = self.spark.read.schema(StructType(list(fields.fields)).add("image", "string")).parquet(f"{folders[number]}/{_FILES}")
+            if about["inserted"]:
+                images = images.withColumn("image", F.lit("insert"))
+            else:
+                images = images.where(F.col("image").isin(*IMAGES))
+            feed = feed.unionByName(images.withColumn("version", F.lit(number).cast("long")))
+        return feed.select("version", "image", *fields.fieldNames())
+
     def prune(self, table: str, keep: int = 2) -> None:
-        """Delete all but the newest ``keep`` versions."""
+        """Delete all but the newest ``keep`` versions, except for files that these still list."""
         if keep < 1:
             raise ValueError("at least one version must stay")
-        for _, token, folder in self._versions(table)[:-keep]:
+        versions = self._versions(table)
+        for _, token, _ in versions[:-keep]:
             if token:
                 self._mark(self._token_file(table, token))
-            self._fs.delete(self._path(folder), True)
+        if not versions[:-keep]:
+            return
+        needed: set[str] = set()
+        for _, _, folder in versions[-keep:]:
+            if self._exists(f"{folder}/{_MANIFEST}"):
+                needed |= {row["path"] for row in self._manifest(folder).collect()}
+        owners = {path.split("/", 1)[0] for path in needed}
+        for status in self._fs.listStatus(self._path(f"{self.root}/{_safe(table)}")):
+            name = status.getPath().getName()
+            match = _VERSION.match(name)
+            if not match or int(match[1]) >= versions[-keep][0]:
+                continue
+            folder = f"{self.root}/{table}/{name}"
+            if name not in owners:
+                self._fs.delete(self._path(folder), True)
+                continue
+            # No version any more, but home of files that live on.
+            for gone in ("_SUCCESS", _MANIFEST, _ABOUT):
+                self._fs.delete(self._path(f"{folder}/{gone}"), True)
+            files = self._fs.listFiles(self._path(folder), True)
+            while files.hasNext():
+                path = files.next().getPath()
+                below = path.toString().rsplit(f"/{table}/{name}/", 1)[1]
+                if f"{name}/{below}" not in needed:
+                    self._fs.delete(path, False)
 
     def compact(self, table: str, keep: str, batch_count: int = 16) -> None:
         """Fold the batches of an appended table into few, once there are more than ``batch_count``.
@@ -196,7 +452,7 @@ class TableStore:
         folder = self.location(table)
         names = [st.getPath().getName() for st in self._fs.listStatus(self._path(folder))]
         names = [n.removeprefix(f"{BATCH}=b-") for n in names if n.startswith(f"{BATCH}=b-")]
-        old = [n for n in names if keep not in n]
+        old = [n for n in names if n != keep and not n.startswith(f"{keep}-")]
         if len(old) <= batch_count:
             return
         for name in old:
@@ -205,6 +461,15 @@ class TableStore:
         self.rewrite(table, lambda rows: rows.withColumn(BATCH, folded))
 
 
+def replayed(rows: DataFrame, feed: DataFrame) -> DataFrame:
+    """The rows after the changes of a feed, copies of a row counted."""
+    sign = F.when(F.col("image").isin("insert", "after"), 1).otherwise(-1)
+    signed = rows.withColumn("__n", F.lit(1)).unionByName(feed.withColumn("__n", sign).drop("image", "version"))
+    left = signed.groupBy(rows.columns).agg(F.sum("__n").alias("__n")).where("__n <> 0")
+    short = F.when(F.col("__n") < 0, F.raise_error(F.lit("the feed takes out a row that is not there")).cast("int"))
+    return left.select("*", F.explode(F.array_repeat(F.lit(0), F.coalesce(short, F.col("__n").cast("int"))))).select(rows.columns)
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``(table_name, row_count)``, one row per table, also for empty ones."""
     counts = [
