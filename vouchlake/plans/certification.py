@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vouchlake import schemas
-from vouchlake.operators import curation, governance, linking, marts, remediation
-from vouchlake.operators.upsert import merge_into_raw
+from vouchlake.operators import curation, gate, governance, linking, marts, remediation
+from vouchlake.operators.upsert import raw_images
 from vouchlake.sinks.moves import (
     apply_moves,
     plan_csv_archive,
@@ -94,7 +94,7 @@ def ingest_and_link(ws: Workspace, run_time: datetime, run_id: str) -> list[str]
             return
         path = f"{ws.files_root}/{schemas.LANDING_CSV}/{schemas.STAGE_FILES[table]}"
         stage = tables.replace(f"{table}_stage", scan_csv_fixed(ws.spark, table, path))
-        tables.replace(raw, merge_into_raw(table, tables.read(raw), stage, run_time), token=token)
+        tables.merge(raw, schemas.KEYS[table], stage, lambda rows: raw_images(table, rows, stage, run_time), token)
 
     if present:
         _together(ws.spark, *[lambda t=table: load(t) for table in present])
@@ -132,40 +132,37 @@ def link_documents(ws: Workspace, run_time: datetime, run_id: str) -> None:
 
 
 def certify(ws: Workspace) -> None:
-    orders = ws.tables.read("orders_raw")
-    ws.tables.replace("orders_raw", governance.governance_status(orders, ws.tables.read("attachments_raw")))
+    """Set the status of the orders that gained or lost their document; other files stay as they are."""
+    proven = ws.tables.read("attachments_raw")
+    stale = governance.stale_status(ws.tables.read_filed("orders_raw"), proven)
+    ws.tables.change("orders_raw", "order_id", stale, lambda rows: governance.status_images(rows, proven))
 
 
 def curate(ws: Workspace, run_time: datetime, run_id: str) -> None:
-    """Rebuild the golden tables, then log what they leave out."""
-    t, bad = ws.tables, ws.on_bad_date
-    _together(
-        ws.spark,
-        lambda: t.replace("customers_curated", curation.curate_customers(t.read("customers_raw"), bad)),
-        lambda: t.replace("orders_curated", curation.curate_orders(t.read("orders_raw"), bad), month_of="order_date"),
-    )
+    """Rebuild the golden tables and log what they leave out, each raw table in one scan."""
+    t = ws.tables
+
+    def through(table: str, orders: DataFrame | None = None, month_of: str | None = None) -> None:
+        rows = gate.gated(table, t.read(f"{table}_raw"), run_time, orders, t.read("data_error_logs"), ws.on_bad_date, ws.log_missing_dates)
+        t.replace_gated(f"{table}_curated", rows, month_of)
+
+    _together(ws.spark, lambda: through("customers"), lambda: through("orders", month_of="order_date"))
     orders = t.read("orders_curated")
     _together(
         ws.spark,
         lambda: t.replace("order_items_curated", curation.curate_order_items(t.read("order_items_raw"), orders)),
-        lambda: t.replace("payments_curated", curation.curate_payments(t.read("payments_raw"), orders, bad), month_of="payment_date"),
-        lambda: t.replace("returns_curated", curation.curate_returns(t.read("returns_raw"), orders, bad), month_of="return_date"),
+        lambda: through("payments", orders, "payment_date"),
+        lambda: through("returns", orders, "return_date"),
         lambda: t.replace("attachments_curated", curation.curate_attachments(t.read("attachments_raw"), orders)),
-        lambda: t.replace("pdf_manifest_curated", curation.curate_pdf_manifest(t.read("pdf_manifest_raw"), bad)),
-        lambda: t.append_once("data_error_logs", curation_errors(ws, run_time), f"{run_id}-curate"),
+        lambda: through("pdf_manifest"),
     )
+    t.append_once("data_error_logs", curation_errors(ws), f"{run_id}-curate")
 
 
-def curation_errors(ws: Workspace, run_time: datetime) -> DataFrame:
-    t, impossible, missing = ws.tables, ws.on_bad_date == "quarantine", ws.log_missing_dates
-    parts = [
-        curation.errors_customer_dates(t.read("customers_raw"), run_time, impossible, missing),
-        curation.errors_order_dates(t.read("orders_raw"), run_time, impossible, missing),
-        curation.errors_missing_invoice(t.read("orders_raw"), t.read("data_error_logs"), run_time),
-        curation.errors_payment_dates(t.read("payments_raw"), run_time, impossible, missing),
-        curation.errors_return_dates(t.read("returns_raw"), run_time, impossible, missing),
-        curation.errors_manifest_dates(t.read("pdf_manifest_raw"), run_time, impossible, missing),
-    ]
+def curation_errors(ws: Workspace) -> DataFrame:
+    """What the gates of the current golden tables rejected."""
+    t = ws.tables
+    parts = [t.rejected(f"{table}_curated") for table in gate.RULES]
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
