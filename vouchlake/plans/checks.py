@@ -12,13 +12,14 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from vouchlake import schemas, session
 from vouchlake.functions import dates, names, values
-from vouchlake.operators import curation, governance, keys, linking, marts, remediation
-from vouchlake.operators.upsert import merge_into_raw
-from vouchlake.plans.testbed import AS_OF, LATE_AS_OF, LOADED_AT, STORE, Testbed, write_files
+from vouchlake.operators import curation, gate, governance, keys, linking, marts, remediation
+from vouchlake.operators.upsert import merge_into_raw, raw_images, replaced_images
+from vouchlake.plans.live_marts import LiveMarts
+from vouchlake.plans.testbed import AS_OF, LATE_AS_OF, LOADED_AT, STORE, Testbed, replace_files, write_files
 from vouchlake.sinks import moves
-from vouchlake.sinks.store import TableStore, row_counts
+from vouchlake.sinks.store import TableStore, replayed, row_counts
 from vouchlake.sources import csv_drops, landing
-from vouchlake.streaming import drops
+from vouchlake.streaming import drops, rewritten
 
 Check = Callable[[SparkSession, str], DataFrame]
 CHECKS: dict[str, Check] = {}
@@ -71,6 +72,28 @@ class Stage(Testbed):
     def recovered(self) -> DataFrame:
         return remediation.recover_late_documents(self.late_documents(), self.error_log())
 
+    def live(self, *tables: str) -> LiveMarts:
+        """Live marts over golden tables that reach their rows by inserts, updates and deletes."""
+        store = self.store("live")
+        marts_of = LiveMarts(store)
+        for table in tables:
+            final, key, odd = {
+                "orders_curated": (self.orders, "order_id", {"order_total": F.lit(1.5), "order_date": F.date_add("order_date", -400), "customer_id": F.lit("C1")}),
+                "customers_curated": (self.customers, "customer_id", {}),
+                "order_items_curated": (self.items, "order_item_id", {"product_id": F.lit("P1"), "quantity": F.col("quantity") + 3, "order_id": F.lit("O1")}),
+                "returns_curated": (self.returns, "return_id", {"order_id": F.lit("O2")}),
+            }[table]
+            rows, third = final(), F.crc32(F.col(key)) % 3
+            wrong = rows.where(third == 1).withColumns(odd)
+            extra = rows.where(third == 2).withColumns(odd).withColumn(key, F.concat(F.lit("X"), F.col(key)))
+            store.insert(table, key, rows.where(third == 2).unionByName(wrong).unionByName(extra))
+            marts_of.catch_up()
+            batch = store.replace("batch", rows.where(third != 2))
+            store.merge(table, key, batch, lambda held, batch=batch, key=key: replaced_images(held, batch, key))
+            store.delete(table, key, extra)
+        marts_of.catch_up()
+        return marts_of
+
     def clv(self) -> DataFrame:
         return marts.customer_clv(self.customers(), self.orders(), CENTS)
 
@@ -218,6 +241,35 @@ def merge_pdf_manifest(t: Stage) -> DataFrame:
     return merge_into_raw("pdf_manifest", t.pdf_manifest_raw(), t.pdf_manifest_stage(), AS_OF)
 
 
+@check
+def merge_touched_files(t: Stage) -> DataFrame:
+    """A merge that replaces the files that hold a key of the batch."""
+    store, stage = t.store("touched"), t.payments_stage()
+    store.replace("payments_raw", t.payments_raw())
+    return store.merge("payments_raw", "payment_id", stage, lambda held: raw_images("payments", held, stage, AS_OF))
+
+
+@check
+def table_changes(t: Stage) -> DataFrame:
+    """The change feed of a merge and of a certification."""
+    store, stage = t.store("changes"), t.orders_stage()
+    store.replace("orders_raw", t.orders_raw())
+    proven = store.replace("attachments_raw", t.attachments())
+    store.merge("orders_raw", "order_id", stage, lambda held: raw_images("orders", held, stage, AS_OF))
+    stale = governance.stale_status(store.read_filed("orders_raw"), proven)
+    store.change("orders_raw", "order_id", stale, lambda held: governance.status_images(held, proven))
+    return store.changes("orders_raw", 1)
+
+
+@check
+def table_replayed(t: Stage) -> DataFrame:
+    """A former version, brought up to date by the change feed."""
+    store, stage = t.store("replayed"), t.customers_stage()
+    former = store.replace("customers_raw", t.customers_raw())
+    store.merge("customers_raw", "customer_id", stage, lambda held: raw_images("customers", held, stage, AS_OF))
+    return replayed(former, store.changes("customers_raw", 1))
+
+
 @check
 def governance_status(t: Stage) -> DataFrame:
     return t.governed()
@@ -494,6 +546,32 @@ def errors_manifest_dates(t: Stage) -> DataFrame:
     return curation.errors_manifest_dates(t.pdf_manifest_raw(), AS_OF)
 
 
+@check
+def gate_customers(t: Stage) -> DataFrame:
+    """Golden and log rows of one scan, as the following gates."""
+    return gate.gated("customers", t.customers_raw(), AS_OF)
+
+
+@check
+def gate_orders(t: Stage) -> DataFrame:
+    return gate.gated("orders", t.governed(), AS_OF, log=t.error_log())
+
+
+@check
+def gate_payments(t: Stage) -> DataFrame:
+    return gate.gated("payments", t.payments_raw(), AS_OF, t.orders())
+
+
+@check
+def gate_returns(t: Stage) -> DataFrame:
+    return gate.gated("returns", t.returns_raw(), AS_OF, t.orders())
+
+
+@check
+def gate_pdf_manifest(t: Stage) -> DataFrame:
+    return gate.gated("pdf_manifest", t.pdf_manifest_raw(), AS_OF)
+
+
 # ---- marts -----------------------------------------------------------------------------
 
 
@@ -522,6 +600,26 @@ def product_returns(t: Stage) -> DataFrame:
     return marts.product_returns(t.returns(), t.items())
 
 
+@check
+def live_customer_clv(t: Stage) -> DataFrame:
+    return t.live("orders_curated", "customers_curated").customer_clv()
+
+
+@check
+def live_monthly_sales(t: Stage) -> DataFrame:
+    return t.live("orders_curated").monthly_sales()
+
+
+@check
+def live_product_performance(t: Stage) -> DataFrame:
+    return t.live("order_items_curated").product_performance()
+
+
+@check
+def live_product_returns(t: Stage) -> DataFrame:
+    return t.live("order_items_curated", "returns_curated").product_returns()
+
+
 # ---- streaming ---------------------------------------------------------------------------
 
 
@@ -534,3 +632,14 @@ def ingest_incremental(t: Stage) -> DataFrame:
     drops.ingest_incremental(t.spark, store, "orders", root, checkpoint, LOADED_AT)
     t.orders_stage().write.csv(f"{root}/second", header=True)
     return drops.ingest_incremental(t.spark, store, "orders", root, checkpoint, AS_OF)
+
+
+@check
+def ingest_rewritten(t: Stage) -> DataFrame:
+    """Two drops under the same file names, picked up by the same stream."""
+    root, store, checkpoint = t.scratch("rewritten"), t.store("rewritten"), t.scratch("checkpoint")
+    columns = schemas.STAGE["orders"].fieldNames()
+    for rows, at in ((t.orders_raw().select(columns), LOADED_AT), (t.orders_stage(), AS_OF)):
+        replace_files(rows, root, "orders")
+        found = rewritten.ingest_rewritten(t.spark, store, "orders", root, checkpoint, at)
+    return found

@@ -330,3 +330,18 @@ def write_files(listing: DataFrame, root: str) -> int:
             yield batch[["length"]]
 
     return listing.select("path", "length").mapInPandas(create, "length bigint").count()
+
+
+def replace_files(rows: DataFrame, root: str, name: str) -> None:
+    """CSV files ``<name>-<n>.csv`` below a root folder, over those that are there."""
+    incoming = f"{root}/_{name}"
+    rows.write.mode("overwrite").csv(incoming, header=True)
+    jvm, conf = rows.sparkSession.sparkContext._jvm, rows.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(conf)
+    parts = sorted(status.getPath().toString() for status in files.listStatus(path(incoming)) if status.getPath().getName().endswith(".csv"))
+    for n, part in enumerate(parts):
+        target = path(f"{root}/{name}-{n}.csv")
+        files.delete(target, False)
+        files.rename(path(part), target)
+    files.delete(path(incoming), True)
