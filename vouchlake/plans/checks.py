@@ -12,7 +12,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from vouchlake import schemas, session
 from vouchlake.functions import dates, names, values
-from vouchlake.operators import curation, gate, governance, keys, linking, marts, remediation
+from vouchlake.operators import curation, distinct_maps, gate, governance, keys, linking, marts, remediation
 from vouchlake.operators.upsert import merge_into_raw, raw_images, replaced_images
 from vouchlake.plans.live_marts import LiveMarts
 from vouchlake.plans.testbed import AS_OF, LATE_AS_OF, LOADED_AT, STORE, Testbed, replace_files, write_files
@@ -600,6 +600,15 @@ def product_returns(t: Stage) -> DataFrame:
     return marts.product_returns(t.returns(), t.items())
 
 
+@check
+def product_performance_merged(t: Stage) -> DataFrame:
+    """The mart from three slices of the items that share orders, each reduced once."""
+    store, items = t.store("distinct"), t.items()
+    for k in range(3):
+        distinct_maps.add_items(store, items.where(F.crc32("order_item_id") % 3 == k), f"slice-{k}")
+    return distinct_maps.product_performance(store.read(distinct_maps.SUMS), store.read(distinct_maps.MAPS))
+
+
 @check
 def live_customer_clv(t: Stage) -> DataFrame:
     return t.live("orders_curated", "customers_curated").customer_clv()
