@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vouchlake import schemas
+from vouchlake.sources.csv_records import WELL_FORMED, csv_records
 
 # Stands for a quoted empty cell while reading, so that it stays apart from an
 # empty cell, which is NULL.
@@ -75,14 +76,22 @@ def _has_quoted_breaks(spark: SparkSession, path: str) -> bool:
 def _inferred_text(spark: SparkSession, path: str) -> DataFrame:
     """The cells as text: short rows give NULL, a row wider than the header fails the job.
 
-    A file with line breaks inside quotes is read whole by one task, since no
-    other place in it is sure to begin a record; other files are split.
+    Files with line breaks inside quotes are split too, by ``csv_records``. Only
+    where quotes stand in the middle of unquoted cells, so that counting them
+    does not tell what is inside, such a file is read whole by one task.
     """
     options = {"header": "true", "escape": '"', "multiLine": str(_has_quoted_breaks(spark, path)).lower()}
     names = spark.read.csv(path, **options).columns
     # One column more than the header has, by position; only a wide row fills it.
     schema = ", ".join(f"`{c}` string" for c in [*names, _BEYOND])
-    cells = spark.read.csv(path, schema=schema, enforceSchema=True, columnNameOfCorruptRecord="__none", **options)
+    cells = None
+    if options["multiLine"] == "true":
+        records = csv_records(spark, path)
+        if records.where(~F.col("record").rlike(WELL_FORMED)).isEmpty():
+            row = F.from_csv("record", schema, {"escape": '"', "columnNameOfCorruptRecord": "__none"})
+            cells = records.where(~F.col("first")).select(row.alias("row")).select("row.*")
+    if cells is None:
+        cells = spark.read.csv(path, schema=schema, enforceSchema=True, columnNameOfCorruptRecord="__none", **options)
     wide = F.raise_error(F.concat(F.lit("a row is wider than the header: ... "), F.col(f"`{_BEYOND}`")))
     first = F.when(F.col(f"`{_BEYOND}`").isNotNull(), wide.cast("string")).otherwise(F.col(f"`{names[0]}`"))
     return cells.select(first.alias(names[0]), *[F.col(f"`{c}`") for c in names[1:]])
