@@ -8,7 +8,8 @@
    of the prefixes. How many hold it is counted over all documents, in a fixed
    number of hash buckets.
 3. Documents that share a prefix n-gram meet in tiles, split by size band and,
-   where very many meet, into pairs of blocks. Within a tile a hashed bitmap of
+   where very many meet, into pairs of blocks. Near copies share many n-grams
+   and so many tiles; of tiles with the same members one is kept. Within a tile a hashed bitmap of
    each set bounds the overlap from above: every bit set in one map only is at
    least one n-gram the other set lacks. What passes joins two groups; pairs
    inside a group are not looked at again.
@@ -222,6 +223,19 @@ def _with_sets(docs: DataFrame, n: int) -> DataFrame:
     )
 
 
+def _distinct_tiles(tiles: DataFrame) -> DataFrame:
+    """One of the tiles that hold the same sets; the bitmaps travel for that one only."""
+    tile = ["gram", "band", "low", "high"]
+    marks = [F.bit_xor(F.xxhash64(F.lit(k), F.col("member"))).alias(f"m{k}") for k in (1, 2)]
+    sums = tiles.groupBy(*tile).agg(*marks, F.count(F.lit(1)).alias("n")).where("n > 1")
+    kept = sums.groupBy("band", "m1", "m2", "n").agg(F.min(F.struct("gram", "low", "high")).alias("t"))
+    kept = kept.select(F.col("t.gram").alias("k_gram"), F.col("band").alias("k_band"), F.col("t.low").alias("k_low"), F.col("t.high").alias("k_high"))
+    same = same_key(F.col("gram"), F.col("k_gram"))
+    for c in tile[1:]:
+        same = same & (F.col(c) == F.col(f"k_{c}"))
+    return tiles.drop("member").join(kept, same, "left_semi")
+
+
 def ngram_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """``(doc_id, n_ngrams, component_id)``: documents linked from Jaccard ``num / den`` up."""
     ship_package(docs.sparkSession)
@@ -230,8 +244,9 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -
     known = records.where((F.col("n_ngrams") > 0) & F.col("doc_id").isNotNull())
     first = known.groupBy("fp1", "fp2").agg(F.min(F.struct("doc_id", "n_ngrams", "prefix", "bits")).alias("r"))
     reps = stored(first.select("fp1", "fp2", "r.*"), "ngram-sets")
-    held = _banded(reps.select("doc_id", "n_ngrams", F.explode("prefix").alias("gram")), num, den)
-    tiles = tiled(held, ["gram", "band"], F.lit(1), BLOCK_DOCS)
+    member = F.xxhash64("fp1", "fp2").alias("member")
+    held = _banded(reps.select("doc_id", "n_ngrams", member, F.explode("prefix").alias("gram")), num, den)
+    tiles = _distinct_tiles(stored(tiled(held, ["gram", "band"], F.lit(1), BLOCK_DOCS), "ngram-tiles"))
     maps = reps.select(F.col("doc_id").alias("m_doc"), F.col("n_ngrams").alias("m_n"), "bits")
     tiles = tiles.join(maps, same_key(F.col("doc_id"), F.col("m_doc")) & (F.col("n_ngrams") == F.col("m_n"))).drop("m_doc", "m_n")
     groups = connected_components(_links(tiles, ["gram", "band"], num, den, exact=False))
