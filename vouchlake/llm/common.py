@@ -10,15 +10,24 @@ from vouchlake.session import scratch_dir
 # A word: code points other than blank and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared scratch folder and read from there.
 
     Cuts the lineage: what later steps read survives a lost executor, and is
-    computed once however many of them read it.
+    computed once however many of them read it. The shuffles of this one job are
+    given back when it has ended, as nothing reads them again.
     """
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
