@@ -182,6 +182,22 @@ def test_line_dedup_against_all_pairs(spark, edges, nothing):
     assert left.count((None, "no id here but words")) == 2 and (1, None) in left and (2, "") in left
 
 
+@pytest.mark.parametrize("frequent", [1, 1000])
+def test_line_dedup_of_variants_that_are_not_similar(spark, monkeypatch, frequent):
+    monkeypatch.setattr(line_dedup, "FREQUENT", frequent)
+    rng = np.random.default_rng(5)
+    base, other = [f"b{k}" for k in range(20)], [f"o{k}" for k in range(3000)]
+    lines = [" ".join([*rng.permutation(base)[:16], *rng.choice(other, 3, replace=False)]) for _ in range(400)]
+    lines += [lines[3], lines[4] + " more", " ".join(base)]
+    docs = [(k, "\n".join(lines[k : k + 4])) for k in range(0, len(lines), 2)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    report = line_dedup.dedup_report(table).collect()
+    assert {r.doc_id: r.removed for r in report} == plain_removed(docs)
+    placed, room = line_dedup._placed(table.withColumn("mark", F.xxhash64("text")))
+    lines, _ = line_dedup._sets(placed, room)
+    assert line_dedup._met(lines.dropDuplicates(["fp"])).count() <= lines.select("fp").distinct().count()
+
+
 def test_line_dedup_with_ids_far_apart(spark):
     docs = [(-(2**63), "a b c d e f"), (0, "a b c d e f\nother words stand here now"), (2**63 - 1, "other words stand here now\na b")]
     report = line_dedup.dedup_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()

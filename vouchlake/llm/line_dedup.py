@@ -7,14 +7,16 @@ a set of Jaccard similarity ``NUM / DEN`` or more, be that line kept or not.
 1. Words are put in order of rarity, the same for all lines. How often a word
    occurs is counted over all lines, in a fixed number of hash buckets.
 2. Lines with equal sets fold into the first of them; the others are removed.
-3. Groups of very many variants of one line are thinned: a line is compared with
-   the first line that shares one of a few least hashes with it. Where the two
-   are similar the line is settled and looks for no further partner, so a group
-   of ``m`` variants costs about ``m`` comparisons.
-4. Prefix filter: every line left looks for earlier lines that share one of its
-   rarest words. Lengths, the places of the shared word, and a bitmap of the
-   words bound the overlap from above in the join itself.
-5. What is left is verified on the words of both lines.
+3. Prefix filter: a line asks whether another one shares one of its rarest words.
+   Lengths, the places of the shared word, and a bitmap of the words bound the
+   overlap from above in the join itself. It is a semi join, so that ``m`` variants
+   of one line give ``m`` rows a word, not their pairs.
+4. Lines with such a partner are taken with all their words. Each is compared
+   with one promising earlier line first; similar ones are settled.
+5. The others are joined once more, the words with them, at the rarest word that
+   two lines share: a line that shares enough words with any earlier one is
+   removed. This too asks only whether there is one. The lines of a word are looked through until a partner is found;
+   adaptive execution splits hot words.
 
 All of it is DataFrame expressions. Words are compared by 56-bit hash within a
 rarity class, and sets by 64-bit hash.
@@ -41,7 +43,8 @@ NUM, DEN = 8, 10
 BUCKETS = 1 << 16  # of the word count; their classes, a byte each, go to all tasks
 COMMON = 14  # classes below the most common word's, from which words are too common to group by
 _MASK = (1 << 56) - 1
-_MIXES = (0, 0x005A17C3D21B9E37, 0x00A5690F3C1D7B42)  # orders of the least hashes
+BLOCKS = 4  # the lines of a word are cut into so many parts, of which the first lines are tried before all others
+FREQUENT = 1000  # a set that more than this part of all lines has is joined by broadcast; there are fewer than this
 _WORDS = r"[\x20\x09-\x0D]+"
 _SPACES = " \t\n\x0b\x0c\r"
 
@@ -155,9 +158,8 @@ def _sets(docs: DataFrame, room: int) -> tuple[DataFrame, Rarity]:
         F.transform(F.slice("keys", F.lit(1), kept), lambda k: F.hash(k)).alias("prefix"),
         F.filter("keys", lambda k: k < F.lit(order.below(COMMON))).alias("rare"),
     )
-    return split.select(
-        "rid", "mark", "n", "fp", "prefix", _bits(F.col("rare"), 0).alias("bits"), _bits(F.col("rare"), 1).alias("more"), F.array(*[_least(F.col("rare"), m) for m in _MIXES]).alias("least")
-    ), order
+    bits = [_bits(F.col("rare"), half).alias(name) for half, name in enumerate(("bits", "more"))]
+    return split.select("rid", "mark", "n", "fp", "prefix", *bits), order
 
 
 def _bits(keys: Column, half: int) -> Column:
@@ -169,11 +171,6 @@ def _bits(keys: Column, half: int) -> Column:
     return F.aggregate(F.filter(keys, lambda k: F.getbit(k, F.lit(6)) == half), F.lit(0).cast("long"), put)
 
 
-def _least(keys: Column, mix: int) -> Column:
-    """The least hash of the words, each mix in an order of its own."""
-    return F.array_min(F.transform(keys, lambda k: k.bitwiseXOR(F.lit(mix)).bitwiseAND(F.lit(_MASK)))).bitwiseXOR(F.lit(mix << 3))
-
-
 def _bound(x: dict[str, Column], y: dict[str, Column]) -> Column:
     """Whether two lines may be similar, by their sizes, bitmaps and the places of a shared word."""
     n, m = x["n"], y["n"]
@@ -191,85 +188,124 @@ def _bound(x: dict[str, Column], y: dict[str, Column]) -> Column:
     return fits & reached(n - lacks(x, y)) & reached(m - lacks(y, x))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, room: int, order: Rarity) -> DataFrame:
-    """Those ``(later, earlier)`` pairs of lines whose sets reach the similarity, by their words: the later one's ``(rid, fp)``."""
-    pairs = stored(pairs.distinct(), "line-pairs")
-    wanted = pairs.select(F.col("later").alias("w_rid")).unionByName(pairs.select(F.col("earlier").alias("w_rid"))).distinct()
-    wanted = stored(wanted, "lines-wanted")
-    lines = _lines(docs).select((F.col("place") * room + F.col("line_no")).alias("rid"), "line")
-    picked = possible(lines, "rid", wanted).join(wanted, same_key(F.col("rid"), F.col("w_rid")))
-    held = picked.select("rid", words(F.col("line")).alias("words")).withColumn("fp", F.xxhash64(order.keys(F.col("words"))))
-    held = stored(held.dropDuplicates(["rid", "fp"]), "lines-held")
-    later, earlier = (held.select([F.col(c).alias(f"{side}_{c}") for c in held.columns]) for side in ("l", "e"))
-    both = pairs.join(later, same_key(F.col("later"), F.col("l_rid"))).join(earlier, same_key(F.col("earlier"), F.col("e_rid")))
-    shared = F.size(F.array_intersect("l_words", "e_words"))
-    similar = shared * (NUM + DEN) >= (F.size("l_words") + F.size("e_words")) * NUM
-    return both.where(similar).select(F.col("l_rid").alias("rid"), F.col("l_fp").alias("fp")).distinct()
-
-
 def _of(prefix: str, *names: str) -> dict[str, Column]:
     return {name: F.col(f"{prefix}.{name}") for name in names}
 
 
-def _settled(first: DataFrame) -> DataFrame:
-    """Pairs of a line and the first one that shares a least hash with it."""
-    hashed = first.select(F.explode("least").alias("hash"), "rid", "n", "bits", "more").where(F.col("hash").isNotNull())
-    order = Window.partitionBy("hash").orderBy("rid").rowsBetween(Window.unboundedPreceding, 0)
-    met = hashed.withColumn("y", F.first(F.struct("rid", "n", "bits", "more")).over(order))
-    close = _bound({c: F.col(c) for c in ("n", "bits", "more")}, _of("y", "n", "bits", "more"))
-    return met.where((F.col("y.rid") < F.col("rid")) & close).select(F.col("rid").alias("later"), F.col("y.rid").alias("earlier"))
-
-
 _SIZE_BITS = 31
 
 
-def _candidates(first: DataFrame) -> DataFrame:
-    """Pairs of a line and an earlier one with a shared word among the rarest of both."""
-    # Place of the word and size in one number, below zero for a settled line: rows are many and small.
-    size = F.shiftleft("pos", _SIZE_BITS).bitwiseOR(F.col("n").cast("long"))
-    rows = first.select("rid", "n", "bits", "more", "done", F.posexplode("prefix").alias("pos", "word")).withColumn("pos", F.col("pos").cast("long"))
-    rows = rows.select("word", "rid", "bits", "more", F.when(F.col("done"), -size - 1).otherwise(size).alias("size"))
+def _met(sets: DataFrame) -> DataFrame:
+    """``rid`` of the sets that may be similar to another one: a shared word among the rarest of both, and the bound.
+
+    A semi join: a set asks at each of its words whether there is a partner, so
+    rows stay few however many variants of one line share the word.
+    """
+    # Place of the word and size in one number: rows are many and small.
+    size = F.shiftleft("pos", _SIZE_BITS).bitwiseOR(F.col("n").cast("long")).alias("size")
+    rows = sets.select("rid", "n", "bits", "more", F.posexplode("prefix").alias("pos", "word")).withColumn("pos", F.col("pos").cast("long"))
     # None is null; said for both sides of the join alike, they are one shuffle.
-    rows = rows.dropna()
+    rows = rows.select("word", "rid", "bits", "more", size).dropna()
 
     def side(name: str) -> dict[str, Column]:
         held = F.col(f"{name}.size")
-        held = F.when(held < 0, -held - 1).otherwise(held)
-        return {
-            "n": held.bitwiseAND((1 << _SIZE_BITS) - 1),
-            "pos": F.shiftright(held, _SIZE_BITS),
-            "bits": F.col(f"{name}.bits"),
-            "more": F.col(f"{name}.more"),
-        }
-
-    earlier = (F.col("y.rid") < F.col("x.rid")) & (F.col("x.size") + F.col("y.rid") * 0 >= 0)
-    met = F.col("x.word") == F.col("y.word")
-    return rows.alias("x").join(rows.alias("y"), met & earlier & _bound(side("x"), side("y"))).select(
-        F.col("x.rid").alias("later"), F.col("y.rid").alias("earlier")
-    )
+        of = {"n": held.bitwiseAND((1 << _SIZE_BITS) - 1), "pos": F.shiftright(held, _SIZE_BITS)}
+        return of | _of(name, "bits", "more")
+
+    met = (F.col("x.word") == F.col("y.word")) & (F.col("x.rid") != F.col("y.rid"))
+    return rows.alias("x").join(rows.alias("y"), met & _bound(side("x"), side("y")), "left_semi").select("rid").distinct()
+
+
+def _resembling(sets: DataFrame, docs: DataFrame, room: int, order: Rarity) -> DataFrame:
+    """``g_fp`` of the sets that reach the similarity with an earlier one, by their words."""
+    met = stored(_met(sets).withColumnRenamed("rid", "w_rid"), "lines-met")
+    some = possible(sets, "rid", met).join(met, same_key(F.col("rid"), F.col("w_rid")), "left_semi")
+    lines = _lines(docs).select((F.col("place") * room + F.col("line_no")).alias("l_rid"), "line")
+    near = possible(lines, "l_rid", met).select("l_rid", words(F.col("line")).alias("words"))
+    near = near.withColumn("l_fp", F.xxhash64(order.keys(F.col("words"))))
+    held = some.join(near, same_key(F.col("rid"), F.col("l_rid")) & (F.col("fp") == F.col("l_fp")))
+    # Repeated rows give a set's line several times; one of them is enough.
+    held = stored(held.select("rid", "fp", "n", "bits", "more", "prefix", "words").dropDuplicates(["fp"]), "lines-held")
+    settled = stored(_similar(held, _nearest(held)), "lines-settled")
+    return settled.unionByName(_searched(held, settled))
+
+
+def _enough(x: str, y: str) -> Column:
+    """Whether two lines share enough words."""
+    shared = F.size(F.array_intersect(f"{x}.words", f"{y}.words"))
+    return shared * (NUM + DEN) >= (F.col(f"{x}.n") + F.col(f"{y}.n")) * NUM
+
+
+def _nearest(held: DataFrame) -> DataFrame:
+    """``(x, y)`` by ``fp``: a line and, of the first lines of its words in each block, the one it surely lacks the fewest words of."""
+    rows = held.select("rid", "fp", "n", "bits", "more", F.explode("prefix").alias("word")).dropna()
+    block = F.pmod(F.xxhash64("fp"), F.lit(BLOCKS))
+    first = rows.groupBy(F.col("word").alias("f_word"), block.alias("block")).agg(F.min(F.struct("rid", "fp", "n", "bits", "more")).alias("y"))
+    met = rows.join(first, same_key(F.col("word"), F.col("f_word"))).where(F.col("y.rid") < F.col("rid"))
+    x, y = {c: F.col(c) for c in ("n", "bits", "more")}, _of("y", "n", "bits", "more")
+    lacks = sum((F.bit_count(x[c].bitwiseXOR(y[c])) for c in ("bits", "more")), F.abs(x["n"] - y["n"]))
+    best = met.where(_bound(x, y)).groupBy("fp").agg(F.min(F.struct(lacks.alias("lacks"), F.col("y.fp").alias("fp"))).alias("y"))
+    return best.select(F.col("fp").alias("x"), F.col("y.fp").alias("y"))
+
+
+def _similar(held: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``g_fp``: the ``x`` of the pairs that share enough words."""
+    held = held.select("fp", "n", "words")
+    one = pairs.join(held.alias("a"), same_key(F.col("x"), F.col("a.fp"))).select("x", "y", F.struct("n", "words").alias("a"))
+    both = one.join(held.alias("b"), same_key(F.col("y"), F.col("b.fp")))
+    return both.where(_enough("a", "b")).select(F.col("x").alias("g_fp"))
+
+
+def _searched(held: DataFrame, settled: DataFrame) -> DataFrame:
+    """``g_fp`` of the other lines that resemble any earlier one."""
+    rest = held.join(settled, same_key(F.col("fp"), F.col("g_fp")), "left").withColumn("open", F.col("g_fp").isNull().cast("long")).drop("g_fp")
+    rest = stored(rest, "lines-open")
+    rows = rest.select("rid", "fp", "n", "bits", "more", "open", "prefix", F.posexplode("prefix").alias("pos", "word")).dropna()
+
+    def asks(a: str, b: str) -> Column:
+        # Names both sides, so that it stays in the join and the sides are one shuffle.
+        return (F.col(f"{b}.rid") < F.col(f"{a}.rid")) & (F.col(f"{a}.open") + F.col(f"{b}.open") * 0 > 0)
+
+    word = F.col("a.word") == F.col("b.word")
+    a, b = (_of(side, "n", "pos", "bits", "more") for side in "ab")
+    # Two lines meet at the first of the words they share; only there the words of both are needed.
+    before = [F.slice(F.col(f"{side}.prefix"), F.lit(1), F.col(f"{side}.pos")) for side in "ab"]
+    here = (asks("a", "b") | asks("b", "a")) & _bound(a, b) & (F.size(F.array_intersect(*before)) == 0)
+    near = rows.alias("a").join(rows.alias("b"), word & here, "left_semi").select(F.col("fp").alias("n_fp"), "pos", "word")
+    whole = rest.select("rid", "fp", "n", "bits", "more", "open", "words")
+    large = stored(near.join(whole, same_key(F.col("n_fp"), F.col("fp"))).drop("n_fp").dropna(), "lines-left")
+    return large.alias("a").join(large.alias("b"), word & asks("a", "b") & _bound(a, b) & _enough("a", "b"), "left_semi").select(F.col("fp").alias("g_fp")).distinct()
 
 
 def _gone(lines: DataFrame, docs: DataFrame, room: int, order: Rarity) -> DataFrame:
-    """``(fp, rid, gone)``: the first line of every set, and whether it resembles an earlier one."""
-    first = lines.groupBy("fp").agg(F.min(F.struct("rid", "n", "prefix", "bits", "more", "least")).alias("r"))
-    first = stored(first.select("fp", "r.*"), "line-sets")
-    settled = stored(_verified(_settled(first), docs, room, order), "lines-settled")
-    mark = settled.select(F.col("fp").alias("s_fp"))
-    left = first.join(mark, same_key(F.col("fp"), F.col("s_fp")), "left").withColumn("done", F.col("s_fp").isNotNull())
-    found = settled.unionByName(_verified(_candidates(left), docs, room, order)).select(F.col("fp").alias("g_fp")).distinct()
-    return first.join(found, same_key(F.col("fp"), F.col("g_fp")), "left").select(
-        F.col("fp").alias("f_fp"), F.col("rid").alias("f_rid"), F.col("g_fp").isNotNull().alias("gone")
+    """``(f_fp, f_rid, f_lines, gone)``: the first line of every set, its number of lines, and whether it resembles an earlier one."""
+    least = F.min(F.struct("rid", "n", "prefix", "bits", "more")).alias("r")
+    sets = stored(lines.groupBy("fp").agg(least, F.count(F.lit(1)).alias("lines")).select("fp", "lines", "r.*"), "line-sets")
+    found = _resembling(sets, docs, room, order)
+    return sets.join(found, same_key(F.col("fp"), F.col("g_fp")), "left").select(
+        F.col("fp").alias("f_fp"), F.col("rid").alias("f_rid"), F.col("lines").alias("f_lines"), F.col("g_fp").isNotNull().alias("gone")
     )
 
 
+def _judged(lines: DataFrame, gone: DataFrame) -> DataFrame:
+    """The lines to remove: those of a set that is gone, and all but the first of any other."""
+    gone = stored(gone, "lines-gone")
+    total = gone.agg(F.sum("f_lines")).first()[0] or 0
+    # At most FREQUENT sets: their lines, however many, need no shuffle.
+    frequent = F.col("f_lines") * FREQUENT > total
+    often = F.broadcast(gone.where(frequent))
+    rest = lines.join(often, F.col("fp") == F.col("f_fp"), "left_anti").join(gone.where(~frequent), same_key(F.col("fp"), F.col("f_fp")))
+    judged = lines.join(often, F.col("fp") == F.col("f_fp")).unionByName(rest)
+    return judged.where(F.col("gone") | (F.col("rid") > F.col("f_rid")))
+
+
 def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``docs`` with its place and a hash of its text, and ``(place, mark, removed)``: the numbers of lines to remove, from 0."""
     placed, room = _placed(docs.withColumn("mark", F.xxhash64("text")))
     texts = placed.select("place", "mark", "text")
     lines, order = _sets(texts, room)
     lines = stored(lines, "line-words")
-    gone = _gone(lines, texts, room, order)
-    judged = lines.join(gone, same_key(F.col("fp"), F.col("f_fp"))).where(F.col("gone") | (F.col("rid") > F.col("f_rid")))
+    judged = _judged(lines.select("rid", "mark", "fp"), _gone(lines, texts, room, order))
     numbers = F.sort_array(F.collect_set((F.col("rid") % room).cast("int")))
     removed = judged.groupBy(F.floor(F.col("rid") / room).alias("r_place"), F.col("mark").alias("r_mark")).agg(numbers.alias("removed"))
     return placed, stored(removed, "lines-removed")
