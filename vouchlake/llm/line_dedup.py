@@ -250,9 +250,8 @@ def _nearest(held: DataFrame) -> DataFrame:
 
 def _similar(held: DataFrame, pairs: DataFrame) -> DataFrame:
     """``g_fp``: the ``x`` of the pairs that share enough words."""
-    held = held.select("fp", "n", "words")
-    one = pairs.join(held.alias("a"), same_key(F.col("x"), F.col("a.fp"))).select("x", "y", F.struct("n", "words").alias("a"))
-    both = one.join(held.alias("b"), same_key(F.col("y"), F.col("b.fp")))
+    held = held.select("fp", "n", "words").dropna()  # none is null; so both joins read one shuffle
+    both = pairs.join(held.alias("a"), same_key(F.col("x"), F.col("a.fp"))).join(held.alias("b"), same_key(F.col("y"), F.col("b.fp")))
     return both.where(_enough("a", "b")).select(F.col("x").alias("g_fp"))
 
 
@@ -260,7 +259,10 @@ def _searched(held: DataFrame, settled: DataFrame) -> DataFrame:
     """``g_fp`` of the other lines that resemble any earlier one."""
     rest = held.join(settled, same_key(F.col("fp"), F.col("g_fp")), "left").withColumn("open", F.col("g_fp").isNull().cast("long")).drop("g_fp")
     rest = stored(rest, "lines-open")
-    rows = rest.select("rid", "fp", "n", "bits", "more", "open", "prefix", F.posexplode("prefix").alias("pos", "word")).dropna()
+
+    def rows(lines: DataFrame, *more: str) -> DataFrame:
+        # None is null; said for both sides of a join alike, they are one shuffle.
+        return lines.select("rid", "fp", "n", "bits", "more", "open", *more, F.posexplode("prefix").alias("pos", "word")).dropna()
 
     def asks(a: str, b: str) -> Column:
         # Names both sides, so that it stays in the join and the sides are one shuffle.
@@ -268,12 +270,17 @@ def _searched(held: DataFrame, settled: DataFrame) -> DataFrame:
 
     word = F.col("a.word") == F.col("b.word")
     a, b = (_of(side, "n", "pos", "bits", "more") for side in "ab")
+    may = word & (asks("a", "b") | asks("b", "a")) & _bound(a, b)
+    small = rows(rest)
+    near = small.alias("a").join(small.alias("b"), may, "left_semi").select(F.col("fp").alias("n_fp")).distinct()
+    rest = stored(rest.join(near, same_key(F.col("fp"), F.col("n_fp")), "left_semi"), "lines-near")
     # Two lines meet at the first of the words they share; only there the words of both are needed.
     before = [F.slice(F.col(f"{side}.prefix"), F.lit(1), F.col(f"{side}.pos")) for side in "ab"]
-    here = (asks("a", "b") | asks("b", "a")) & _bound(a, b) & (F.size(F.array_intersect(*before)) == 0)
-    near = rows.alias("a").join(rows.alias("b"), word & here, "left_semi").select(F.col("fp").alias("n_fp"), "pos", "word")
+    wide = rows(rest, "prefix")
+    first = wide.alias("a").join(wide.alias("b"), may & (F.size(F.array_intersect(*before)) == 0), "left_semi")
+    first = first.select(F.col("fp").alias("n_fp"), "pos", "word")
     whole = rest.select("rid", "fp", "n", "bits", "more", "open", "words")
-    large = stored(near.join(whole, same_key(F.col("n_fp"), F.col("fp"))).drop("n_fp").dropna(), "lines-left")
+    large = stored(first.join(whole, same_key(F.col("n_fp"), F.col("fp"))).drop("n_fp"), "lines-left").dropna()
     return large.alias("a").join(large.alias("b"), word & asks("a", "b") & _bound(a, b) & _enough("a", "b"), "left_semi").select(F.col("fp").alias("g_fp")).distinct()
 
 
