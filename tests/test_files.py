@@ -1,11 +1,13 @@
 import os
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF, rows
 from vouchlake.plans.demo_load import load_files
+from vouchlake.plans.testbed import write_files
 from vouchlake.sinks.moves import apply_moves, require_moved, plan_csv_archive
 from vouchlake.sinks.store import row_counts
 from vouchlake.sources import csv_drops, landing
@@ -204,3 +206,16 @@ def test_loose_files_in_one_call(spark, store, tmp_path):
     write(f"{tmp_path}/b.csv", "id\n7\n")
     files = {"a": f"{tmp_path}/a.csv", "b": f"{tmp_path}/b.csv"}
     assert rows(load_files(store, files)) == rows(load_files(store, files)) == [("a", 2), ("b", 1)]
+
+
+def test_listed_files_take_no_disk_blocks_and_a_folder_is_listed_piecewise(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "zone")
+    wanted = [(f"landing/f{k}.pdf", k) for k in range(1, 1000, 37)] + [("landing/.d/_empty.txt", 0)]
+    write_files(spark.createDataFrame(wanted, "path string, length long").repartition(2), root)
+    found = landing.relative_to(landing.list_landing(spark, root), root)
+    assert rows(found.select("path", "length")) == sorted(wanted)
+    assert found.where("modificationTime IS NULL OR modificationTime < current_timestamp() - INTERVAL 1 HOUR").count() == 0
+    assert sum(os.stat(f"{root}/{path}").st_blocks for path, _ in wanted) == 0
+    monkeypatch.setattr(landing, "_ROWS_PER_BATCH", 10)
+    parts = list(landing._list_folders(root)([pd.DataFrame({"path": ["landing", "nowhere"]})]))
+    assert [len(p) for p in parts] == [10, 10, 8] and sorted(p for part in parts for p in part["path"]) == sorted(["landing/.d", *[w for w, _ in wanted[:-1]]])

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+import os
 import re
+import stat
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,23 +23,45 @@ LISTING_COLUMNS = ["path", "modificationTime", "length"]
 _FOUND = "path string, modificationTime timestamp, length bigint, folder boolean"
 
 
+def _local_files(folder: str) -> Iterator[tuple]:
+    """What a local folder holds, entry by entry: a large folder is never held whole."""
+    try:
+        entries = os.scandir(folder)
+    except FileNotFoundError:
+        return
+    with entries:
+        for entry in entries:
+            try:
+                about = entry.stat()
+            except FileNotFoundError:  # a link to nowhere, or gone since
+                continue
+            size = about.st_size if stat.S_ISREG(about.st_mode) else None
+            yield entry.name, about.st_mtime_ns // 1000, size, stat.S_ISDIR(about.st_mode)
+
+
+def _store_files(store, folder: str) -> Iterator[tuple]:
+    from pyarrow import fs as afs
+
+    for f in store.get_file_info(afs.FileSelector(folder, allow_not_found=True)):
+        is_folder = f.type == afs.FileType.Directory
+        yield f.base_name, None if f.mtime_ns is None else f.mtime_ns // 1000, None if is_folder else f.size, is_folder
+
+
 def _list_folders(root: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs as afs
-
         store, base = file_system(root)
         for batch in batches:
             for folder in batch["path"]:
                 inside = f"{base}/{folder}".rstrip("/")
-                found = store.get_file_info(afs.FileSelector(inside, allow_not_found=True))
-                for first in range(0, len(found), _ROWS_PER_BATCH):
-                    part = found[first : first + _ROWS_PER_BATCH]
+                found = _local_files(inside) if store.type_name == "local" else _store_files(store, inside)
+                while part := list(itertools.islice(found, _ROWS_PER_BATCH)):
+                    names, times, lengths, folders = zip(*part, strict=True)
                     yield pd.DataFrame(
                         {
-                            "path": [f.path[len(base) + 1 :] for f in part],
-                            "modificationTime": pd.to_datetime([f.mtime for f in part], utc=True),
-                            "length": [None if f.type == afs.FileType.Directory else f.size for f in part],
-                            "folder": [f.type == afs.FileType.Directory for f in part],
+                            "path": [f"{folder}/{name}" if folder else name for name in names],
+                            "modificationTime": pd.to_datetime(pd.Series(times, dtype="Int64"), unit="us", utc=True),
+                            "length": pd.array(lengths, dtype="Int64"),
+                            "folder": folders,
                         }
                     )
 
