@@ -3,6 +3,8 @@
 import random
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
 from vouchlake import schemas
 from vouchlake.operators import distinct_maps, marts
@@ -45,3 +47,14 @@ def test_the_mart_reads_no_item_and_no_number(spark, store):
     files = {f.split("/")[-4] for f in distinct_maps.product_performance(sums, maps).inputFiles()}
     assert files == {distinct_maps.SUMS, distinct_maps.MAPS}
     assert distinct_maps.product_performance(sums.limit(0), maps.limit(0)).count() == 0
+
+
+def test_scattered_orders_take_few_bytes(spark):
+    numbers = spark.range(0, 200 * 32768, 32768).select(F.concat(F.lit("O"), "id").alias("order_id"), F.col("id").alias("number"))
+    sold = numbers.select(F.lit("I").alias("order_item_id"), "order_id", F.lit("P").alias("product_id"))
+    maps = distinct_maps.maps_of(sold, numbers)
+    assert maps.count() == 200 and dict(maps.dtypes)["map"] == "bigint"
+    full = spark.range(1, 1001).select(F.concat(F.lit("O"), "id").alias("order_id"), F.col("id").alias("number"))
+    hot = full.select("order_id", F.lit("P").alias("product_id"))
+    maps = distinct_maps.maps_of(hot.unionByName(hot), full)
+    assert maps.count() == 16 and maps.agg(F.sum(F.bit_count("map"))).first()[0] == 1000

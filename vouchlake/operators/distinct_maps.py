@@ -2,10 +2,11 @@
 
 A distinct count cannot be added to another one, its set of orders can. Orders
 get dense numbers, stored once; the set of orders of a product is then a few
-bitmaps, one per range of 32,768 numbers, which merge by OR and count by bits.
+bitmaps, one whole number for each range of 64 order numbers that holds one,
+which merge by OR and count by bits. So a product takes no more rows than it has
+orders, and a hot one no more than there are ranges, never one set.
 A slice of items (a month, a load) is reduced to sums and bitmaps once; a
-total over any slices reads these and no item again. A hot product is as many
-rows as there are ranges, never one set.
+total over any slices reads these and no item again.
 """
 
 from __future__ import annotations
@@ -63,11 +64,11 @@ def sums_of(items: DataFrame) -> DataFrame:
 
 def maps_of(items: DataFrame, numbers: DataFrame) -> DataFrame:
     """The orders of each product in a slice of items, as bitmaps."""
-    pairs = items.where("order_id IS NOT NULL").select("order_id", marked_key("product_id").alias("product_key")).distinct()
+    pairs = items.where("order_id IS NOT NULL").select("order_id", marked_key("product_id").alias("product_key"))
     known = numbers.select(F.col("order_id").alias("n_id"), "number")
     met = pairs.join(known, same_key(F.col("order_id"), F.col("n_id")))
-    bucket = F.bitmap_bucket_number("number").alias("bucket")
-    return met.groupBy("product_key", bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("map"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("number") % 64).cast("int"))
+    return met.groupBy("product_key", F.shiftright("number", 6).alias("bucket")).agg(F.bit_or(bit).alias("map"))
 
 
 def add_items(store: TableStore, items: DataFrame, batch: str) -> None:
@@ -80,7 +81,7 @@ def add_items(store: TableStore, items: DataFrame, batch: str) -> None:
 def product_performance(sums: DataFrame, maps: DataFrame) -> DataFrame:
     """The mart from the kept sums and bitmaps of any slices."""
     total = sums.groupBy("product_key", "product_id").agg(*[F.sum(c).alias(c) for c in ("quantity", "counted", "revenue", "priced")])
-    merged = maps.groupBy("product_key", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("map")).alias("n"))
+    merged = maps.groupBy("product_key", "bucket").agg(F.bit_count(F.bit_or("map")).alias("n"))
     orders = merged.groupBy(F.col("product_key").alias("o_key")).agg(F.sum("n").alias("orders"))
     both = total.join(orders, F.col("product_key") == F.col("o_key"), "left")
     return schemas.conform(

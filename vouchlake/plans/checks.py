@@ -603,7 +603,8 @@ def product_returns(t: Stage) -> DataFrame:
 @check
 def product_performance_merged(t: Stage) -> DataFrame:
     """The mart from three slices of the items that share orders, each reduced once."""
-    store, items = t.store("distinct"), t.items()
+    store = t.store("distinct")
+    items = store.replace("order_items_curated", t.items())
     for k in range(3):
         distinct_maps.add_items(store, items.where(F.crc32("order_item_id") % 3 == k), f"slice-{k}")
     return distinct_maps.product_performance(store.read(distinct_maps.SUMS), store.read(distinct_maps.MAPS))
