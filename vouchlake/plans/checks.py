@@ -83,12 +83,12 @@ class Stage(Testbed):
                 "order_items_curated": (self.items, "order_item_id", {"product_id": F.lit("P1"), "quantity": F.col("quantity") + 3, "order_id": F.lit("O1")}),
                 "returns_curated": (self.returns, "return_id", {"order_id": F.lit("O2")}),
             }[table]
-            rows, third = final(), F.crc32(F.col(key)) % 3
+            rows, third = store.replace(f"{table}_rows", final()), F.crc32(F.col(key)) % 3
             wrong = rows.where(third == 1).withColumns(odd)
             extra = rows.where(third == 2).withColumns(odd).withColumn(key, F.concat(F.lit("X"), F.col(key)))
             store.insert(table, key, rows.where(third == 2).unionByName(wrong).unionByName(extra))
             marts_of.catch_up()
-            batch = store.replace("batch", rows.where(third != 2))
+            batch = rows.where(third != 2)
             store.merge(table, key, batch, lambda held, batch=batch, key=key: replaced_images(held, batch, key))
             store.delete(table, key, extra)
         marts_of.catch_up()
