@@ -1,5 +1,6 @@
 """Marts kept by change feeds against their full rebuild."""
 
+import os
 import random
 from datetime import date, datetime, timedelta
 
@@ -139,3 +140,23 @@ def test_only_stale_customers_are_looked_at_again(spark):
         "B": (2, date(2024, 1, 1), date(2024, 2, 2)),
         "D": (1, date(2024, 3, 1), date(2024, 3, 1)),
     }
+
+
+def test_states_keep_rows_only_and_lines_that_cancel_change_nothing(spark, store):
+    rng = random.Random(5)
+    data = [item(rng, k) for k in range(20)]
+    store.insert("order_items_curated", "order_item_id", frame(spark, "order_items_curated", data))
+    live = LiveMarts(store)
+    live.catch_up()
+    batch = frame(spark, "order_items_curated", [(*row[:4], 7, *row[5:]) for row in data])
+    store.merge("order_items_curated", "order_item_id", batch, replacing(batch, "order_item_id", batch.columns))
+    assert mart_deltas.lines_delta(store.changes("order_items_curated", 1)).count() == 0
+    live.catch_up()
+    assert rows(live.product_performance()) == rows(marts.product_performance(store.read("order_items_curated"), 2))
+    for table in ("mart_product_state", "mart_order_lines"):
+        kinds = {path.rsplit("/", 2)[-2] for path in store.read(table).inputFiles()}
+        assert kinds == {"image=row"}
+        with pytest.raises(ValueError, match="no change feed"):
+            store.changes(table, store.version(table) - 1)
+        folders = {name for folder in os.listdir(f"{store.root}/{table}") if os.path.isdir(f"{store.root}/{table}/{folder}/files") for name in os.listdir(f"{store.root}/{table}/{folder}/files")}
+        assert {name for name in folders if name.startswith("image=")} == {"image=row"}
