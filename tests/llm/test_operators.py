@@ -337,6 +337,65 @@ def test_class_model_counts(spark, edges, nothing):
     assert brown.score(nothing.select("doc_id", "text"), model, counts).count() == 0
 
 
+def test_class_of_every_word(spark):
+    # Beyond the clustered words there are two kinds, of which one stands where "a" and "c" do, the other where "b" and "d" do.
+    rng = np.random.default_rng(6)
+    texts = []
+    for k in range(300):
+        even, odd = (rng.choice([*heads, *[f"{heads[0]}{j}" for j in rng.integers(0, 40, 2)]], 12) for heads in ("ac", "bd"))
+        texts.append(" ".join(w for pair in zip(even, odd, strict=True) for w in pair) + (" solo solo" if k % 50 == 0 else ""))
+    table = spark.createDataFrame([*enumerate(texts), (900, None), (901, "never seen a b0 never b1 b2 seen")], "doc_id long, text string")
+    train = table.where("doc_id < 300")
+    model, found = brown.classed(train, brown.fit(train, clustered=4, classes=2, frequent=20)[0])
+    key = {w: int(brown.hashed_words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0].view(np.int64)[0]) for t in texts for w in t.split()}
+    rows = {r.key: r["class"] for r in found.collect()} | dict(zip(model.frequent.tolist(), model.classes.tolist(), strict=True))
+    of = {w: rows[k] for w, k in key.items()}
+    assert len(rows) == len(key) > 60 and 4 < len(model.frequent) < 40 and set(of.values()) == {0, 1}
+    assert all(of[w] == of[w[0]] for w in of if w != "solo" and of["a"] == of["c"] and of["b"] == of["d"]) and of["a"] != of["b"]
+    # Bigrams, and the scores of all texts, counted anew.
+    end = 3
+    seqs = [[end, *[of[w] for w in t.split()], end] for t in texts]
+    between = np.zeros((4, 4))
+    for seq in seqs:
+        np.add.at(between, (seq[:-1], seq[1:]), 1)
+    assert (model.between == between).all()
+    step = np.log10((between + 0.1) / (between.sum(axis=1, keepdims=True) + 0.4))
+    seen = collections.Counter(w for t in texts for w in t.split())
+    by_class = [sum(n for w, n in seen.items() if of[w] == c) for c in (0, 1)]
+
+    def plain(text):
+        tokens = (text or "").split()
+        seq = [end, *[of.get(w, 2) for w in tokens], end]
+        return sum(step[a, b] for a, b in zip(seq, seq[1:], strict=False)) + sum(math.log10(seen[w] / by_class[of[w]]) for w in tokens if w in of)
+
+    got = {r.doc_id: r for r in brown.score(table, model, found).collect()}
+    assert len(got) == 302 and got[901].n_known == 5
+    assert all(got[r.doc_id].score == pytest.approx(plain(r.text)) for r in table.collect())
+
+
+def test_class_gains_are_those_of_the_likelihood():
+    rng = np.random.default_rng(8)
+    pairs = rng.poisson(3, (9, 9)).astype(float)  # words 0 to 6, the open word, the end
+    at = np.array([0, 1, 2, 0, 1, 2, 3, 3, 4])  # three classes, the open one, the end
+
+    def bigrams(at):
+        one = np.eye(5)[at]
+        return one.T @ pairs @ one
+
+    def likelihood(at):
+        b = bigrams(at)
+        return sum(np.sum(x * np.log(np.maximum(x, 1e-300))) * sign for x, sign in ((b, 1), (b.sum(axis=0), -1), (b.sum(axis=1), -1)))
+
+    words = np.arange(7)
+    others = pairs.copy()
+    others[words, words] = 0
+    one = np.eye(5)[at]
+    gain = brown.class_gains(bigrams(at), at[:7], (others @ one)[:7], (others.T @ one)[:7], pairs[words, words])
+    for w in words:
+        want = np.array([likelihood(np.where(np.arange(9) == w, c, at)) for c in range(3)])
+        assert gain[w] - gain[w, 0] == pytest.approx(want - want[0])
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(4)
     pairs = np.zeros((22, 22))

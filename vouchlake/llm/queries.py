@@ -98,8 +98,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", (_remainder(10) == 0).alias("held_out"), "text")
-    model, counts = brown.fit(docs.where(~F.col("held_out")))
-    return brown.score(docs, model, counts)
+    train = docs.where(~F.col("held_out"))
+    seeded, _ = brown.fit(train)
+    model, words = brown.classed(train, seeded)
+    return brown.score(docs, model, words)
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
