@@ -337,6 +337,21 @@ def test_class_model_counts(spark, edges, nothing):
     assert brown.score(nothing.select("doc_id", "text"), model, counts).count() == 0
 
 
+def test_ngram_join_holds_few_rows(spark, monkeypatch):
+    sizes = spark.sparkContext.accumulator(0)
+
+    def watched(texts, n, sets=ngram_join.ngram_sets, most=ngram_join.BATCH_ROWS):
+        sizes.add(int(len(texts) > most))
+        return sets(texts, n)
+
+    monkeypatch.setattr(ngram_join, "ngram_sets", watched)
+    table = spark.range(3000).selectExpr("id doc_id", "concat('some words and number ', id % 1000) text").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = ngram_join.ngram_components(table, n=3, num=9, den=10).collect()
+    assert len({r.component_id for r in got}) == 1000 and sizes.value == 0
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_class_of_every_word(spark):
     # Beyond the clustered words there are two kinds, of which one stands where "a" and "c" do, the other where "b" and "d" do.
     rng = np.random.default_rng(6)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vouchlake.llm.common import stored
+from vouchlake.llm.common import small_batches, stored
 from vouchlake.llm.components import connected_components
 from vouchlake.llm.picks import impossible, possible
 from vouchlake.llm.tiles import tiled, whole_runs
@@ -48,6 +48,7 @@ BUCKETS = 1 << 16  # of the frequency count; bounds what is sent to the tasks
 BLOCK_DOCS = 4096  # documents of a block in the bitmap tiles
 BLOCK_NGRAMS = 1_000_000  # n-grams of a block in the exact tiles
 MAX_BITS = 1 << 13
+BATCH_ROWS = 512  # documents, with their texts or n-grams, that a task holds at once
 _TILE = ("grp", "band", "low", "high")
 
 
@@ -239,7 +240,12 @@ def _distinct_tiles(tiles: DataFrame) -> DataFrame:
 def ngram_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """``(doc_id, n_ngrams, component_id)``: documents linked from Jaccard ``num / den`` up."""
     ship_package(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Python runs in here only: what comes back are joins of stored tables.
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        return _components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n, num, den)
+
+
+def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     records = stored(ngram_records(docs, n, num, den), "ngram-records")
     known = records.where((F.col("n_ngrams") > 0) & F.col("doc_id").isNotNull())
     first = known.groupBy("fp1", "fp2").agg(F.min(F.struct("doc_id", "n_ngrams", "prefix", "bits")).alias("r"))
