@@ -198,6 +198,63 @@ def test_line_dedup_of_variants_that_are_not_similar(spark, monkeypatch, frequen
     assert line_dedup._met(lines.dropDuplicates(["fp"])).count() <= lines.select("fp").distinct().count()
 
 
+def similar_variants(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{k}" for k in range(300)]
+    bases = [rng.choice(vocabulary, int(n), replace=False).tolist() for n in rng.integers(3, 45, 12)]
+    lines = []
+    for _ in range(260):
+        base = bases[rng.integers(len(bases))]
+        lines.append(" ".join([w for w in base if rng.random() < 0.9] + rng.choice(vocabulary, rng.integers(0, 4)).tolist()))
+    docs = [(k, "\n".join(lines[k : k + 2])) for k in range(0, len(lines), 2)]
+    return docs, spark.createDataFrame(docs, "doc_id long, text string")
+
+
+def test_line_dedup_search_finds_every_similar_line(spark, monkeypatch):
+    """Nothing is settled by the nearest line, so that all is left to the search and its bounds."""
+    settled = line_dedup._similar
+    monkeypatch.setattr(line_dedup, "_similar", lambda held, pairs: settled(held, pairs).limit(0))
+    docs, table = similar_variants(spark)
+    assert {r.doc_id: r.removed for r in line_dedup.dedup_report(table).collect()} == plain_removed(docs)
+
+
+def test_line_dedup_bounds_take_the_word_as_the_first_shared(spark):
+    pairs = [(10, 1, 10, 0), (10, 2, 10, 2), (10, 0, 8, 0), (10, 3, 9, 0)]
+    rows = spark.createDataFrame(pairs, "n long, npos long, m long, mpos long").withColumns({c: F.lit(0).cast("long") for c in ("bits", "more")})
+    x, y = ({"n": F.col(n), "pos": F.col(f"{n}pos"), "bits": F.col("bits"), "more": F.col("more")} for n in "nm")
+    assert [r.fits for r in rows.select(line_dedup._bound(x, y).alias("fits")).collect()] == [True, False, True, False]
+
+
+def test_line_dedup_gives_its_tables_back(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("vouchlake.llm.common.scratch_dir", lambda spark, label: f"file://{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    docs, table = similar_variants(spark)
+    report = line_dedup.dedup_report(table)
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["lines-removed"]
+    assert {r.doc_id: r.removed for r in report.collect()} == plain_removed(docs)
+
+
+def test_line_dedup_joins_with_itself_read_one_shuffle(spark, monkeypatch):
+    plans, held = {}, line_dedup.stored
+
+    def seen(df, label):
+        if label in ("lines-near", "lines-left", "lines-resembling"):
+            plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return held(df, label)
+
+    monkeypatch.setattr(line_dedup, "stored", seen)
+    # Plans are looked at before they run, so none may be made while running.
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        line_dedup.dedup_report(similar_variants(spark)[1])
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(plans) == 3 and all("ReusedExchange" in plan for plan in plans.values())
+
+
 def test_line_dedup_with_ids_far_apart(spark):
     docs = [(-(2**63), "a b c d e f"), (0, "a b c d e f\nother words stand here now"), (2**63 - 1, "other words stand here now\na b")]
     report = line_dedup.dedup_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vouchlake.llm.common import stored
+from vouchlake.llm.common import given_back, stored
 from vouchlake.operators.keys import same_key
 
 
@@ -36,7 +36,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
                 now.select(F.col("b").alias("node"), F.col("b").alias("component"))
             ).distinct()
         seen = state
-        now = stored(_small_star(_large_star(now)), "edges")
+        before, now = now, stored(_small_star(_large_star(now)), "edges")
+        given_back(before)
 
 
 def _least(sided: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ a set of Jaccard similarity ``NUM / DEN`` or more, be that line kept or not.
    occurs is counted over all lines, in a fixed number of hash buckets.
 2. Lines with equal sets fold into the first of them; the others are removed.
 3. Prefix filter: a line asks whether another one shares one of its rarest words.
-   Lengths, the places of the shared word, and a bitmap of the words bound the
-   overlap from above in the join itself. It is a semi join, so that ``m`` variants
+   Lengths, the places of the shared word as the first one, and a bitmap of the
+   words bound the overlap from above in the join itself. It is a semi join, so that ``m`` variants
    of one line give ``m`` rows a word, not their pairs.
 4. Lines with such a partner are taken with all their words. Each is compared
    with one promising earlier line first; similar ones are settled.
@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vouchlake.llm.common import stored
+from vouchlake.llm.common import given_back, stored
 from vouchlake.llm.picks import possible
 from vouchlake.operators.keys import same_key
 
@@ -84,7 +84,8 @@ class Rarity:
         table = F.split(F.lit(",".join(map(str, self.classes))), ",").cast("array<tinyint>")
 
         def keyed(w: Column) -> Column:
-            rank = F.get(table, _bucket(w, len(self.classes))).cast("long")
+            # Every bucket has a class; said so, the keys are sorted as plain numbers.
+            rank = F.coalesce(F.get(table, _bucket(w, len(self.classes))).cast("long"), F.lit(0).cast("long"))
             return F.shiftleft(rank, 56).bitwiseOR(w.bitwiseAND(F.lit(_MASK)))
 
         return F.sort_array(F.transform(hashes, keyed))
@@ -172,7 +173,11 @@ def _bits(keys: Column, half: int) -> Column:
 
 
 def _bound(x: dict[str, Column], y: dict[str, Column]) -> Column:
-    """Whether two lines may be similar, by their sizes, bitmaps and the places of a shared word."""
+    """Whether two lines may be similar and, if the places of a shared word are given, this the first they share.
+
+    What they share then lies from these places on. Similar lines meet at the
+    first word they share, so no pair is lost that is asked for at every word.
+    """
     n, m = x["n"], y["n"]
 
     def reached(overlap: Column) -> Column:
@@ -184,10 +189,22 @@ def _bound(x: dict[str, Column], y: dict[str, Column]) -> Column:
 
     fits = F.least(n, m) * DEN >= F.greatest(n, m) * NUM
     if "pos" in x:
-        fits = fits & reached(F.least(x["pos"], y["pos"]) + F.least(n - x["pos"], m - y["pos"]))
+        fits = fits & reached(F.least(n - x["pos"], m - y["pos"]))
     return fits & reached(n - lacks(x, y)) & reached(m - lacks(y, x))
 
 
+def _by_prefix(x: dict[str, Column], y: dict[str, Column]) -> Column:
+    """Whether two lines may be similar, by all words of their prefixes.
+
+    Of the prefix that ends at the rarer word, what it shares lies in the other
+    prefix too; beyond it, a line shares at most the rest of its words.
+    """
+    # Two words of a prefix may have one hash.
+    shared = F.size(F.array_intersect(x["prefix"], y["prefix"])) + F.size(x["prefix"]) - F.size(F.array_distinct(x["prefix"]))
+    rest = F.greatest(x["n"] - F.size(x["prefix"]), y["n"] - F.size(y["prefix"]))
+    return (shared + rest) * (NUM + DEN) >= (x["n"] + y["n"]) * NUM
+
+
 def _of(prefix: str, *names: str) -> dict[str, Column]:
     return {name: F.col(f"{prefix}.{name}") for name in names}
 
@@ -219,15 +236,22 @@ def _met(sets: DataFrame) -> DataFrame:
 def _resembling(sets: DataFrame, docs: DataFrame, room: int, order: Rarity) -> DataFrame:
     """``g_fp`` of the sets that reach the similarity with an earlier one, by their words."""
     met = stored(_met(sets).withColumnRenamed("rid", "w_rid"), "lines-met")
-    some = possible(sets, "rid", met).join(met, same_key(F.col("rid"), F.col("w_rid")), "left_semi")
+    some = possible(sets, "rid", met, parts=2).join(met, same_key(F.col("rid"), F.col("w_rid")), "left_semi")
     lines = _lines(docs).select((F.col("place") * room + F.col("line_no")).alias("l_rid"), "line")
-    near = possible(lines, "l_rid", met).select("l_rid", words(F.col("line")).alias("words"))
-    near = near.withColumn("l_fp", F.xxhash64(order.keys(F.col("words"))))
-    held = some.join(near, same_key(F.col("rid"), F.col("l_rid")) & (F.col("fp") == F.col("l_fp")))
+    # The lines travel as text, which packs better than hashes; their words are taken where a line has met its set.
+    near = possible(lines, "l_rid", met, parts=2).select("l_rid", "line")
+    found = words(F.col("line"))
+    # Not as an equality, which would take the words before the join to join by them.
+    same_set = F.xxhash64(order.keys(found)).bitwiseXOR(F.col("fp")) == 0
+    held = some.join(near, same_key(F.col("rid"), F.col("l_rid"))).where(same_set)
     # Repeated rows give a set's line several times; one of them is enough.
-    held = stored(held.select("rid", "fp", "n", "bits", "more", "prefix", "words").dropDuplicates(["fp"]), "lines-held")
+    held = stored(held.select("rid", "fp", "n", "bits", "more", "prefix", found.alias("words")).dropDuplicates(["fp"]), "lines-held")
+    given_back(met)
     settled = stored(_similar(held, _nearest(held)), "lines-settled")
-    return settled.unionByName(_searched(held, settled))
+    searched, large = _searched(held, settled)
+    resembling = stored(settled.unionByName(searched), "lines-resembling")
+    given_back(settled, large)
+    return resembling
 
 
 def _enough(x: str, y: str) -> Column:
@@ -255,48 +279,59 @@ def _similar(held: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.where(_enough("a", "b")).select(F.col("x").alias("g_fp"))
 
 
-def _searched(held: DataFrame, settled: DataFrame) -> DataFrame:
-    """``g_fp`` of the other lines that resemble any earlier one."""
+def _searched(held: DataFrame, settled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``g_fp`` of the other lines that resemble any earlier one, and the stored table it is read from; ``held`` is given back."""
     rest = held.join(settled, same_key(F.col("fp"), F.col("g_fp")), "left").withColumn("open", F.col("g_fp").isNull().cast("long")).drop("g_fp")
     rest = stored(rest, "lines-open")
+    given_back(held)
 
     def rows(lines: DataFrame, *more: str) -> DataFrame:
-        # None is null; said for both sides of a join alike, they are one shuffle.
-        return lines.select("rid", "fp", "n", "bits", "more", "open", *more, F.posexplode("prefix").alias("pos", "word")).dropna()
+        # None is null; said for both sides of a join alike, they are one shuffle. In the order of the table, so that
+        # neither side gets its columns put in order.
+        return lines.select("rid", "fp", "n", "bits", "more", *more, "open", F.posexplode("prefix").alias("pos", "word")).dropna()
 
     def asks(a: str, b: str) -> Column:
-        # Names both sides, so that it stays in the join and the sides are one shuffle.
-        return (F.col(f"{b}.rid") < F.col(f"{a}.rid")) & (F.col(f"{a}.open") + F.col(f"{b}.open") * 0 > 0)
+        # Names both sides, so that it stays in the join and the sides are one shuffle. So does the test of ``fp``, which
+        # the joins give out: no set has two rows, and none is earlier than itself.
+        asking = F.col(f"{a}.open") + F.col(f"{b}.open") * 0 > 0
+        return (F.col(f"{b}.rid") < F.col(f"{a}.rid")) & asking & (F.col(f"{a}.fp") != F.col(f"{b}.fp"))
 
     word = F.col("a.word") == F.col("b.word")
     a, b = (_of(side, "n", "pos", "bits", "more") for side in "ab")
     may = word & (asks("a", "b") | asks("b", "a")) & _bound(a, b)
     small = rows(rest)
     near = small.alias("a").join(small.alias("b"), may, "left_semi").select(F.col("fp").alias("n_fp")).distinct()
-    rest = stored(rest.join(near, same_key(F.col("fp"), F.col("n_fp")), "left_semi"), "lines-near")
+    open_lines, rest = rest, stored(rest.join(near, same_key(F.col("fp"), F.col("n_fp")), "left_semi"), "lines-near")
+    given_back(open_lines)
     # Two lines meet at the first of the words they share; only there the words of both are needed.
     before = [F.slice(F.col(f"{side}.prefix"), F.lit(1), F.col(f"{side}.pos")) for side in "ab"]
     wide = rows(rest, "prefix")
-    first = wide.alias("a").join(wide.alias("b"), may & (F.size(F.array_intersect(*before)) == 0), "left_semi")
+    here = may & (F.size(F.array_intersect(*before)) == 0) & _by_prefix(*(_of(side, "n", "prefix") for side in "ab"))
+    first = wide.alias("a").join(wide.alias("b"), here, "left_semi")
     first = first.select(F.col("fp").alias("n_fp"), "pos", "word")
     whole = rest.select("rid", "fp", "n", "bits", "more", "open", "words")
-    large = stored(first.join(whole, same_key(F.col("n_fp"), F.col("fp"))).drop("n_fp"), "lines-left").dropna()
-    return large.alias("a").join(large.alias("b"), word & asks("a", "b") & _bound(a, b) & _enough("a", "b"), "left_semi").select(F.col("fp").alias("g_fp")).distinct()
+    large = stored(first.join(whole, same_key(F.col("n_fp"), F.col("fp"))).drop("n_fp"), "lines-left")
+    given_back(rest)
+    one, other = large.dropna().alias("a"), large.dropna().alias("b")
+    found = one.join(other, word & asks("a", "b") & _bound(a, b) & _enough("a", "b"), "left_semi")
+    return found.select(F.col("fp").alias("g_fp")).distinct(), large
 
 
 def _gone(lines: DataFrame, docs: DataFrame, room: int, order: Rarity) -> DataFrame:
-    """``(f_fp, f_rid, f_lines, gone)``: the first line of every set, its number of lines, and whether it resembles an earlier one."""
+    """``(f_fp, f_rid, f_lines, gone)``, stored: the first line of every set, its number of lines, and whether it resembles an earlier one."""
     least = F.min(F.struct("rid", "n", "prefix", "bits", "more")).alias("r")
     sets = stored(lines.groupBy("fp").agg(least, F.count(F.lit(1)).alias("lines")).select("fp", "lines", "r.*"), "line-sets")
     found = _resembling(sets, docs, room, order)
-    return sets.join(found, same_key(F.col("fp"), F.col("g_fp")), "left").select(
+    gone = sets.join(found, same_key(F.col("fp"), F.col("g_fp")), "left").select(
         F.col("fp").alias("f_fp"), F.col("rid").alias("f_rid"), F.col("lines").alias("f_lines"), F.col("g_fp").isNotNull().alias("gone")
     )
+    gone = stored(gone, "lines-gone")
+    given_back(sets, found)
+    return gone
 
 
 def _judged(lines: DataFrame, gone: DataFrame) -> DataFrame:
     """The lines to remove: those of a set that is gone, and all but the first of any other."""
-    gone = stored(gone, "lines-gone")
     total = gone.agg(F.sum("f_lines")).first()[0] or 0
     # At most FREQUENT sets: their lines, however many, need no shuffle.
     frequent = F.col("f_lines") * FREQUENT > total
@@ -312,16 +347,19 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = placed.select("place", "mark", "text")
     lines, order = _sets(texts, room)
     lines = stored(lines, "line-words")
-    judged = _judged(lines.select("rid", "mark", "fp"), _gone(lines, texts, room, order))
+    gone = _gone(lines, texts, room, order)
+    judged = _judged(lines.select("rid", "mark", "fp"), gone)
     numbers = F.sort_array(F.collect_set((F.col("rid") % room).cast("int")))
     removed = judged.groupBy(F.floor(F.col("rid") / room).alias("r_place"), F.col("mark").alias("r_mark")).agg(numbers.alias("removed"))
-    return placed, stored(removed, "lines-removed")
+    removed = stored(removed, "lines-removed")
+    given_back(lines, gone)
+    return placed, removed
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_lines, n_removed, removed)`` of every document."""
     placed, removed = removed_lines(docs.select("doc_id", "text"))
-    lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
+    lines = F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
     narrow = placed.select("doc_id", "place", "mark", lines.cast("long").alias("n_lines"))
     numbers = F.coalesce("removed", F.array().cast("array<int>"))
     return _joined(narrow, removed).select(

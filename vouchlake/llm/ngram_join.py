@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vouchlake.llm.common import small_batches, stored
+from vouchlake.llm.common import given_back, small_batches, stored
 from vouchlake.llm.components import connected_components
 from vouchlake.llm.picks import impossible, possible
 from vouchlake.llm.tiles import tiled, whole_runs
@@ -252,11 +252,13 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     reps = stored(first.select("fp1", "fp2", "r.*"), "ngram-sets")
     member = F.xxhash64("fp1", "fp2").alias("member")
     held = _banded(reps.select("doc_id", "n_ngrams", member, F.explode("prefix").alias("gram")), num, den)
-    tiles = _distinct_tiles(stored(tiled(held, ["gram", "band"], F.lit(1), BLOCK_DOCS), "ngram-tiles"))
+    dealt = stored(tiled(held, ["gram", "band"], F.lit(1), BLOCK_DOCS), "ngram-tiles")
+    tiles = _distinct_tiles(dealt)
     maps = reps.select(F.col("doc_id").alias("m_doc"), F.col("n_ngrams").alias("m_n"), "bits")
     tiles = tiles.join(maps, same_key(F.col("doc_id"), F.col("m_doc")) & (F.col("n_ngrams") == F.col("m_n"))).drop("m_doc", "m_n")
     groups = connected_components(_links(tiles, ["gram", "band"], num, den, exact=False))
     groups = stored(groups.select(F.col("node").alias("g_doc"), F.col("component").alias("grp")), "ngram-groups")
+    given_back(dealt)
     grouped = reps.select("doc_id", "n_ngrams").join(groups, same_key(F.col("doc_id"), F.col("g_doc"))).drop("g_doc")
     tiles = tiled(_banded(grouped, num, den), ["grp", "band"], F.col("n_ngrams"), BLOCK_NGRAMS)
     tiles = tiles.select(F.col("doc_id").alias("t_doc"), *_TILE)

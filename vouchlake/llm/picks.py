@@ -15,18 +15,20 @@ from pyspark.sql import functions as F
 BITS = 20
 
 
-def _spot(key: Column) -> Column:
-    return F.xxhash64(key).bitwiseAND((1 << BITS) - 1)
+def _spot(key: Column, part: int = 0) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(key), part * BITS).bitwiseAND((1 << BITS) - 1)
 
 
-def _spots(keys: DataFrame) -> DataFrame:
+def _spots(keys: DataFrame, part: int = 0) -> DataFrame:
     key = F.col(f"`{keys.columns[0]}`")
-    return F.broadcast(keys.where(key.isNotNull()).select(_spot(key).alias("spot")).distinct())
+    return F.broadcast(keys.where(key.isNotNull()).select(_spot(key, part).alias("spot")).distinct())
 
 
-def possible(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows whose key may be in the one-column table, all that are among them."""
-    return rows.alias("r").join(_spots(keys).alias("s"), _spot(F.col(f"r.{key}")) == F.col("s.spot"), "left_semi")
+def possible(rows: DataFrame, key: str, keys: DataFrame, parts: int = 1) -> DataFrame:
+    """Rows whose key may be in the one-column table, all that are among them; by so many parts of the hash, three at most."""
+    for part in range(parts):
+        rows = rows.alias("r").join(_spots(keys, part).alias("s"), _spot(F.col(f"r.{key}"), part) == F.col("s.spot"), "left_semi")
+    return rows
 
 
 def impossible(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
