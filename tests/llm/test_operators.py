@@ -261,6 +261,21 @@ def test_line_dedup_with_ids_far_apart(spark):
     assert {r.doc_id: r.removed for r in report} == plain_removed(docs)
 
 
+def test_line_dedup_takes_the_words_of_all_lines_once(spark, monkeypatch):
+    """Their count and their order read stored hashes; only lines with a partner are split again."""
+    plans, held = {}, line_dedup.stored
+
+    def seen(df, label, **options):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return held(df, label, **options)
+
+    monkeypatch.setattr(line_dedup, "stored", seen)
+    docs = [(1, "A\tb  c d\x0be \n \t \n"), (2, "e d c b a\n\r x"), (3, " a b c d e f\nx\x0c\ny"), (4, "ab cd"), (5, None)]
+    report = line_dedup.dedup_report(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.removed for r in report.collect()} == plain_removed(docs)
+    assert "lower(" in plans["line-hashes"] and "lower(" not in plans["line-words"]
+
+
 def test_rollup_commits_once(spark, edges, nothing, tmp_path):
     rollup = token_counts.TokenRollup(TableStore(spark, str(tmp_path / "rollup")))
     first, second = (token_counts.counted(edges, t) for t in token_counts.TOKENIZERS)

@@ -4,8 +4,9 @@ A line is the set of its words, lower-cased. It is removed when a line before it
 (an earlier document by ``doc_id``, or an earlier line of the same document) has
 a set of Jaccard similarity ``NUM / DEN`` or more, be that line kept or not.
 
-1. Words are put in order of rarity, the same for all lines. How often a word
-   occurs is counted over all lines, in a fixed number of hash buckets.
+1. The words of each line are taken once, as hashes. They are put in order of
+   rarity, the same for all lines. How many lines hold a word is counted over
+   all lines, in a fixed number of hash buckets.
 2. Lines with equal sets fold into the first of them; the others are removed.
 3. Prefix filter: a line asks whether another one shares one of its rarest words.
    Lengths, the places of the shared word as the first one, and a bitmap of the
@@ -31,6 +32,7 @@ come out equal. An empty table gives no rows; other columns pass through.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,28 +42,25 @@ from vouchlake.llm.picks import possible
 from vouchlake.operators.keys import same_key
 
 NUM, DEN = 8, 10
-BUCKETS = 1 << 16  # of the word count; their classes, a byte each, go to all tasks
+BUCKETS = 1 << 18  # of the word count; their classes, a byte each, go to all tasks
 COMMON = 14  # classes below the most common word's, from which words are too common to group by
 _MASK = (1 << 56) - 1
 BLOCKS = 4  # the lines of a word are cut into so many parts, of which the first lines are tried before all others
 FREQUENT = 1000  # a set that more than this part of all lines has is joined by broadcast; there are fewer than this
 _WORDS = r"[\x20\x09-\x0D]+"
-_SPACES = " \t\n\x0b\x0c\r"
+_OTHER_SPACES = "\t\x0b\x0c\r"  # a line holds no line feed
 
 
 def _split(line: Column) -> Column:
-    """Words of a line that has some; most lines part them by single blanks, which takes no pattern."""
-    text = F.btrim(F.lower(line), F.lit(_SPACES))
-    return F.when(line.rlike(r"[\x09-\x0D]|\x20\x20"), F.split(text, _WORDS)).otherwise(F.split(text, " "))
-
-
-def _has_words(line: Column) -> Column:
-    return line.rlike(r"[^\x20\x09-\x0D]")
+    """Words of a line, and empty ones between blanks; most lines have blanks only, which takes no pattern."""
+    text = F.lower(line)
+    odd = reduce(Column.__or__, (F.contains(line, F.lit(c)) for c in _OTHER_SPACES))
+    return F.when(odd, F.split(text, _WORDS)).otherwise(F.split(text, " "))
 
 
 def words(line: Column) -> Column:
-    """Hashes of the distinct words of a line that has some."""
-    return F.array_distinct(F.transform(_split(line), lambda w: F.xxhash64(w)))
+    """Hashes of the distinct words of a line."""
+    return F.array_remove(F.array_distinct(F.transform(_split(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def _bucket(word: Column, buckets: int) -> Column:
@@ -75,8 +74,19 @@ class Rarity:
     classes: list[int]
 
     def below(self, steps: int) -> int:
-        """The least key of the words that many classes below the most common one."""
-        return max(1, max(self.classes) - steps) << 56
+        """The least class of the words that many classes below the most common one."""
+        return max(1, max(self.classes) - steps)
+
+    def halves(self, end: int) -> int:
+        """The class that parts the occurrences of words of lower classes than ``end`` in two."""
+        held = [0.0] * end
+        for c in self.classes:
+            if c < end:
+                held[c] += 2 ** (c / 2) if c else 0
+        half, start = sum(held) / 2, 0
+        while start < end and sum(held[: start + 1]) <= half:
+            start += 1
+        return start
 
     def keys(self, hashes: Column) -> Column:
         """Words as numbers in order of rarity: the class above, the hash below."""
@@ -91,21 +101,25 @@ class Rarity:
         return F.sort_array(F.transform(hashes, keyed))
 
 
+_PACK = 10  # a row to the driver holds the classes of so many bits of buckets
+
+
 def rarity(lines: DataFrame, buckets: int = BUCKETS) -> Rarity:
-    """Classes from the number of times the words of a bucket occur: twice its binary logarithm."""
-    held = lines.select(F.explode(_split(F.col("line"))).alias("word")).groupBy(_bucket(F.xxhash64("word"), buckets).alias("bucket")).count()
+    """Classes from the number of lines that hold the words of a bucket: twice its binary logarithm."""
+    held = lines.select(F.explode("words").alias("word")).groupBy(_bucket(F.col("word"), buckets).alias("bucket")).count()
+    class_of = F.least(F.floor(F.log2("count") * 2), F.lit(126)).cast("int")
+    packed = F.collect_list(F.shiftleft("bucket", 7).bitwiseOR(class_of))
     classes = [0] * buckets
-    rows = held.select("bucket", F.least(F.floor(F.log2("count") * 2), F.lit(126)).cast("int").alias("class"))
-    for row in rows.toLocalIterator():  # as many rows as there are buckets
-        classes[row.bucket] = row["class"]
+    for row in held.groupBy(F.shiftright("bucket", _PACK)).agg(packed.alias("packed")).toLocalIterator():
+        for one in row.packed:
+            classes[one >> 7] = one & 127
     return Rarity(classes)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """The lines that have words."""
+    """All lines."""
     kept = [c for c in ("place", "mark") if c in docs.columns]
-    lines = docs.where(F.col("text").isNotNull()).select(*kept, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.where(_has_words(F.col("line")))
+    return docs.where(F.col("text").isNotNull()).select(*kept, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def _placed(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -117,7 +131,7 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, int]:
     sizes = docs.agg(
         F.min("doc_id").cast("decimal(20,0)").alias("low"),
         F.max("doc_id").cast("decimal(20,0)").alias("high"),
-        F.max(F.length("text")).alias("longest"),
+        F.max(F.octet_length("text")).alias("longest"),
     ).first()
     room = int(sizes.longest or 0) + 1  # no text has more lines than this
     if sizes.low is None:
@@ -145,31 +159,46 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _sets(docs: DataFrame, room: int) -> tuple[DataFrame, Rarity]:
-    """A row for each line that has words, and the order of the words."""
-    order = rarity(_lines(docs))
+    """A row for each line that has words, stored, and the order of the words."""
     rid = F.col("place") * room + F.col("line_no")
-    keyed = _lines(docs).select(rid.alias("rid"), "mark", order.keys(words(F.col("line"))).alias("keys"))
+    # Lines without words go when the table is read: as a filter before that, the words would be taken twice.
+    taken = _lines(docs).select(rid.alias("rid"), "mark", words(F.col("line")).alias("words"))
+    taken = stored(taken, "line-hashes", **{"parquet.enable.dictionary": "false"})  # hashes have no use for one
+    order = rarity(taken)
+    keyed = taken.where(F.size("words") > 0).select("rid", "mark", order.keys(F.col("words")).alias("keys"))
     size = F.size("keys")
     kept = (size - F.ceil(size * NUM / DEN) + 1).cast("int")
-    split = keyed.select(
+    end = order.below(COMMON)
+    parted = keyed.select(
         "rid",
         "mark",
+        "keys",
         size.alias("n"),
         F.xxhash64("keys").alias("fp"),
         F.transform(F.slice("keys", F.lit(1), kept), lambda k: F.hash(k)).alias("prefix"),
-        F.filter("keys", lambda k: k < F.lit(order.below(COMMON))).alias("rare"),
+        _lower("keys", order.halves(end)).alias("half"),
+        _lower("keys", end).alias("rare"),
     )
-    bits = [_bits(F.col("rare"), half).alias(name) for half, name in enumerate(("bits", "more"))]
-    return split.select("rid", "mark", "n", "fp", "prefix", *bits), order
+    bits = _bits(F.slice("keys", F.lit(1), F.col("half"))).alias("bits")
+    more = _bits(F.slice("keys", F.col("half") + 1, F.col("rare") - F.col("half"))).alias("more")
+    lines = stored(parted.select("rid", "mark", "n", "fp", "prefix", bits, more), "line-words")
+    given_back(taken)
+    return lines, order
+
+
+def _lower(keys: str, end: int) -> Column:
+    """How many of the keys, which are in order, are of lower classes than ``end``."""
+    mark = F.lit(end << 56).cast("long")
+    return (F.array_position(F.sort_array(F.array_append(keys, mark)), mark) - 1).cast("int")
 
 
-def _bits(keys: Column, half: int) -> Column:
-    """A bitmap of 64 bits of one half of the words; common ones, which tell lines apart the least, are left out."""
+def _bits(keys: Column) -> Column:
+    """A bitmap of 64 bits of the words; common ones, which tell lines apart the least, are left out of both bitmaps."""
 
     def put(bits: Column, k: Column) -> Column:
         return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int")))
 
-    return F.aggregate(F.filter(keys, lambda k: F.getbit(k, F.lit(6)) == half), F.lit(0).cast("long"), put)
+    return F.aggregate(keys, F.lit(0).cast("long"), put)
 
 
 def _bound(x: dict[str, Column], y: dict[str, Column]) -> Column:
@@ -240,12 +269,13 @@ def _resembling(sets: DataFrame, docs: DataFrame, room: int, order: Rarity) -> D
     lines = _lines(docs).select((F.col("place") * room + F.col("line_no")).alias("l_rid"), "line")
     # The lines travel as text, which packs better than hashes; their words are taken where a line has met its set.
     near = possible(lines, "l_rid", met, parts=2).select("l_rid", "line")
-    found = words(F.col("line"))
+    met_lines = some.join(near, same_key(F.col("rid"), F.col("l_rid")))
+    # As the one row of an array, the words are not taken once more for the condition.
+    found = met_lines.select("rid", "fp", "n", "bits", "more", "prefix", F.explode(F.array(words(F.col("line")))).alias("words"))
     # Not as an equality, which would take the words before the join to join by them.
-    same_set = F.xxhash64(order.keys(found)).bitwiseXOR(F.col("fp")) == 0
-    held = some.join(near, same_key(F.col("rid"), F.col("l_rid"))).where(same_set)
+    held = found.where(F.xxhash64(order.keys(F.col("words"))).bitwiseXOR(F.col("fp")) == 0)
     # Repeated rows give a set's line several times; one of them is enough.
-    held = stored(held.select("rid", "fp", "n", "bits", "more", "prefix", found.alias("words")).dropDuplicates(["fp"]), "lines-held")
+    held = stored(held.dropDuplicates(["fp"]), "lines-held")
     given_back(met)
     settled = stored(_similar(held, _nearest(held)), "lines-settled")
     searched, large = _searched(held, settled)
@@ -346,7 +376,6 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed, room = _placed(docs.withColumn("mark", F.xxhash64("text")))
     texts = placed.select("place", "mark", "text")
     lines, order = _sets(texts, room)
-    lines = stored(lines, "line-words")
     gone = _gone(lines, texts, room, order)
     judged = _judged(lines.select("rid", "mark", "fp"), gone)
     numbers = F.sort_array(F.collect_set((F.col("rid") % room).cast("int")))
