@@ -44,7 +44,6 @@ from vouchlake.operators.keys import same_key
 NUM, DEN = 8, 10
 BUCKETS = 1 << 18  # of the word count; their classes, a byte each, go to all tasks
 COMMON = 14  # classes below the most common word's, from which words are too common to group by
-_MASK = (1 << 56) - 1
 BLOCKS = 4  # the lines of a word are cut into so many parts, of which the first lines are tried before all others
 FREQUENT = 1000  # a set that more than this part of all lines has is joined by broadcast; there are fewer than this
 _WORDS = r"[\x20\x09-\x0D]+"
@@ -90,13 +89,12 @@ class Rarity:
 
     def keys(self, hashes: Column) -> Column:
         """Words as numbers in order of rarity: the class above, the hash below."""
-        # A constant of fixed size, which the optimizer folds into one array.
-        table = F.split(F.lit(",".join(map(str, self.classes))), ",").cast("array<tinyint>")
+        # A constant of fixed size, which the optimizer folds into one array; classes are in the place they have in a key.
+        table = F.split(F.lit(",".join(str(c << 56) for c in self.classes)), ",").cast("array<long>")
 
         def keyed(w: Column) -> Column:
-            # Every bucket has a class; said so, the keys are sorted as plain numbers.
-            rank = F.coalesce(F.get(table, _bucket(w, len(self.classes))).cast("long"), F.lit(0).cast("long"))
-            return F.shiftleft(rank, 56).bitwiseOR(w.bitwiseAND(F.lit(_MASK)))
+            # Every bucket has a class. Taken for every word, so with as few expressions as can be.
+            return table[w.bitwiseAND(len(self.classes) - 1)].bitwiseOR(F.shiftrightunsigned(w, 8))
 
         return F.sort_array(F.transform(hashes, keyed))
 
@@ -163,7 +161,7 @@ def _sets(docs: DataFrame, room: int) -> tuple[DataFrame, Rarity]:
     rid = F.col("place") * room + F.col("line_no")
     # Lines without words go when the table is read: as a filter before that, the words would be taken twice.
     taken = _lines(docs).select(rid.alias("rid"), "mark", words(F.col("line")).alias("words"))
-    taken = stored(taken, "line-hashes", **{"parquet.enable.dictionary": "false"})  # hashes have no use for one
+    taken = stored(taken, "line-hashes")
     order = rarity(taken)
     keyed = taken.where(F.size("words") > 0).select("rid", "mark", order.keys(F.col("words")).alias("keys"))
     size = F.size("keys")
