@@ -1,3 +1,5 @@
+import collections
+import errno
 import os
 from datetime import datetime, timedelta
 
@@ -6,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF, rows
+from vouchlake.plans import checks, testbed
 from vouchlake.plans.demo_load import load_files
 from vouchlake.plans.testbed import write_files
+from vouchlake.session import prepare
 from vouchlake.sinks.moves import apply_moves, require_moved, plan_csv_archive
 from vouchlake.sinks.store import row_counts
 from vouchlake.sources import csv_drops, landing
@@ -219,3 +223,43 @@ def test_listed_files_take_no_disk_blocks_and_a_folder_is_listed_piecewise(spark
     monkeypatch.setattr(landing, "_ROWS_PER_BATCH", 10)
     parts = list(landing._list_folders(root)([pd.DataFrame({"path": ["landing", "nowhere"]})]))
     assert [len(p) for p in parts] == [10, 10, 8] and sorted(p for part in parts for p in part["path"]) == sorted(["landing/.d", *[w for w, _ in wanted[:-1]]])
+
+
+def test_linked_files_take_few_inodes_and_a_listed_zone_any_number_of_folders(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "zone")
+    wanted = [(f"landing/f{k}.pdf", k % 3) for k in range(300)]
+    twice = [*wanted, ("landing/f0.pdf", 2), ("landing/f7.pdf", 0)]
+    write_files(spark.createDataFrame(twice, "path string, length long").coalesce(1), root, linked=True)
+    found = landing.relative_to(landing.list_landing(spark, root), root)
+    assert rows(found.select("path", "length")) == sorted({**dict(wanted), "landing/f0.pdf": 2, "landing/f7.pdf": 0}.items())
+    assert len({os.stat(f"{root}/{path}").st_ino for path, _ in wanted}) <= 5
+    # A file that has no room for one more name, or that links cannot reach, is followed by a new one.
+    link, calls = os.link, []
+
+    def full(source, target):
+        calls.append(target)
+        if len(calls) % 4 == 0:
+            raise OSError(errno.EMLINK, "too many links")
+        link(source, target)
+
+    monkeypatch.setattr(os, "link", full)
+    like = None
+    for k in range(20):
+        like = testbed._put_hole(f"{tmp_path}/h{k}", 5, like)
+    assert [os.stat(f"{tmp_path}/h{k}").st_size for k in range(20)] == [5] * 20 and len({os.stat(f"{tmp_path}/h{k}").st_ino for k in range(20)}) == 5
+
+
+def test_the_listed_documents_are_dealt_over_folders_of_bounded_size(spark, monkeypatch):
+    stage = checks.Stage(prepare(spark), "/root/testdata/sf0.001")
+    want = rows(stage.landing_documents().unionByName(stage.hidden_documents()).select("path", "length"))
+    monkeypatch.setattr(checks, "FILES_PER_FOLDER", 200)
+    written, write = [], checks.write_files
+
+    def noted(listing, root, **more):
+        written.extend(r.path for r in listing.select("path").collect())
+        return write(listing, root, **more)
+
+    monkeypatch.setattr(checks, "write_files", noted)
+    assert rows(checks.CHECKS["list_landing"](spark, "/root/testdata/sf0.001")) == want
+    sizes = collections.Counter(path.rsplit("/", 1)[0] for path in written)
+    assert max(sizes.values()) < 400 < len(want)

@@ -26,6 +26,8 @@ CHECKS: dict[str, Check] = {}
 
 # The mapped amounts are exact cents, so sums of them are exact too.
 CENTS = 2
+# A local file system has room for some ten million names in one folder, and for few more files in all.
+FILES_PER_FOLDER = 1_000_000
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -136,9 +138,13 @@ def present_tables(t: Stage) -> DataFrame:
 @check
 def list_landing(t: Stage) -> DataFrame:
     """Every document of the landing zone, those with hidden names among them."""
-    root = t.scratch("documents")
-    write_files(t.landing_documents().unionByName(t.hidden_documents()), root)
-    return landing.relative_to(landing.list_landing(t.spark, root), root).select("path", "length")
+    root, files = t.scratch("documents"), t.landing_documents().unionByName(t.hidden_documents())
+    # One zone beside the other, each with a landing folder that a local file system can hold.
+    zones = max(1, -(-files.count() // FILES_PER_FOLDER))
+    zone = F.pmod(F.xxhash64("path"), F.lit(zones)).cast("string")
+    write_files(files.withColumn("path", F.concat(F.lit("zone-"), zone, F.lit("/"), "path")), root, linked=True)
+    found = landing.relative_to(landing.list_landing(t.spark, root), root)
+    return found.select(F.regexp_replace("path", "^[^/]+/", "").alias("path"), "length")
 
 
 @check

@@ -6,6 +6,9 @@ SQL engine gives the same rows.
 
 from __future__ import annotations
 
+import contextlib
+import errno
+import os
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -311,17 +314,47 @@ class Testbed:
         )
 
 
-def write_files(listing: DataFrame, root: str) -> int:
+def _put_hole(target: str, length: int, like: str | None) -> str:
+    """A local file of this length, as another name of the file ``like`` if that can have one more.
+
+    Returns the file that the next one of this length may be another name of.
+    """
+    while True:
+        try:
+            if like is not None:
+                os.link(like, target)
+                if os.stat(target).st_size == length:
+                    return like
+                # Another row had the path of ``like``, and another length.
+                os.unlink(target)
+                like = None
+            with open(target, "xb") as out:
+                out.truncate(length)
+            return target
+        except FileExistsError:
+            # Not written over: the file may have other names.
+            with contextlib.suppress(FileNotFoundError):
+                os.unlink(target)
+        except OSError as error:
+            # Names used up, no links here, or the file was replaced meanwhile.
+            if like is None or error.errno not in (errno.EMLINK, errno.EPERM, errno.ENOTSUP, errno.ENOENT):
+                raise
+            like = None
+
+
+def write_files(listing: DataFrame, root: str, linked: bool = False) -> int:
     """Create the listed files below a root folder, in the tasks.
 
     Only names and sizes matter, so local files are holes of the listed size:
-    millions of small ones take no blocks of the disk.
+    millions of small ones take no blocks of the disk. With ``linked`` those of
+    one length are names of a few files, and take no inodes either; for files
+    that nobody writes to.
     """
     ship_package(listing.sparkSession)
 
     def create(batches):
         store, base = file_system(root)
-        made = set()
+        made, holes = set(), {}
         for batch in batches:
             for path, length in zip(batch["path"], batch["length"]):
                 target = f"{base}/{path}"
@@ -329,6 +362,9 @@ def write_files(listing: DataFrame, root: str) -> int:
                 if folder not in made:
                     store.create_dir(folder, recursive=True)
                     made.add(folder)
+                if store.type_name == "local" and linked:
+                    holes[length] = _put_hole(target, int(length), holes.get(length))
+                    continue
                 if store.type_name == "local":
                     with open(target, "wb") as out:
                         out.truncate(int(length))
