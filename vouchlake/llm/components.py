@@ -19,7 +19,7 @@ from vouchlake.operators.keys import same_key
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the edges ``(a, b)``; the component is its least node.
 
-    Edges with a null end or from a node to itself are left out; an empty
+    It reads one stored table, which ``given_back`` deletes. Edges with a null end or from a node to itself are left out; an empty
     table gives no rows.
     """
     now = stored(
@@ -32,9 +32,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == seen or state.n == 0:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+            found = now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 now.select(F.col("b").alias("node"), F.col("b").alias("component"))
             ).distinct()
+            found.stored_at = now.stored_at
+            return found
         seen = state
         before, now = now, stored(_small_star(_large_star(now)), "edges")
         given_back(before)

@@ -89,12 +89,14 @@ class Rarity:
 
     def keys(self, hashes: Column) -> Column:
         """Words as numbers in order of rarity: the class above, the hash below."""
-        # A constant of fixed size, which the optimizer folds into one array; classes are in the place they have in a key.
-        table = F.split(F.lit(",".join(str(c << 56) for c in self.classes)), ",").cast("array<long>")
+        # A constant of fixed size, which the optimizer folds into one array. Plans, which the driver holds and logs as text,
+        # name all its numbers several times: so they are the classes, and not where a class has its place in a key.
+        table = F.split(F.lit(",".join(map(str, self.classes))), ",").cast("array<tinyint>")
 
         def keyed(w: Column) -> Column:
             # Every bucket has a class. Taken for every word, so with as few expressions as can be.
-            return table[w.bitwiseAND(len(self.classes) - 1)].bitwiseOR(F.shiftrightunsigned(w, 8))
+            place = F.shiftleft(table[w.bitwiseAND(len(self.classes) - 1)].cast("long"), 56)
+            return place.bitwiseOR(F.shiftrightunsigned(w, 8))
 
         return F.sort_array(F.transform(hashes, keyed))
 

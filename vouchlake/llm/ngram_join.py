@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from vouchlake.llm.common import given_back, small_batches, stored
 from vouchlake.llm.components import connected_components
 from vouchlake.llm.picks import impossible, possible
-from vouchlake.llm.tiles import tiled, whole_runs
+from vouchlake.llm.tiles import dealt, group_blocks, tiled, whole_runs
 from vouchlake.llm.words import mix64, ngram_sets
 from vouchlake.operators.keys import same_key
 from vouchlake.session import ship_package
@@ -224,58 +224,81 @@ def _with_sets(docs: DataFrame, n: int) -> DataFrame:
     )
 
 
-def _distinct_tiles(tiles: DataFrame) -> DataFrame:
+def _kept_tiles(tiles: DataFrame) -> DataFrame:
     """One of the tiles that hold the same sets; the bitmaps travel for that one only."""
     tile = ["gram", "band", "low", "high"]
     marks = [F.bit_xor(F.xxhash64(F.lit(k), F.col("member"))).alias(f"m{k}") for k in (1, 2)]
     sums = tiles.groupBy(*tile).agg(*marks, F.count(F.lit(1)).alias("n")).where("n > 1")
     kept = sums.groupBy("band", "m1", "m2", "n").agg(F.min(F.struct("gram", "low", "high")).alias("t"))
-    kept = kept.select(F.col("t.gram").alias("k_gram"), F.col("band").alias("k_band"), F.col("t.low").alias("k_low"), F.col("t.high").alias("k_high"))
+    return kept.select(F.col("t.gram").alias("k_gram"), F.col("band").alias("k_band"), F.col("t.low").alias("k_low"), F.col("t.high").alias("k_high"))
+
+
+def _of_tiles(tiles: DataFrame, kept: DataFrame) -> DataFrame:
     same = same_key(F.col("gram"), F.col("k_gram"))
-    for c in tile[1:]:
+    for c in ("band", "low", "high"):
         same = same & (F.col(c) == F.col(f"k_{c}"))
-    return tiles.drop("member").join(kept, same, "left_semi")
+    return tiles.join(kept, same, "left_semi")
 
 
 def ngram_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """``(doc_id, n_ngrams, component_id)``: documents linked from Jaccard ``num / den`` up."""
     ship_package(docs.sparkSession)
+    return _components(docs, n, num, den)[0]
+
+
+def _components(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The components, and the stored tables they are read from."""
     # Python runs in here only: what comes back are joins of stored tables.
     with small_batches(docs.sparkSession, BATCH_ROWS):
-        return _components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n, num, den)
+        return _linked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n, num, den)
 
 
-def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def _known(records: DataFrame) -> DataFrame:
+    return records.where((F.col("n_ngrams") > 0) & F.col("doc_id").isNotNull())
+
+
+def _linked(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, list[DataFrame]]:
     records = stored(ngram_records(docs, n, num, den), "ngram-records")
-    known = records.where((F.col("n_ngrams") > 0) & F.col("doc_id").isNotNull())
-    first = known.groupBy("fp1", "fp2").agg(F.min(F.struct("doc_id", "n_ngrams", "prefix", "bits")).alias("r"))
-    reps = stored(first.select("fp1", "fp2", "r.*"), "ngram-sets")
-    member = F.xxhash64("fp1", "fp2").alias("member")
-    held = _banded(reps.select("doc_id", "n_ngrams", member, F.explode("prefix").alias("gram")), num, den)
-    dealt = stored(tiled(held, ["gram", "band"], F.lit(1), BLOCK_DOCS), "ngram-tiles")
-    tiles = _distinct_tiles(dealt)
-    maps = reps.select(F.col("doc_id").alias("m_doc"), F.col("n_ngrams").alias("m_n"), "bits")
-    tiles = tiles.join(maps, same_key(F.col("doc_id"), F.col("m_doc")) & (F.col("n_ngrams") == F.col("m_n"))).drop("m_doc", "m_n")
-    groups = connected_components(_links(tiles, ["gram", "band"], num, den, exact=False))
-    groups = stored(groups.select(F.col("node").alias("g_doc"), F.col("component").alias("grp")), "ngram-groups")
-    given_back(dealt)
+    first = _known(records).groupBy("fp1", "fp2").agg(F.min(F.struct("doc_id", "n_ngrams", "prefix", "bits")).alias("r"))
+    reps = stored(first.select(F.monotonically_increasing_id().alias("member"), "fp1", "fp2", "r.*"), "ngram-sets")
+    # Prefixes and bitmaps, most of what is stored, lie there once: of all records, later steps read the rest.
+    wide, records = records, stored(records.select("doc_id", "n_ngrams", "fp1", "fp2"), "ngram-ids")
+    given_back(wide)
+    # What is shuffled for every n-gram of a prefix: the n-gram, the number of its set, the band.
+    held = _banded(reps.select("member", "n_ngrams", F.explode("prefix").alias("gram")), num, den).drop("n_ngrams")
+    # Stored step by step, so that the shuffles of one step lie on the disk at a time.
+    crowded = stored(group_blocks(held, ["gram", "band"], F.lit(1), BLOCK_DOCS), "ngram-crowded")
+    tiles = stored(dealt(held, crowded, ["gram", "band"], "member").drop("block"), "ngram-tiles")
+    given_back(crowded)
+    kept = stored(_kept_tiles(tiles), "ngram-kept")
+    all_tiles, tiles = tiles, stored(_of_tiles(tiles, kept), "ngram-tiles")
+    given_back(all_tiles, kept)
+    maps = reps.select(F.col("member").alias("m_member"), "doc_id", "n_ngrams", "bits")
+    mapped = tiles.join(maps, same_key(F.col("member"), F.col("m_member"))).drop("member", "m_member")
+    found = connected_components(_links(mapped, ["gram", "band"], num, den, exact=False))
+    groups = stored(found.select(F.col("node").alias("g_doc"), F.col("component").alias("grp")), "ngram-groups")
+    narrow = stored(reps.select("fp1", "fp2", "doc_id", "n_ngrams"), "ngram-sets")
+    given_back(tiles, found, reps)
+    reps = narrow
     grouped = reps.select("doc_id", "n_ngrams").join(groups, same_key(F.col("doc_id"), F.col("g_doc"))).drop("g_doc")
     tiles = tiled(_banded(grouped, num, den), ["grp", "band"], F.col("n_ngrams"), BLOCK_NGRAMS)
     tiles = tiles.select(F.col("doc_id").alias("t_doc"), *_TILE)
     texts = possible(docs, "doc_id", groups.select("g_doc")).join(tiles, same_key(F.col("doc_id"), F.col("t_doc"))).select("doc_id", *_TILE, "text")
     links = _links(_with_sets(texts, n), ["grp", "band"], num, den, exact=True)
     # Equal sets are links too: an id may stand for several sets.
-    linked = connected_components(links.unionByName(_repeated(known, reps)))
+    linked = connected_components(links.unionByName(_repeated(_known(records), reps)))
     found = linked.select(F.col("node").alias("c_doc"), "component")
     ids = reps.join(found, same_key(F.col("doc_id"), F.col("c_doc")), "left").select(
         F.col("fp1").alias("s_fp1"), F.col("fp2").alias("s_fp2"), F.coalesce("component", "doc_id").alias("component")
     )
     same_set = same_key(F.col("fp1"), F.col("s_fp1")) & (F.col("fp2") == F.col("s_fp2"))
-    return records.join(ids, same_set & (F.col("n_ngrams") > 0), "left").select(
+    components = records.join(ids, same_set & (F.col("n_ngrams") > 0), "left").select(
         "doc_id",
         "n_ngrams",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
     )
+    given_back(groups)
+    return components, [records, reps, linked]
 
 
 def _repeated(known: DataFrame, reps: DataFrame) -> DataFrame:
@@ -288,9 +311,11 @@ def _repeated(known: DataFrame, reps: DataFrame) -> DataFrame:
 
 def first_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """``docs`` without those that are not the least of their component; rows with null id stay."""
-    found = ngram_components(docs, n, num, den)
+    ship_package(docs.sparkSession)
+    found, tables = _components(docs, n, num, den)
     later = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("l_id")).distinct()
     later = stored(later, "ngram-later")
+    given_back(*tables)
     same = same_key(F.col("d.doc_id"), F.col("l.l_id"))
     kept = possible(docs, "doc_id", later).alias("d").join(later.alias("l"), same, "left_anti")
     return impossible(docs, "doc_id", later).unionByName(kept)

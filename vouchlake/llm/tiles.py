@@ -23,8 +23,17 @@ def tiled(rows: DataFrame, keys: list[str], weight: Column, most: int, by: str =
     ``low`` and ``high`` name the two blocks of a tile, ``block`` the row's own;
     blocks weigh about ``most``.
     """
+    return dealt(rows, group_blocks(rows, keys, weight, most), keys, by)
+
+
+def group_blocks(rows: DataFrame, keys: list[str], weight: Column, most: int) -> DataFrame:
+    """The groups of two or more, with the number of their blocks."""
     total = rows.groupBy(*keys).agg(F.ceil(F.sum(weight) / most).cast("int").alias("blocks"), F.count(F.lit(1)).alias("members"))
-    total = total.where(F.col("members") > 1).select(*[F.col(k).alias(f"t_{k}") for k in keys], "blocks")
+    return total.where(F.col("members") > 1).select(*[F.col(k).alias(f"t_{k}") for k in keys], "blocks")
+
+
+def dealt(rows: DataFrame, total: DataFrame, keys: list[str], by: str = "doc_id") -> DataFrame:
+    """Rows of the groups in ``total``, copied to the tiles of their group."""
     same = same_key(F.col(keys[0]), F.col(f"t_{keys[0]}"))
     for k in keys[1:]:
         same = same & (F.col(k) == F.col(f"t_{k}"))
