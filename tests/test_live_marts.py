@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from vouchlake import schemas
 from vouchlake.operators import mart_deltas, marts
+from vouchlake.plans import checks
 from vouchlake.plans.live_marts import LiveMarts
+from vouchlake.session import prepare
 
 AT = datetime(2026, 1, 1)
 KEYS = {"orders_curated": "order_id", "customers_curated": "customer_id", "order_items_curated": "order_item_id", "returns_curated": "return_id"}
@@ -160,3 +162,32 @@ def test_states_keep_rows_only_and_lines_that_cancel_change_nothing(spark, store
             store.changes(table, store.version(table) - 1)
         folders = {name for folder in os.listdir(f"{store.root}/{table}") if os.path.isdir(f"{store.root}/{table}/{folder}/files") for name in os.listdir(f"{store.root}/{table}/{folder}/files")}
         assert {name for name in folders if name.startswith("image=")} == {"image=row"}
+
+
+def shuffle_files(spark):
+    names = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {name for name in names.split("\n") if "/shuffle_" in name}
+
+
+def test_changes_leave_no_shuffles(spark, store):
+    rng = random.Random(6)
+    store.insert("order_items_curated", "order_item_id", frame(spark, "order_items_curated", [item(rng, k) for k in range(20)]))
+    live = LiveMarts(store)
+    live.catch_up()
+    batch = frame(spark, "order_items_curated", [item(rng, k) for k in range(10, 30)])
+    before = shuffle_files(spark)
+    store.merge("order_items_curated", "order_item_id", batch, replacing(batch, "order_item_id", batch.columns))
+    store.delete("order_items_curated", "order_item_id", batch.limit(5))
+    store.replace("items_by_product", store.read("order_items_curated").groupBy("product_id").count())
+    assert shuffle_files(spark) <= before
+    live.catch_up()
+    assert shuffle_files(spark) <= before
+
+
+def test_the_check_gives_back_what_the_marts_have_applied(spark):
+    live = checks.Stage(prepare(spark), "/root/testdata/sf0.001").live("order_items_curated")
+    store = live.store
+    assert rows(live.product_performance()) == rows(marts.product_performance(store.read("order_items_curated"), 2))
+    assert not store.exists("order_items_curated_rows") and [n for n, _, _ in store._versions("order_items_curated")] == [3]
+    held = [name for folder, _, names in os.walk(f"{store.root}/order_items_curated") for name in names if name.endswith(".parquet") and "/v00000003/" not in folder]
+    assert len(held) == sum("/v00000003/" not in path for path in store.read("order_items_curated").inputFiles())
